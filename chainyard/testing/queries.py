@@ -87,3 +87,78 @@ def _fct_shipments(w):
 @register("fct_inventory", O.model("fct_inventory"))
 def _fct_inventory(w):
     return w.fct_inventory()
+
+
+# -- SCD2 over four runs: insert, change, unchanged, delete, reappear ------
+def _scenario(w, k: int):
+    from chainyard.plans import dims, staging
+    from chainyard.testing import fixtures as fx
+    runs = fx.SCENARIO_RUNS
+    batches = [staging.stg_products(fx.product_batch(w.spark, w.sf_dir, i + 1, runs))
+               for i in range(k)]
+    return dims.snapshot_runs("products", batches, runs[:k])
+
+
+for _k in range(1, 5):
+    register(f"snap_products_v{_k}",
+             O.with_models(f"select * from ({O.product_versions_sql(O.fx.SCENARIO_RUNS, _k)})"))(
+        lambda w, _k=_k: _scenario(w, _k))
+
+
+@register("snap_products", O.model("snap_products"))
+def _snap_products(w):
+    return w.snap_products()
+
+
+# -- incremental facts: first run up to 1998, second run merges the rest ----
+def _incremental(w, name: str):
+    from chainyard.plans import facts
+    from chainyard.testing.scenario import first_run
+    staged = w.stg({"fct_sales": "sales", "fct_shipments": "shipments",
+                    "fct_inventory": "inventory"}[name])
+    build = getattr(w, name)
+    target = facts.incremental(name, None, first_run(staged), build)
+    return facts.incremental(name, target, staged, build)
+
+
+for _name in ("fct_sales", "fct_shipments", "fct_inventory"):
+    register(f"{_name}_incremental", O.model(_name))(
+        lambda w, _n=_name: _incremental(w, _n))
+
+
+@register("merge_duplicate_keys", O.with_models("""
+    select * exclude (rn) from (
+        select *, row_number() over (partition by order_line
+                                     order by _ingestion_timestamp desc, transaction_id desc) rn
+        from raw_sales) where rn = 1"""))
+def _merge_duplicate_keys(w):
+    """Merge on a key that repeats within and across batches: the latest
+    row per key wins (ingestion time, then transaction id)."""
+    from chainyard.operators.merge import merge_incremental
+    from chainyard.testing import fixtures as fx
+    from chainyard.testing.scenario import first_run
+    raw = fx.raw_sales(w.spark, w.sf_dir)
+    order = ["_ingestion_timestamp", "transaction_id"]
+    first = merge_incremental(None, first_run(raw), "order_line", order)
+    rest = raw.filter(raw["_ingestion_timestamp"] > O.FIRST_RUN_UNTIL)
+    return merge_incremental(first, rest, "order_line", order)
+
+
+@register("merge_schema_sync", O.with_models(f"""
+    select inventory_key, warehouse_id, product_id, date_id, quantity_available,
+           reorder_threshold, snapshot_date,
+           case when _ingestion_timestamp > '{O.FIRST_RUN_UNTIL}' then stock_level end
+               as stock_level,
+           _ingestion_timestamp, _run_id
+    from fct_inventory"""))
+def _merge_schema_sync(w):
+    """The stored target predates ``stock_level`` and still carries a
+    retired column; merging a current batch adds the one (NULL on old
+    rows) and drops the other."""
+    from pyspark.sql import functions as F
+    from chainyard.plans import facts
+    from chainyard.testing.scenario import first_run
+    staged = w.stg("inventory")
+    old = (w.fct_inventory(first_run(staged)).drop("stock_level")
+           .withColumn("legacy_bin", F.lit("A")))
+    return facts.incremental("fct_inventory", old, staged, w.fct_inventory)
