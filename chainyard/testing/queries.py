@@ -162,3 +162,22 @@ def _merge_schema_sync(w):
     old = (w.fct_inventory(first_run(staged)).drop("stock_level")
            .withColumn("legacy_bin", F.lit("A")))
     return facts.incremental("fct_inventory", old, staged, w.fct_inventory)
+
+
+# -- data-quality suite (Q1-Q7): failing-row counts per test ----------------
+def _dq(w, kind: str):
+    from chainyard.operators.quality import run_suite, select_tests
+    return run_suite(w.spark, w.tables(), select_tests(kind))
+
+
+def _dq_oracle(kind: str) -> str:
+    from chainyard.operators.quality import select_tests
+    return O.dq_sql(select_tests(kind))
+
+
+for _q, _kind in (("dq_not_null", "not_null"), ("dq_unique", "unique"),
+                  ("dq_relationships", "relationships"), ("dq_positive", "positive_value"),
+                  ("dq_not_negative", "not_negative"),
+                  ("dq_delivery_status", "valid_delivery_status"),
+                  ("dq_stock_level", "valid_stock_level")):
+    register(_q, _dq_oracle(_kind))(lambda w, _k=_kind: _dq(w, _k))

@@ -17,6 +17,20 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def model(self, name: str) -> DataFrame:
+        """Any model by name: raw_*, stg_*, snap_*, dim_*, fct_*."""
+        if name.startswith("raw_"):
+            return fx.RAW[name[4:]](self.spark, self.sf_dir)
+        if name.startswith("stg_"):
+            return self.stg(name[4:])
+        if name in ("snap_suppliers", "snap_stores", "snap_warehouses"):
+            return self.snap_static(name[5:])
+        return getattr(self, name)()
+
+    def tables(self) -> dict:
+        """Lazy name -> model mapping for the quality suite."""
+        return _Models(self)
+
     # staging -----------------------------------------------------------
     def stg(self, entity: str) -> DataFrame:
         return staging.STAGING[entity](fx.RAW[entity](self.spark, self.sf_dir))
@@ -69,3 +83,14 @@ FIRST_RUN_UNTIL = "1998-01-01T02:00:00+00:00"
 def first_run(staged: DataFrame) -> DataFrame:
     """Staged rows that had arrived by the first incremental run."""
     return staged.filter(F.col("_ingestion_timestamp") <= F.lit(FIRST_RUN_UNTIL))
+
+
+class _Models(dict):
+    def __init__(self, w: Warehouse):
+        super().__init__()
+        self.w = w
+
+    def __missing__(self, name):
+        df = self.w.model(name)
+        self[name] = df
+        return df
