@@ -181,3 +181,278 @@ for _q, _kind in (("dq_not_null", "not_null"), ("dq_unique", "unique"),
                   ("dq_delivery_status", "valid_delivery_status"),
                   ("dq_stock_level", "valid_stock_level")):
     register(_q, _dq_oracle(_kind))(lambda w, _k=_kind: _dq(w, _k))
+
+
+# -- ingestion: files, sheet exports, daily tables, raw load (S1-S10, K1-K5) --
+# Fixed values of the ingestion scenario (injected, so runs are repeatable).
+INGEST_TS = "2024-02-01T02:00:00+00:00"
+INGEST_RUN = "run-ingest"
+DROP_BUCKET = "supply-drop"
+
+
+def _scratch(w, name):
+    from chainyard.session import shared_dir
+    return shared_dir(w.spark, name)
+
+
+def _land_and_read(w, df, root, name, mode="overwrite"):
+    from chainyard.sources.landing import land
+    return w.spark.read.parquet(land(df, f"{root}/landing/{name}.parquet", mode=mode))
+
+
+@register("csv_ingest", O.with_models(f"""
+    select product_id, product_name, category, brand, supplier_id, unit_price,
+           '{INGEST_TS}' as _ingestion_timestamp, '{INGEST_RUN}' as _run_id,
+           '{DROP_BUCKET}' as _source_bucket, 's3_ingest_script' as _ingested_by
+    from raw_products"""))
+def _csv_ingest(w):
+    """Products dropped as CSV files: typed read, lineage, Parquet landing."""
+    from chainyard import schemas
+    from chainyard.sources.files import read_batch
+    from chainyard.sources.lineage import add_lineage
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "csv-ingest")
+    fx.raw_products(w.spark, w.sf_dir).drop("_ingestion_timestamp") \
+      .write.option("header", "true").csv(f"{root}/drop/products")
+    batch = read_batch(w.spark, f"{root}/drop/products", schemas.RAW["products"])
+    df = add_lineage(batch.data.drop("_source_key"), "files", INGEST_TS, INGEST_RUN,
+                     source_bucket=DROP_BUCKET)
+    return _land_and_read(w, df, root, "products")
+
+
+@register("json_ingest", O.with_models(f"""
+    select shipment_id, warehouse_id, store_id, product_id, quantity_shipped, shipment_date,
+           expected_delivery_date, actual_delivery_date, carrier,
+           '{INGEST_TS}' as _ingestion_timestamp, '{INGEST_RUN}' as _run_id,
+           '{DROP_BUCKET}' as _source_bucket, 's3_ingest_script' as _ingested_by
+    from raw_shipments"""))
+def _json_ingest(w):
+    """Shipments dropped as JSON-lines files (layout sniffed per file)."""
+    from chainyard import schemas
+    from chainyard.sources.files import read_batch
+    from chainyard.sources.lineage import add_lineage
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "json-ingest")
+    fx.raw_shipments(w.spark, w.sf_dir).drop("_ingestion_timestamp", "_run_id") \
+      .write.json(f"{root}/drop/shipments")
+    batch = read_batch(w.spark, f"{root}/drop/shipments", schemas.RAW["shipments"])
+    df = add_lineage(batch.data.drop("_source_key"), "files", INGEST_TS, INGEST_RUN,
+                     source_bucket=DROP_BUCKET)
+    return _land_and_read(w, df, root, "shipments")
+
+
+@register("sheet_ingest", O.with_models(f"""
+    select store_id, store_name, city, state, region, store_open_date,
+           '{INGEST_TS}' as _ingestion_timestamp, '{INGEST_RUN}' as _run_id,
+           'google_sheets' as _source, 'gsheets_ingest_script' as _ingested_by
+    from raw_stores"""))
+def _sheet_ingest(w):
+    """Stores from a sheet-tab export; the landing copy is overwritten on
+    every run, so running twice leaves one copy."""
+    from chainyard import schemas
+    from chainyard.sources.landing import land, read_sheet_export
+    from chainyard.sources.lineage import add_lineage
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "sheet-ingest")
+    fx.raw_stores(w.spark, w.sf_dir).drop("_ingestion_timestamp") \
+      .write.option("header", "true").csv(f"{root}/export/Sheet1")
+    dest = f"{root}/landing/store_data.parquet"
+    for _ in range(2):
+        tab = read_sheet_export(w.spark, f"{root}/export", "Sheet1", schemas.RAW["stores"])
+        land(add_lineage(tab, "sheet", INGEST_TS, INGEST_RUN), dest, mode="overwrite")
+    return w.spark.read.parquet(dest)
+
+
+_SALES_COLS = ("transaction_id, store_id, product_id, quantity_sold, unit_price, discount_pct, "
+               "sale_amount, transaction_timestamp, _ingestion_timestamp, _run_id, "
+               "_source_table, order_line")
+
+
+@register("sales_daily_union", O.with_models(f"""
+    select {_SALES_COLS},
+           cast(regexp_extract(_source_table, '^sales[_/](\\d{{4}})[_/](\\d{{2}})[_/](\\d{{2}})$', 1)
+                as integer) as table_year,
+           cast(regexp_extract(_source_table, '^sales[_/](\\d{{4}})[_/](\\d{{2}})[_/](\\d{{2}})$', 2)
+                as integer) as table_month,
+           cast(regexp_extract(_source_table, '^sales[_/](\\d{{4}})[_/](\\d{{2}})[_/](\\d{{2}})$', 3)
+                as integer) as table_day
+    from raw_sales"""))
+def _sales_daily_union(w):
+    """Every day's sales table landed under year/month folders, then the
+    union of all discovered tables read back in one scan."""
+    from pyspark.sql import functions as F
+    from chainyard.sources import daily
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "daily-sales")
+    daily.land_daily(fx.raw_sales(w.spark, w.sf_dir), f"{root}/postgres")
+    union = daily.read_daily(w.spark, f"{root}/postgres")
+    parts = daily.table_date_parts("_source_table")
+    return union.withColumns({"table_year": parts["yyyy"].cast("int"),
+                              "table_month": parts["mm"].cast("int"),
+                              "table_day": parts["dd"].cast("int")})
+
+
+@register("ingest_unseen_tables", O.with_models(f"""
+    select {_SALES_COLS} from raw_sales r
+    where not exists (select 1 from (select distinct _source_table as table_name
+                                     from raw_sales
+                                     where _source_table < 'sales_1998_01_01') seen
+                      where seen.table_name = r._source_table)"""))
+def _ingest_unseen_tables(w):
+    """Only daily tables missing from the seen-set of an earlier run (the
+    tables dated before 1998) are ingested."""
+    from pyspark.sql import functions as F
+    from chainyard.sources import daily
+    from chainyard.testing import fixtures as fx
+    raw = fx.raw_sales(w.spark, w.sf_dir)
+    catalog = raw.select(F.col("_source_table").alias("table_name")).distinct()
+    tables = daily.discover(catalog)
+    seen = tables.filter(F.concat("yyyy", "mm", "dd") < F.lit("19980101"))
+    todo = daily.unseen(tables, seen).select(F.col("table_name").alias("_source_table"))
+    return raw.join(todo, "_source_table", "left_semi")
+
+
+@register("modified_after_ingest", """
+    select event_id, ts, user_id, event_type, value, props from events
+    where ts >= timestamp '2024-01-16 00:00:00'""")
+def _modified_after_ingest(w):
+    """Two drops of event files; the second run reads only files modified
+    after the watermark saved by the first (strictly later)."""
+    import time
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    from chainyard import state
+    from chainyard.sources.files import list_files, read_batch
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "modified-after")
+    events = fx.table(w.spark, w.sf_dir, "events")
+    split = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    micros = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    events.filter(split).write.options(**micros).json(f"{root}/drop/events/a")
+    first = list_files(w.spark, f"{root}/drop/events").agg(F.max("modificationTime")).first()[0]
+    mark = first.replace(tzinfo=None).isoformat() + "+00:00"
+    state.save_state(w.spark, f"{root}/state/files", {"dynamic.events": mark})
+    after = state.modified_after_option(
+        state.load_state(w.spark, f"{root}/state/files")["dynamic.events"])
+    while time.time() < _epoch(after) + 1.0:
+        time.sleep(0.2)
+    events.filter(~split).write.options(**micros).json(f"{root}/drop/events/b")
+    schema = T.StructType([f for f in events.schema.fields])
+    batch = read_batch(w.spark, f"{root}/drop/events", schema, modified_after=after)
+    return batch.data.drop("_source_key")
+
+
+def _epoch(text: str) -> float:
+    import datetime as dt
+    return dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc).timestamp()
+
+
+@register("raw_schema_merge_load", O.with_models(f"""
+    select shipment_id, warehouse_id, store_id, product_id, quantity_shipped, shipment_date,
+           expected_delivery_date, actual_delivery_date,
+           case when _ingestion_timestamp > '{O.FIRST_RUN_UNTIL}' then carrier end as carrier,
+           _ingestion_timestamp, _run_id
+    from raw_shipments"""))
+def _raw_schema_merge_load(w):
+    """Two landing drops with different schemas loaded into RAW by two
+    runs: each file loads once, columns merge by name."""
+    from pyspark.sql import functions as F
+    from chainyard.sources.landing import land, load_raw, read_raw
+    from chainyard.testing import fixtures as fx
+    from chainyard.testing.scenario import first_run
+    root = _scratch(w, "raw-load")
+    ship = fx.raw_shipments(w.spark, w.sf_dir)
+    land(first_run(ship).drop("carrier"), f"{root}/landing/shipments/a")
+    load_raw(w.spark, f"{root}/landing", f"{root}/raw/shipments", f"{root}/raw/_loaded")
+    land(ship.filter(F.col("_ingestion_timestamp") > O.FIRST_RUN_UNTIL),
+         f"{root}/landing/shipments/b")
+    load_raw(w.spark, f"{root}/landing", f"{root}/raw/shipments", f"{root}/raw/_loaded")
+    return read_raw(w.spark, f"{root}/raw/shipments")
+
+
+# -- profiles, checksums, read-back validation (A2, A4, Q8-Q13, K10, K11) ----
+_PROFILE_NUMERIC = ("quantity_sold", "unit_price", "discount_pct", "sale_amount")
+_PROFILE_OTHER = ("transaction_id", "store_id", "product_id", "transaction_timestamp",
+                  "transaction_date")
+
+
+def _profile_sql() -> str:
+    parts = []
+    for c in _PROFILE_NUMERIC:
+        v = f"cast({c} as decimal(38,6))"
+        parts.append(f"select '{c}' as column_name, "
+                     f"cast(count(*) filter (where {c} is null) as bigint) as null_count, "
+                     f"min({v}) as min, max({v}) as max, "
+                     f"cast(coalesce(sum({v}), 0) as decimal(38,6)) as sum from stg_sales")
+    for c in _PROFILE_OTHER:
+        parts.append(f"select '{c}' as column_name, "
+                     f"cast(count(*) filter (where {c} is null) as bigint) as null_count, "
+                     f"cast(null as decimal(38,6)) as min, cast(null as decimal(38,6)) as max, "
+                     f"cast(null as decimal(38,6)) as sum from stg_sales")
+    return O.with_models("\nunion all\n".join(parts))
+
+
+@register("column_profile", _profile_sql())
+def _column_profile(w):
+    from chainyard.operators.validate import profile
+    return profile(w.stg("sales"))
+
+
+@register("table_checksum_match", O.with_models("""
+    select 'stg_sales' as table_name, count(*) as row_count, true as checksum_match
+    from stg_sales
+    union all
+    select 'stg_shipments', count(*), true from stg_shipments
+    union all
+    select 'stg_inventory', count(*), true from stg_inventory"""))
+def _table_checksum_match(w):
+    """Checksum of each staged table equals that of its Parquet round trip
+    read back with a different partitioning."""
+    from pyspark.sql import functions as F
+    from chainyard.operators.validate import checksum
+    root = _scratch(w, "checksum")
+    out = None
+    for name in ("sales", "shipments", "inventory"):
+        df = w.stg(name)
+        df.write.parquet(f"{root}/{name}")
+        back = w.spark.read.parquet(f"{root}/{name}").repartition(13, df.columns[1])
+        a = checksum(df).select(F.col("row_count"), F.col("checksum").alias("a"))
+        b = checksum(back).select(F.col("checksum").alias("b"), F.col("row_count").alias("n"))
+        row = a.join(b, F.col("row_count") == F.col("n"), "full_outer").select(
+            F.lit(f"stg_{name}").alias("table_name"), F.col("row_count"),
+            (F.col("a") == F.col("b")).alias("checksum_match"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+_RAW_DATA_COLS = {"products": 6, "suppliers": 4, "warehouses": 3, "stores": 6, "sales": 9,
+                  "shipments": 9, "inventory": 5}
+
+
+@register("validate_readback", O.with_models("\nunion all\n".join(
+    f"select '{n}' as source_name, 'PASSED' as status, count(*) as rows_source, "
+    f"count(*) as rows_dest, {k} as columns_source, {k} as columns_dest, "
+    f"true as row_count_passed, true as column_count_passed, true as schema_passed, "
+    f"true as checksum_passed, true as col_stats_passed from raw_{n}"
+    for n, k in _RAW_DATA_COLS.items())))
+def _validate_readback(w):
+    """Every raw source landed as Parquet, read back and validated; the
+    reports are appended to the validation log and read from it."""
+    from pyspark.sql import functions as F
+    from chainyard.operators.validate import load_history, save_reports, validate_readback
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "readback")
+    reports = []
+    for name in _RAW_DATA_COLS:
+        src = fx.RAW[name](w.spark, w.sf_dir)
+        dest = f"{root}/landing/{name}.parquet"
+        src.write.parquet(dest)
+        reports.append(validate_readback(src, w.spark.read.parquet(dest), INGEST_RUN, name,
+                                         dest, validated_at=INGEST_TS))
+    save_reports(w.spark, reports, f"{root}/monitoring/validation")
+    hist = load_history(w.spark, f"{root}/monitoring/validation")
+    return hist.select("source_name", "status", "rows_source", "rows_dest",
+                       F.col("columns_source").cast("int").alias("columns_source"),
+                       F.col("columns_dest").cast("int").alias("columns_dest"),
+                       "row_count_passed", "column_count_passed", "schema_passed",
+                       "checksum_passed", "col_stats_passed")
