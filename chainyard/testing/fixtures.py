@@ -31,8 +31,17 @@ CALENDAR = {"start": "1995-01-01", "as_of": "2001-12-31", "max_days": 4000}
 AS_OF = CALENDAR["as_of"]
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's table ``name`` (read once per session: listing and
+    footer reads are not repeated for every model that uses it)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def iso(ts: str) -> str:

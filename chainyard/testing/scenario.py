@@ -13,9 +13,22 @@ from chainyard.plans import dims, facts, staging
 from chainyard.testing import fixtures as fx
 
 
+def _memo(fn):
+    """Cache a model per Warehouse and arguments: a model used by several
+    others (dim_product by both facts) is planned once."""
+    def wrapper(self, *args, **kw):
+        key = (fn.__name__, args, tuple(sorted(kw.items())))
+        if key not in self._memo:
+            self._memo[key] = fn(self, *args, **kw)
+        return self._memo[key]
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._memo: dict = {}
 
     def model(self, name: str) -> DataFrame:
         """Any model by name: raw_*, stg_*, snap_*, dim_*, fct_*."""
@@ -32,32 +45,40 @@ class Warehouse:
         return _Models(self)
 
     # staging -----------------------------------------------------------
+    @_memo
     def stg(self, entity: str) -> DataFrame:
         return staging.STAGING[entity](fx.RAW[entity](self.spark, self.sf_dir))
 
     # snapshots ---------------------------------------------------------
+    @_memo
     def snap_products(self, runs=fx.PRODUCT_RUNS) -> DataFrame:
         batches = [staging.stg_products(fx.product_batch(self.spark, self.sf_dir, i + 1, runs))
                    for i in range(len(runs))]
         return dims.snapshot_runs("products", batches, runs)
 
+    @_memo
     def snap_static(self, entity: str, run_ts: str = fx.DIM_RUN) -> DataFrame:
         staged = staging.STAGING[entity](fx.RAW[entity](self.spark, self.sf_dir, fx.iso(run_ts)))
         return dims.snapshot(entity, None, staged, run_ts)
 
     # dimensions --------------------------------------------------------
+    @_memo
     def dim_date(self) -> DataFrame:
         return dims.date_spine(self.spark, **fx.CALENDAR)
 
+    @_memo
     def dim_product(self) -> DataFrame:
         return dims.dim_product(self.snap_products(), self.snap_static("suppliers"))
 
+    @_memo
     def dim_supplier(self) -> DataFrame:
         return dims.dim_supplier(self.snap_static("suppliers"))
 
+    @_memo
     def dim_store(self) -> DataFrame:
         return dims.dim_store(self.snap_static("stores"))
 
+    @_memo
     def dim_warehouse(self) -> DataFrame:
         return dims.dim_warehouse(self.snap_static("warehouses"))
 
