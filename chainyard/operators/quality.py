@@ -33,7 +33,7 @@ RESULT_SCHEMA = T.StructType([
 
 
 @dataclass(frozen=True)
-class Test:
+class DataTest:
     model: str
     column: str
     kind: str
@@ -47,7 +47,7 @@ class Test:
         return self.name or self.kind
 
 
-def failing(t: Test) -> F.Column:
+def failing(t: DataTest) -> F.Column:
     """Row-level failure predicate (NULL never fails except for not_null)."""
     c = F.col(t.column)
     if t.kind == "not_null":
@@ -61,7 +61,7 @@ def failing(t: Test) -> F.Column:
     raise ValueError(t.kind)
 
 
-def _row_tests(df: DataFrame, tests: list[Test]) -> DataFrame:
+def _row_tests(df: DataFrame, tests: list[DataTest]) -> DataFrame:
     counts = df.agg(*[F.count_if(F.coalesce(failing(t), F.lit(False))).alias(f"f{i}")
                       for i, t in enumerate(tests)])
     rows = [F.struct(F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
@@ -70,7 +70,7 @@ def _row_tests(df: DataFrame, tests: list[Test]) -> DataFrame:
     return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _unique(df: DataFrame, t: Test) -> DataFrame:
+def _unique(df: DataFrame, t: DataTest) -> DataFrame:
     dup = (df.select(t.column).filter(F.col(t.column).isNotNull())
              .groupBy(t.column).count().filter(F.col("count") > 1))
     return dup.agg(F.count(F.lit(1)).alias("failures")).select(
@@ -78,7 +78,7 @@ def _unique(df: DataFrame, t: Test) -> DataFrame:
         F.lit(t.label).alias("test"), F.col("failures").cast("long"))
 
 
-def _relationship(child: DataFrame, parent: DataFrame, t: Test) -> DataFrame:
+def _relationship(child: DataFrame, parent: DataFrame, t: DataTest) -> DataFrame:
     keys = parent.select(F.col(t.field).alias("__parent")).distinct()
     orphans = (child.select(F.col(t.column).alias("__child"))
                     .filter(F.col("__child").isNotNull())
@@ -100,7 +100,7 @@ def run_suite(spark: SparkSession, tables, tests) -> DataFrame:
         return cache[name]
 
     parts = []
-    by_model: dict[str, list[Test]] = {}
+    by_model: dict[str, list[DataTest]] = {}
     for t in tests:
         by_model.setdefault(t.model, []).append(t)
     for model, ts in by_model.items():
@@ -138,11 +138,11 @@ def gate(results: DataFrame) -> list:
 
 
 def _nn(model, *cols):
-    return [Test(model, c, "not_null") for c in cols]
+    return [DataTest(model, c, "not_null") for c in cols]
 
 
 def _u(model, *cols):
-    return [Test(model, c, "unique") for c in cols]
+    return [DataTest(model, c, "unique") for c in cols]
 
 
 def _scd(model, key):
@@ -180,32 +180,32 @@ SUITE = (
     + _scd("dim_supplier", "supplier_id") + _scd("dim_warehouse", "warehouse_id")
     + _nn("fct_sales", "transaction_id") + _u("fct_sales", "transaction_id")
     + _nn("fct_sales", "store_id", "product_id", "date_id")
-    + [Test("fct_sales", "date_id", "relationships", "dim_date", "date_id"),
-       Test("fct_sales", "product_surrogate_key", "relationships", "dim_product",
+    + [DataTest("fct_sales", "date_id", "relationships", "dim_date", "date_id"),
+       DataTest("fct_sales", "product_surrogate_key", "relationships", "dim_product",
             "surrogate_key")]
     + _nn("fct_shipments", "shipment_id") + _u("fct_shipments", "shipment_id")
-    + [Test("fct_shipments", "product_surrogate_key", "relationships", "dim_product",
+    + [DataTest("fct_shipments", "product_surrogate_key", "relationships", "dim_product",
             "surrogate_key"),
-       Test("fct_shipments", "warehouse_surrogate_key", "relationships", "dim_warehouse",
+       DataTest("fct_shipments", "warehouse_surrogate_key", "relationships", "dim_warehouse",
             "surrogate_key")]
     + _nn("fct_inventory", "inventory_key") + _u("fct_inventory", "inventory_key")
     # custom tests
-    + [Test("stg_sales", "quantity_sold", "positive_value"),
-       Test("stg_sales", "unit_price", "positive_value"),
-       Test("stg_sales", "discount_pct", "not_negative"),
-       Test("stg_shipments", "quantity_shipped", "not_negative"),
-       Test("stg_inventory", "quantity_available", "not_negative"),
-       Test("stg_inventory", "reorder_threshold", "not_negative"),
-       Test("stg_shipments", "delivery_status", "accepted_values",
+    + [DataTest("stg_sales", "quantity_sold", "positive_value"),
+       DataTest("stg_sales", "unit_price", "positive_value"),
+       DataTest("stg_sales", "discount_pct", "not_negative"),
+       DataTest("stg_shipments", "quantity_shipped", "not_negative"),
+       DataTest("stg_inventory", "quantity_available", "not_negative"),
+       DataTest("stg_inventory", "reorder_threshold", "not_negative"),
+       DataTest("stg_shipments", "delivery_status", "accepted_values",
             values=DELIVERY_STATUSES, name="valid_delivery_status"),
-       Test("fct_shipments", "delivery_status", "accepted_values",
+       DataTest("fct_shipments", "delivery_status", "accepted_values",
             values=DELIVERY_STATUSES, name="valid_delivery_status"),
-       Test("stg_inventory", "stock_level", "accepted_values",
+       DataTest("stg_inventory", "stock_level", "accepted_values",
             values=STOCK_LEVELS, name="valid_stock_level"),
-       Test("fct_inventory", "stock_level", "accepted_values",
+       DataTest("fct_inventory", "stock_level", "accepted_values",
             values=STOCK_LEVELS, name="valid_stock_level")]
 )
 
 
-def select_tests(kind: str, suite=SUITE) -> list[Test]:
+def select_tests(kind: str, suite=SUITE) -> list[DataTest]:
     return [t for t in suite if t.label == kind or t.kind == kind]

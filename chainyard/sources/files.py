@@ -95,7 +95,7 @@ def read_json(spark: SparkSession, files: list[str], schema: T.StructType | None
         if schema is not None:
             s = schema if not corrupt_col else schema.add(corrupt_col, T.StringType(), True)
             r = r.schema(s)
-        parts.append(r.json(group))
+        parts.append(_keyed(r.json(group)))
     if not parts:
         return None
     out = parts[0]
@@ -114,7 +114,12 @@ def read_csv(spark: SparkSession, files: list[str], schema: T.StructType | None,
         r = r.schema(s)
     else:
         r = r.option("inferSchema", "true")
-    return r.csv(files)
+    return _keyed(r.csv(files))
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    """Tag rows with their file (must be taken per scan, before any union)."""
+    return df.withColumn("_source_key", F.col("_metadata.file_path"))
 
 
 def read_batch(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -150,7 +155,6 @@ def read_batch(spark: SparkSession, path: str, schema: T.StructType | None = Non
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p, allowMissingColumns=True)
-    df = df.withColumn("_source_key", F.col("_metadata.file_path"))
     accepted = csv_files + json_files
     if reject_empty:
         seen = {r[0] for r in df.groupBy("_source_key").count().select("_source_key").collect()}
