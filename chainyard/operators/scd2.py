@@ -62,7 +62,10 @@ def scd2_snapshot(current: DataFrame | None, source: DataFrame, key: str, check_
     if current is None:
         return initial_snapshot(source, key, run_ts, initial_valid_from)
 
-    data_cols = source.columns
+    src_schema = source.schema
+    data_cols = [f.name for f in src_schema.fields]
+    types = {f.name: f.dataType for f in src_schema.fields}
+    cur_cols = set(current.columns)
     history = current.filter(F.col("valid_to").isNotNull())
     open_rows = current.filter(F.col("valid_to").isNull())
     t, s = open_rows.alias("t"), source.alias("s")
@@ -75,8 +78,7 @@ def scd2_snapshot(current: DataFrame | None, source: DataFrame, key: str, check_
     now = _ts(run_ts)
 
     def old_col(c):
-        typ = source.schema[c].dataType
-        return F.col(f"t.{c}").cast(typ) if c in current.columns else F.lit(None).cast(typ)
+        return F.col(f"t.{c}").cast(types[c]) if c in cur_cols else F.lit(None).cast(types[c])
 
     old_row = F.when(t_exists, F.struct(
         *[old_col(c).alias(c) for c in data_cols],
@@ -97,19 +99,18 @@ def scd2_snapshot(current: DataFrame | None, source: DataFrame, key: str, check_
                         .alias("v"))
                 .select("v.*"))
     out_cols = [*data_cols, "surrogate_key", "valid_from", "valid_to", "updated_at"]
-    hist = history.select(*[old_hist(history, source, c) for c in out_cols])
+    hist = history.select(*[_hist_col(c, cur_cols, types) for c in out_cols])
     return (versions.unionByName(hist)
                     .withColumn("is_current", F.col("valid_to").isNull())
                     .select(*data_cols, *SCD_COLS))
 
 
-def old_hist(history: DataFrame, source: DataFrame, c: str) -> F.Column:
-    if c not in source.columns:
+def _hist_col(c: str, have: set, types: dict) -> F.Column:
+    if c not in types:
         return F.col(c)
-    typ = source.schema[c].dataType
-    if c in history.columns:
-        return F.col(c).cast(typ).alias(c)
-    return F.lit(None).cast(typ).alias(c)
+    if c in have:
+        return F.col(c).cast(types[c]).alias(c)
+    return F.lit(None).cast(types[c]).alias(c)
 
 
 def as_of(snapshot: DataFrame, instant: str) -> DataFrame:

@@ -58,6 +58,32 @@ def list_files(spark: SparkSession, path: str, modified_after: str | None = None
     return df.select("path", "modificationTime", "length")
 
 
+# Inputs in this size range may be re-spread over the cores after the scan:
+# smaller ones are not worth a shuffle, larger ones never need one.
+SPREAD_MIN_BYTES = 4 << 20
+SPREAD_BELOW_BYTES = 1 << 30
+
+
+def spread_small_input(spark: SparkSession, df: DataFrame, path: str,
+                       below_bytes: int = SPREAD_BELOW_BYTES,
+                       min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin an under-split *small* input over the cluster's cores.
+
+    A Parquet file written as one row group is read by a single task
+    whatever its size, and every narrow operator after the scan (casts,
+    broadcast joins, projections) then runs in that task too.  When a
+    table has fewer files than cores and is between ``min_bytes`` and
+    ``below_bytes``, one bounded shuffle spreads it; large inputs are never touched (they
+    are split by row group already, and a shuffle there would be waste).
+    Filters and column pruning still reach the scan below the repartition.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    size = list_files(spark, path).agg(F.sum("length")).first()[0] or 0
+    return df.repartition(cores) if min_bytes <= size < below_bytes else df
+
+
 def _ext(path: str) -> str:
     name = path.rsplit("/", 1)[-1]
     return ("." + name.rsplit(".", 1)[-1].lower()) if "." in name else ""

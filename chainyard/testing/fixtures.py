@@ -37,10 +37,11 @@ _TABLES: dict = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's table ``name`` (read once per session: listing and
     footer reads are not repeated for every model that uses it)."""
+    from chainyard.sources.files import spread_small_input
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
+        _TABLES[key] = spread_small_input(spark, spark.read.parquet(path), path)
     return _TABLES[key]
 
 

@@ -8,6 +8,11 @@ from chainyard.session import configure
 from chainyard.testing import oracle as O
 from chainyard.testing.scenario import Warehouse
 
+def _scratch(w, name):
+    from chainyard.session import shared_dir
+    return shared_dir(w.spark, name)
+
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -112,13 +117,19 @@ def _snap_products(w):
 
 # -- incremental facts: first run up to 1998, second run merges the rest ----
 def _incremental(w, name: str):
+    """Run 1 builds the fact from the batches ingested up to 1998 and
+    publishes it; run 2 reads the published table, takes only rows ingested
+    after its high watermark, and merges them in as a new version."""
     from chainyard.plans import facts
+    from chainyard.store import TableStore
     from chainyard.testing.scenario import first_run
+    store = TableStore(w.spark, _scratch(w, "incremental"))
     staged = w.stg({"fct_sales": "sales", "fct_shipments": "shipments",
                     "fct_inventory": "inventory"}[name])
     build = getattr(w, name)
-    target = facts.incremental(name, None, first_run(staged), build)
-    return facts.incremental(name, target, staged, build)
+    store.commit(name, facts.incremental(name, None, first_run(staged), build))
+    store.commit(name, facts.incremental(name, store.read(name), staged, build))
+    return store.read(name)
 
 
 for _name in ("fct_sales", "fct_shipments", "fct_inventory"):
@@ -158,10 +169,14 @@ def _merge_schema_sync(w):
     from pyspark.sql import functions as F
     from chainyard.plans import facts
     from chainyard.testing.scenario import first_run
+    from chainyard.store import TableStore
+    store = TableStore(w.spark, _scratch(w, "schema-sync"))
     staged = w.stg("inventory")
-    old = (w.fct_inventory(first_run(staged)).drop("stock_level")
-           .withColumn("legacy_bin", F.lit("A")))
-    return facts.incremental("fct_inventory", old, staged, w.fct_inventory)
+    store.commit("fct_inventory", w.fct_inventory(first_run(staged)).drop("stock_level")
+                 .withColumn("legacy_bin", F.lit("A")))
+    store.commit("fct_inventory", facts.incremental(
+        "fct_inventory", store.read("fct_inventory"), staged, w.fct_inventory))
+    return store.read("fct_inventory")
 
 
 # -- data-quality suite (Q1-Q7): failing-row counts per test ----------------
@@ -190,11 +205,6 @@ INGEST_RUN = "run-ingest"
 DROP_BUCKET = "supply-drop"
 
 
-def _scratch(w, name):
-    from chainyard.session import shared_dir
-    return shared_dir(w.spark, name)
-
-
 def _land_and_read(w, df, root, name, mode="overwrite"):
     from chainyard.sources.landing import land
     return w.spark.read.parquet(land(df, f"{root}/landing/{name}.parquet", mode=mode))
@@ -456,3 +466,30 @@ def _validate_readback(w):
                        F.col("columns_dest").cast("int").alias("columns_dest"),
                        "row_count_passed", "column_count_passed", "schema_passed",
                        "checksum_passed", "col_stats_passed")
+
+
+# -- the whole warehouse run twice through the versioned store ------------
+@register("warehouse_run", O.warehouse_run_sales_sql())
+def _warehouse_run(w):
+    """Two scheduled runs: snapshots, dimensions, incremental facts, data
+    tests, publish.  Run 1 sees the batches ingested up to 1998 and the
+    original products; run 2 sees everything and the re-branded products.
+    Raw inputs are first landed as RAW tables, as ingestion does.
+    Returns the published sales fact: rows of run 1 keep the product
+    version they were linked to then (facts are not re-linked later)."""
+    from chainyard.plans.run import run_batch
+    from chainyard.store import TableStore
+    from chainyard.testing import fixtures as fx
+    from chainyard.testing.scenario import first_run
+    store = TableStore(w.spark, _scratch(w, "warehouse"))
+    for i, run_ts in enumerate(fx.PRODUCT_RUNS):
+        raw = {e: fx.RAW[e](w.spark, w.sf_dir) for e in ("suppliers", "warehouses", "stores")}
+        raw["products"] = fx.product_batch(w.spark, w.sf_dir, i + 1, fx.PRODUCT_RUNS)
+        for e in ("sales", "shipments", "inventory"):
+            r = fx.RAW[e](w.spark, w.sf_dir)
+            raw[e] = first_run(r) if i == 0 else r
+        landed = {(e, "RAW"): store.stage(e, df, "RAW") for e, df in raw.items()}
+        store.publish(landed)
+        raw = {e: store.read(e, "RAW") for e in raw}
+        run_batch(w.spark, store, raw, run_ts, fx.AS_OF, calendar=fx.CALENDAR)
+    return store.read("fct_sales", "MARTS")
