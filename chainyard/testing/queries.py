@@ -493,3 +493,36 @@ def _warehouse_run(w):
         raw = {e: store.read(e, "RAW") for e in raw}
         run_batch(w.spark, store, raw, run_ts, fx.AS_OF, calendar=fx.CALENDAR)
     return store.read("fct_sales", "MARTS")
+
+
+# -- streaming ingestion (file source, available-now, keyed merge) --------
+@register("stream_ingest", O.with_models("""
+    select shipment_id, warehouse_id, store_id, product_id, quantity_shipped, shipment_date,
+           expected_delivery_date, actual_delivery_date, carrier, _ingestion_timestamp, _run_id
+    from raw_shipments"""))
+def _stream_ingest(w):
+    """Shipment files arrive in two drops; an available-now stream run
+    after each drop merges only the new files into the RAW table; a third
+    run with no new file starts no batch."""
+    from pyspark.sql import functions as F
+    from chainyard import schemas
+    from chainyard.store import TableStore
+    from chainyard.streaming.ingest import file_stream, merge_stream_into
+    from chainyard.testing import fixtures as fx
+    from chainyard.testing.scenario import first_run
+    root = _scratch(w, "stream")
+    store = TableStore(w.spark, f"{root}/store")
+    ship = fx.raw_shipments(w.spark, w.sf_dir)
+    schema = schemas.with_lineage(schemas.RAW["shipments"], "_ingestion_timestamp", "_run_id")
+    drops = [first_run(ship), ship.filter(F.col("_ingestion_timestamp") > O.FIRST_RUN_UNTIL)]
+    runs = []
+    for i, drop in enumerate(drops + [None]):
+        if drop is not None:
+            drop.write.json(f"{root}/landing/shipments/drop={i}")
+        stream = file_stream(w.spark, f"{root}/landing/shipments", schema,
+                             recursiveFileLookup="true")
+        runs.append(merge_stream_into(stream, store, "shipments", "shipment_id",
+                                      f"{root}/checkpoint/shipments", "RAW"))
+    if runs[-1] != 0:
+        raise AssertionError(f"a run without new files started {runs[-1]} batch(es)")
+    return store.read("shipments", "RAW")
