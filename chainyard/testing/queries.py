@@ -446,19 +446,20 @@ _RAW_DATA_COLS = {"products": 6, "suppliers": 4, "warehouses": 3, "stores": 6, "
     f"true as checksum_passed, true as col_stats_passed from raw_{n}"
     for n, k in _RAW_DATA_COLS.items())))
 def _validate_readback(w):
-    """Every raw source landed as Parquet, read back and validated; the
-    reports are appended to the validation log and read from it."""
+    """Every raw source landed as Parquet (source measured during the
+    write), read back and validated; the reports are appended to the
+    validation log and read from it."""
     from pyspark.sql import functions as F
-    from chainyard.operators.validate import load_history, save_reports, validate_readback
+    from chainyard.operators.validate import load_history, save_reports
+    from chainyard.sources.ingest import land_validated
     from chainyard.testing import fixtures as fx
     root = _scratch(w, "readback")
     reports = []
     for name in _RAW_DATA_COLS:
-        src = fx.RAW[name](w.spark, w.sf_dir)
-        dest = f"{root}/landing/{name}.parquet"
-        src.write.parquet(dest)
-        reports.append(validate_readback(src, w.spark.read.parquet(dest), INGEST_RUN, name,
-                                         dest, validated_at=INGEST_TS))
+        rep = land_validated(fx.RAW[name](w.spark, w.sf_dir), f"{root}/landing/{name}.parquet",
+                             INGEST_RUN, name)
+        rep["validated_at"] = INGEST_TS
+        reports.append(rep)
     save_reports(w.spark, reports, f"{root}/monitoring/validation")
     hist = load_history(w.spark, f"{root}/monitoring/validation")
     return hist.select("source_name", "status", "rows_source", "rows_dest",
