@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainyard.operators.dedupe import any_null, duplicate_keys, latest_per_key
+from chainyard.operators.joins import broadcast_if_small
 
 
 class DuplicateKeyError(ValueError):
@@ -89,6 +90,10 @@ def merge_incremental(target: DataFrame | None, batch: DataFrame, key,
     else:
         latest = align_to(latest, target.schema)
     batch_keys = latest.filter(~any_null(keys)).select(*keys)
-    kept = target.filter(~any_null(keys)).join(batch_keys, keys, "left_anti")
+    # a small batch's keys are broadcast (checked count), so the target is
+    # filtered in place without a shuffle; a large batch takes the
+    # key-partitioned join
+    kept = target.filter(~any_null(keys)).join(broadcast_if_small(batch_keys), keys,
+                                                "left_anti")
     null_keyed = target.filter(any_null(keys))
     return kept.unionByName(null_keyed).unionByName(latest.select(*target.columns))

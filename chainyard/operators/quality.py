@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainyard.functions.columns import DELIVERY_STATUSES, STOCK_LEVELS
+from chainyard.operators.joins import broadcast_if_small
 
 ROW_TESTS = ("not_null", "positive_value", "not_negative", "accepted_values")
 
@@ -82,7 +83,8 @@ def _relationship(child: DataFrame, parent: DataFrame, t: DataTest) -> DataFrame
     keys = parent.select(F.col(t.field).alias("__parent")).distinct()
     orphans = (child.select(F.col(t.column).alias("__child"))
                     .filter(F.col("__child").isNotNull())
-                    .join(keys, F.col("__child") == F.col("__parent"), "left_anti"))
+                    .join(broadcast_if_small(keys), F.col("__child") == F.col("__parent"),
+                          "left_anti"))
     return orphans.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
         F.lit(t.label).alias("test"), F.col("failures").cast("long"))

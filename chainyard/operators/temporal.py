@@ -5,8 +5,9 @@ half-open validity ``[valid_from, valid_to)`` contains the fact's instant
 (an open end is NULL).  It is one equi-join on the natural key with the
 range as a join residual, so Catalyst picks the physical join:
 
-* broadcast hash join when the version table is measured small (AQE /
-  ``autoBroadcastJoinThreshold`` -- a checked size, never a blind hint);
+* broadcast hash join when the version table has at most
+  ``broadcast_max_rows`` rows (counted first -- a checked size, never a
+  blind hint), so the fact side is not shuffled at all;
 * otherwise a sort-merge join on the key.  AQE's skew-join splits an
   oversized fact partition (one product holding a third of all sales)
   into several tasks that each read the small matching version range.
@@ -25,6 +26,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chainyard.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+
 
 def hot_keys(df: DataFrame, keys: list[str], min_share: float = 0.01) -> DataFrame:
     """Keys holding at least ``min_share`` of all rows.
@@ -41,7 +44,8 @@ def hot_keys(df: DataFrame, keys: list[str], min_share: float = 0.01) -> DataFra
 def pit_join(fact: DataFrame, versions: DataFrame, keys, ts: str,
              valid_from: str = "valid_from", valid_to: str = "valid_to",
              as_date: bool = False, skew_buckets: int | None = None,
-             hot_share: float = 0.01) -> DataFrame:
+             hot_share: float = 0.01,
+             broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """Left-join ``versions`` (keys, valid_from, valid_to, payload...) to
     ``fact`` at instant ``fact[ts]``; returns fact columns + payload.
 
@@ -56,11 +60,14 @@ def pit_join(fact: DataFrame, versions: DataFrame, keys, ts: str,
                         F.col(valid_from).alias("__vf"), F.col(valid_to).alias("__vt"),
                         *payload)
     f = fact
+    fact_cols = fact.columns
     join_keys = list(zip(keys, kcols))
 
-    if skew_buckets and skew_buckets > 1:
+    if not (skew_buckets and skew_buckets > 1):
+        v = broadcast_if_small(v, broadcast_max_rows)
+    else:
         hot = F.broadcast(hot_keys(fact, keys, hot_share).withColumn("__hot", F.lit(True)))
-        salt = F.pmod(F.xxhash64(*fact.columns), F.lit(skew_buckets)).cast("int")
+        salt = F.pmod(F.xxhash64(*fact_cols), F.lit(skew_buckets)).cast("int")
         f = (fact.join(hot, keys, "left")
                  .withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0)))
                  .drop("__hot"))
@@ -81,4 +88,4 @@ def pit_join(fact: DataFrame, versions: DataFrame, keys, ts: str,
         conds.append(f["__salt"] == v["__vsalt"])
     cond = reduce(lambda a, b: a & b, conds) & (t >= vf) & ((t < vt) | vt.isNull())
     out = f.join(v, cond, "left")
-    return out.select(*[f[c] for c in fact.columns], *[v[c] for c in payload])
+    return out.select(*[f[c] for c in fact_cols], *[v[c] for c in payload])

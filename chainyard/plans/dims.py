@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainyard.functions.columns import date_id, day_of_week0
+from chainyard.operators.joins import broadcast_if_small
 from chainyard.operators.scd2 import scd2_snapshot
 from chainyard.schemas import CHECK_COLS, NATURAL_KEY
 
@@ -76,7 +77,7 @@ def dim_product(snap_products: DataFrame, snap_suppliers: DataFrame) -> DataFram
                  .select("supplier_id", "supplier_name",
                          F.col("category").alias("supplier_category"),
                          F.col("country").alias("supplier_country")))
-    return snap_products.join(suppliers, "supplier_id", "left").select(
+    return snap_products.join(broadcast_if_small(suppliers), "supplier_id", "left").select(
         "surrogate_key", "valid_from", "valid_to", "is_current", "updated_at",
         "product_id", "product_name", "category", "brand", "unit_price", "supplier_id",
         "supplier_name", "supplier_category", "supplier_country")
