@@ -10,6 +10,7 @@ shuffled already by the time the small side turns out to be small.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,18 @@ BROADCAST_MAX_ROWS = 500_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The side is cached while it is counted: when it is small the count has
+    materialised it completely (bounded memory) and the broadcast is built
+    from the cache instead of recomputing the side; when it is large the
+    limited count stops early and the cache is dropped.
+    """
     if max_rows is None or max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
