@@ -19,6 +19,19 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 500_000
 
 
+def checked_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS
+                      ) -> tuple[DataFrame, bool]:
+    """(``broadcast(df)``, True) if ``df`` has at most ``max_rows`` rows,
+    else (``df``, False).  See ``broadcast_if_small``."""
+    if max_rows is None or max_rows <= 0:
+        return df, False
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(cached), True
+    cached.unpersist()
+    return df, False
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
@@ -27,11 +40,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS)
     from the cache instead of recomputing the side; when it is large the
     limited count stops early and the cache is dropped.
     """
-    if max_rows is None or max_rows <= 0:
-        return df
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
+    return checked_broadcast(df, max_rows)[0]

@@ -5,11 +5,11 @@ A test "fails" with the number of rows its check query would return, as
 a schema test does: failing rows for row-level checks, duplicated values
 for ``unique``, orphan child rows for ``relationships``.
 
-Execution per table: every row-level test of the table is fused into one
-aggregate pass (``count_if`` per test); each ``unique`` test is one
-partial aggregate on the column (a hot value is pre-counted map-side);
+Execution: every row-level test of a table is fused into one aggregate
+pass (``count_if`` per test); all ``unique`` tests share ONE partial
+aggregate over (test, value) pairs (a hot value is pre-counted map-side);
 each ``relationships`` test is one ``left_anti`` join against the distinct
-parent keys.  Only the small result table reaches the driver, in ``gate``.
+parent keys (broadcast when counted small).  Only the small result table reaches the driver, in ``gate``.
 """
 
 from __future__ import annotations
@@ -71,12 +71,22 @@ def _row_tests(df: DataFrame, tests: list[DataTest]) -> DataFrame:
     return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _unique(df: DataFrame, t: DataTest) -> DataFrame:
-    dup = (df.select(t.column).filter(F.col(t.column).isNotNull())
-             .groupBy(t.column).count().filter(F.col("count") > 1))
-    return dup.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
-        F.lit(t.label).alias("test"), F.col("failures").cast("long"))
+def _uniques(spark: SparkSession, frames: list[tuple[DataTest, DataFrame]]) -> DataFrame:
+    """Duplicated-value counts of many ``unique`` tests in one shuffle."""
+    pairs = None
+    for i, (t, df) in enumerate(frames):
+        p = (df.select(F.lit(i).alias("__t"), F.col(t.column).cast("string").alias("__v"))
+               .filter(F.col("__v").isNotNull()))
+        pairs = p if pairs is None else pairs.unionByName(p)
+    dup = (pairs.groupBy("__t", "__v").agg(F.count(F.lit(1)).alias("__n"))
+                .filter(F.col("__n") > 1).groupBy("__t")
+                .agg(F.count(F.lit(1)).alias("__failures")))
+    meta = spark.createDataFrame(
+        [(i, t.model, t.column, t.label) for i, (t, _) in enumerate(frames)],
+        "__t int, model string, column_name string, test string")
+    return meta.join(F.broadcast(dup), "__t", "left").select(
+        "model", "column_name", "test",
+        F.coalesce(F.col("__failures"), F.lit(0)).cast("long").alias("failures"))
 
 
 def _relationship(child: DataFrame, parent: DataFrame, t: DataTest) -> DataFrame:
@@ -101,7 +111,7 @@ def run_suite(spark: SparkSession, tables, tests) -> DataFrame:
             cache[name] = t() if callable(t) else t
         return cache[name]
 
-    parts = []
+    parts, uniques = [], []
     by_model: dict[str, list[DataTest]] = {}
     for t in tests:
         by_model.setdefault(t.model, []).append(t)
@@ -112,9 +122,11 @@ def run_suite(spark: SparkSession, tables, tests) -> DataFrame:
             parts.append(_row_tests(df, row))
         for t in ts:
             if t.kind == "unique":
-                parts.append(_unique(df, t))
+                uniques.append((t, df))
             elif t.kind == "relationships":
                 parts.append(_relationship(df, get(t.to), t))
+    if uniques:
+        parts.append(_uniques(spark, uniques))
     if not parts:
         return spark.createDataFrame([], RESULT_SCHEMA)
     out = parts[0]

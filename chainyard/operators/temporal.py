@@ -12,8 +12,9 @@ range as a join residual, so Catalyst picks the physical join:
   oversized fact partition (one product holding a third of all sales)
   into several tasks that each read the small matching version range.
 
-``skew_buckets`` adds explicit salting for plans where AQE cannot split
-(e.g. the skewed side is not directly under a shuffle): hot keys are found
+``skew_buckets`` adds explicit salting when the versions are too large to
+broadcast and AQE cannot split (e.g. the skewed side is not directly under
+a shuffle): hot keys are found
 with a bounded aggregate, their fact rows are spread over N salts and their
 (few) versions are replicated N times; cold keys are not replicated.
 Versions of one key never overlap, so the join keeps the fact row count.
@@ -26,7 +27,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainyard.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from chainyard.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_share: float = 0.01) -> DataFrame:
@@ -63,9 +64,9 @@ def pit_join(fact: DataFrame, versions: DataFrame, keys, ts: str,
     fact_cols = fact.columns
     join_keys = list(zip(keys, kcols))
 
-    if not (skew_buckets and skew_buckets > 1):
-        v = broadcast_if_small(v, broadcast_max_rows)
-    else:
+    v, broadcast = checked_broadcast(v, broadcast_max_rows)
+    salted = bool(skew_buckets and skew_buckets > 1 and not broadcast)
+    if salted:
         hot = F.broadcast(hot_keys(fact, keys, hot_share).withColumn("__hot", F.lit(True)))
         salt = F.pmod(F.xxhash64(*fact_cols), F.lit(skew_buckets)).cast("int")
         f = (fact.join(hot, keys, "left")
@@ -84,7 +85,7 @@ def pit_join(fact: DataFrame, versions: DataFrame, keys, ts: str,
     if as_date:
         t, vf, vt = t.cast("date"), vf.cast("date"), vt.cast("date")
     conds = [f[k] == v[a] for k, a in join_keys]
-    if skew_buckets and skew_buckets > 1:
+    if salted:
         conds.append(f["__salt"] == v["__vsalt"])
     cond = reduce(lambda a, b: a & b, conds) & (t >= vf) & ((t < vt) | vt.isNull())
     out = f.join(v, cond, "left")
