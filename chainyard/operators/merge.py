@@ -97,3 +97,23 @@ def merge_incremental(target: DataFrame | None, batch: DataFrame, key,
                                                 "left_anti")
     null_keyed = target.filter(any_null(keys))
     return kept.unionByName(null_keyed).unionByName(latest.select(*target.columns))
+
+
+def merge_into_partitions(store, name: str, batch: DataFrame, key, part_expr,
+                          layer: str | None = None, **merge_kw) -> int:
+    """Upsert ``batch`` into a partition-laid-out table of ``store``,
+    rewriting only the partitions the batch touches; returns the staged
+    version (publish it with the run).
+
+    The touched partition values are collected (bounded by the number of
+    partitions, e.g. months), the target is read pruned to them, merged,
+    and written as a version that holds just those partitions.  A key must
+    always map to the same partition (e.g. partition by event month).
+    """
+    touched = sorted({r[0] for r in batch.select(
+        F.coalesce(part_expr.cast("string"), F.lit("none"))).distinct().collect()})
+    target = store.read(name, layer, partitions=touched)
+    merged = merge_incremental(target, batch, key, **merge_kw)
+    full = target is None
+    return store.stage(name, merged, layer, part_expr=part_expr,
+                       partitions=None if full else touched)

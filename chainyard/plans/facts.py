@@ -3,9 +3,9 @@ dimension version valid at the event (point-in-time), maintained either by
 full rebuild or by incremental keyed merge (I9 + K8 + K9).
 
 The calendar is broadcast: its size is fixed by the spine parameters, not
-by the data.  Dimension versions are *not* force-broadcast -- they grow
-with the data; AQE broadcasts them only when their measured size is under
-the threshold, else the join is a key-partitioned sort-merge join.
+by the data.  Dimension versions grow with the data, so they are broadcast
+only after a row count shows them within a bound (``pit_join``); larger
+ones take a key-partitioned sort-merge join.
 """
 
 from __future__ import annotations
@@ -76,6 +76,14 @@ FACT_KEYS = {
     "fct_inventory": "inventory_key",
 }
 
+# Event month of each fact: the layout of month-partitioned fact versions
+# (a key's event date never changes, so its month never does).
+FACT_MONTH = {
+    "fct_sales": lambda: F.date_format("transaction_timestamp", "yyyyMM"),
+    "fct_shipments": lambda: F.date_format("shipment_date", "yyyyMM"),
+    "fct_inventory": lambda: F.date_format("snapshot_date", "yyyyMM"),
+}
+
 
 def incremental(name: str, target: DataFrame | None, staged: DataFrame, build,
                 key: str | None = None, **merge_kw) -> DataFrame:

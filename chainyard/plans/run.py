@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chainyard.operators.merge import merge_incremental, new_since
+from chainyard.operators.merge import merge_incremental, merge_into_partitions, new_since
 from chainyard.operators.quality import SUITE, gate, run_suite
 from chainyard.plans import dims, facts
 from chainyard.plans.staging import STAGING
@@ -30,10 +30,14 @@ FACT_SOURCES = {"fct_sales": "sales", "fct_shipments": "shipments",
 def run_batch(spark: SparkSession, store: TableStore, raw: dict[str, DataFrame],
               run_ts: str, as_of: str, calendar: dict | None = None,
               full_refresh: bool = False, tests=SUITE, skew_buckets: int | None = None,
-              initial_valid_from: str | None = None) -> dict[str, int]:
+              initial_valid_from: str | None = None,
+              partition_facts: bool = False) -> dict[str, int]:
     """Build, test and publish every model from ``raw`` (entity -> raw
     DataFrame).  Returns the published version of each table; raises
-    ``QualityGateError`` (publishing nothing) when a data test fails."""
+    ``QualityGateError`` (publishing nothing) when a data test fails.
+
+    ``partition_facts`` lays facts out by event month and rewrites only
+    the months a batch touches (instead of the whole fact table)."""
     staged = {e: STAGING[e](df) for e, df in raw.items()}
     versions: dict[str, tuple[str, int]] = {}
     built: dict[str, DataFrame] = {}
@@ -70,7 +74,13 @@ def run_batch(spark: SparkSession, store: TableStore, raw: dict[str, DataFrame],
     for name, entity in FACT_SOURCES.items():
         target = None if full_refresh else store.read(name, "MARTS")
         batch = builders[name](new_since(staged[entity], target))
-        keep(name, "MARTS", merge_incremental(target, batch, facts.FACT_KEYS[name]))
+        if partition_facts:
+            v = merge_into_partitions(store, name, batch, facts.FACT_KEYS[name],
+                                      facts.FACT_MONTH[name](), "MARTS")
+            versions[name] = ("MARTS", v)
+            built[name] = store.read(name, "MARTS", version=v)
+        else:
+            keep(name, "MARTS", merge_incremental(target, batch, facts.FACT_KEYS[name]))
 
     tables = {**{f"raw_{e}": df for e, df in raw.items()},
               **{f"stg_{e}": df for e, df in staged.items()}, **built}

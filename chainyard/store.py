@@ -16,6 +16,12 @@ versions plus an append-only commit log:
   staging leaves every table at its previous version.
 * One writer (one active run), as the scheduler guarantees; the store
   remembers what it published, so the log is read once per store.
+* Partition-scoped versions: a table laid out by a partition expression
+  (e.g. the event month) can publish a version holding only the partitions
+  it rewrote; the log records them, and a read takes every partition from
+  the newest version that wrote it.  A daily merge then costs the months
+  its batch touches, not the whole table.  Requires that a key's partition
+  never changes (true for an event date).
 
 Lineage cuts: a published version is a table on shared storage, so a
 downstream plan reading it does not recompute (or re-read) its inputs,
@@ -29,7 +35,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOG_SCHEMA = "table string, version long, path string, published_at string"
+LOG_SCHEMA = ("table string, version long, path string, published_at string, "
+              "partitions array<string>")
+PART = "__part"  # layout column of partitioned tables, never exposed to readers
+
+
+def _pv(value: str) -> str:
+    """Physical partition value: prefixed so Spark never infers a number."""
+    return f"p{value}"
 
 
 def schema_name(layer: str | None, default: str = "PUBLIC") -> str:
@@ -40,7 +53,8 @@ def schema_name(layer: str | None, default: str = "PUBLIC") -> str:
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._known: dict[str, int] | None = None
+        self._known: dict[str, list] | None = None
+        self._pending: dict[tuple, list | None] = {}
 
     def _id(self, name: str, layer: str | None = None) -> str:
         return f"{schema_name(layer)}.{name}"
@@ -52,10 +66,14 @@ class TableStore:
         except Exception:  # noqa: BLE001 - nothing published yet
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
-    def _versions(self) -> dict[str, int]:
+    def _entries(self) -> dict[str, list]:
+        """table -> [(version, partitions or None)] in version order."""
         if self._known is None:
-            rows = self.log().groupBy("table").agg(F.max("version").alias("v")).collect()
-            self._known = {r.table: r.v for r in rows}
+            rows = self.log().select("table", "version", "partitions").collect()
+            known: dict[str, list] = {}
+            for r in sorted(rows, key=lambda r: (r.table, r.version)):
+                known.setdefault(r.table, []).append((r.version, r.partitions))
+            self._known = known
         return self._known
 
     def refresh(self) -> None:
@@ -64,23 +82,71 @@ class TableStore:
 
     def version(self, name: str, layer: str | None = None) -> int | None:
         """Latest published version, or None."""
-        return self._versions().get(self._id(name, layer))
+        e = self._entries().get(self._id(name, layer))
+        return e[-1][0] if e else None
 
     def path(self, name: str, version: int, layer: str | None = None) -> str:
         return f"{self.root}/{self._id(name, layer)}/v={version:08d}"
 
-    def read(self, name: str, layer: str | None = None,
-             version: int | None = None) -> DataFrame | None:
-        v = version if version is not None else self.version(name, layer)
-        return None if v is None else self.spark.read.parquet(self.path(name, v, layer))
+    def read(self, name: str, layer: str | None = None, version: int | None = None,
+             partitions: list[str] | None = None) -> DataFrame | None:
+        """The table as of ``version`` (default: latest published).
+
+        ``partitions`` restricts a partitioned table to those partition
+        values (pruned at the scan)."""
+        entries = self._entries().get(self._id(name, layer), [])
+        if version is not None and not any(v == version for v, _ in entries):
+            entries = entries + [(version, self._pending.get((name, layer, version)))]
+        entries = [(v, p) for v, p in entries if version is None or v <= version]
+        if not entries:
+            return None
+        full = max(i for i, (_, p) in enumerate(entries) if p is None) \
+            if any(p is None for _, p in entries) else 0
+        base_v = entries[full][0]
+        owner: dict[str, int] = {}
+        for v, parts in entries[full + 1:]:
+            for p in parts or []:
+                owner[p] = v
+        base = self.spark.read.parquet(self.path(name, base_v, layer))
+        if PART not in base.columns:
+            return base
+        if owner:
+            base = base.filter(~F.col(PART).isin([_pv(p) for p in owner]))
+        frames = [base]
+        by_version: dict[int, list[str]] = {}
+        for p, v in owner.items():
+            by_version.setdefault(v, []).append(p)
+        for v, parts in sorted(by_version.items()):
+            root = self.path(name, v, layer)
+            frames.append(self.spark.read.option("basePath", root)
+                          .parquet(*[f"{root}/{PART}={_pv(p)}" for p in sorted(parts)]))
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        if partitions is not None:
+            out = out.filter(F.col(PART).isin([_pv(p) for p in partitions]))
+        return out.drop(PART)
 
     def history(self, name: str, layer: str | None = None) -> DataFrame:
         return self.log().filter(F.col("table") == self._id(name, layer)).orderBy("version")
 
     def stage(self, name: str, df: DataFrame, layer: str | None = None,
-              partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next (unpublished) version; returns it."""
+              partition_by: list[str] | None = None, part_expr=None,
+              partitions: list[str] | None = None) -> int:
+        """Write ``df`` as the next (unpublished) version; returns it.
+
+        ``part_expr`` lays the table out by that expression's value;
+        ``partitions`` then declares that this version holds only those
+        partition values (the rest are taken from earlier versions)."""
         v = (self.version(name, layer) or 0) + 1
+        if part_expr is not None:
+            df = df.withColumn(PART, F.concat(F.lit(_pv("")), F.coalesce(
+                part_expr.cast("string"), F.lit("none"))))
+            partition_by = [PART]
+            # cluster rows by partition so each task writes few files; AQE
+            # splits a partition holding a large share of the rows
+            df = df.hint("rebalance", PART)
+        self._pending[(name, layer, v)] = sorted(partitions) if partitions is not None else None
         w = df.write.mode("overwrite").option("compression", "snappy")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -94,16 +160,18 @@ class TableStore:
         if not versions:
             return
         now = dt.datetime.now(dt.timezone.utc).isoformat()
-        rows = [(self._id(n, l), v, self.path(n, v, l), now) for (n, l), v in versions.items()]
+        rows = [(self._id(n, l), v, self.path(n, v, l), now, self._pending.get((n, l, v)))
+                for (n, l), v in versions.items()]
         (self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
              .write.mode("append").json(f"{self.root}/_commits"))
-        known = self._versions()
+        known = self._entries()
         for (n, l), v in versions.items():
-            known[self._id(n, l)] = v
+            known.setdefault(self._id(n, l), []).append((v, self._pending.pop((n, l, v), None)))
 
     def commit(self, name: str, df: DataFrame, layer: str | None = None,
-               partition_by: list[str] | None = None) -> int:
+               partition_by: list[str] | None = None, part_expr=None,
+               partitions: list[str] | None = None) -> int:
         """Stage and publish at once (no check in between)."""
-        v = self.stage(name, df, layer, partition_by)
+        v = self.stage(name, df, layer, partition_by, part_expr, partitions)
         self.publish({(name, layer): v})
         return v

@@ -63,3 +63,24 @@ def test_stream_merges_only_new_files(spark, tmp):
         counts.append(merge_stream_into(s, store, "t", "k", f"{tmp}/ckpt"))
     assert counts == [1, 1, 0]
     assert sorted(tuple(r) for r in store.read("t").collect()) == [("a", 1, "t1"), ("b", 2, "t2")]
+
+
+def test_partitioned_versions_rewrite_only_touched_months(spark, tmp):
+    from pyspark.sql import functions as F
+    from chainyard.operators.merge import merge_into_partitions
+    store = TableStore(spark, tmp)
+    schema = "k string, month string, v int, _ingestion_timestamp string"
+    month = F.col("month")
+    first = spark.createDataFrame([("a", "202401", 1, "t1"), ("b", "202402", 1, "t1"),
+                                   ("c", "202403", 1, "t1")], schema)
+    store.publish({("f", None): merge_into_partitions(store, "f", first, "k", month)})
+    batch = spark.createDataFrame([("b", "202402", 2, "t2"), ("d", "202402", 2, "t2")], schema)
+    v2 = merge_into_partitions(store, "f", batch, "k", month)
+    store.publish({("f", None): v2})
+    got = sorted((r.k, r.v) for r in store.read("f").collect())
+    assert got == [("a", 1), ("b", 2), ("c", 1), ("d", 2)]
+    # version 2 holds only the touched month
+    files = spark.read.parquet(store.path("f", v2)).select("__part").distinct().collect()
+    assert [r[0] for r in files] == ["p202402"]
+    assert sorted(r.k for r in store.read("f", partitions=["202401"]).collect()) == ["a"]
+    assert sorted(r.k for r in store.read("f", version=1).collect()) == ["a", "b", "c"]
