@@ -175,3 +175,12 @@ class TableStore:
         v = self.stage(name, df, layer, partition_by, part_expr, partitions)
         self.publish({(name, layer): v})
         return v
+
+    def compact(self, name: str, part_expr, layer: str | None = None) -> int:
+        """Rewrite a month-scoped table as one full version (same layout),
+        so reads no longer assemble months from many versions.  Staged and
+        published at once; earlier versions stay readable."""
+        current = self.read(name, layer)
+        if current is None:
+            raise ValueError(f"{self._id(name, layer)} has no published version")
+        return self.commit(name, current, layer, part_expr=part_expr)

@@ -84,3 +84,6 @@ def test_partitioned_versions_rewrite_only_touched_months(spark, tmp):
     assert [r[0] for r in files] == ["p202402"]
     assert sorted(r.k for r in store.read("f", partitions=["202401"]).collect()) == ["a"]
     assert sorted(r.k for r in store.read("f", version=1).collect()) == ["a", "b", "c"]
+    v3 = store.compact("f", month)
+    assert sorted((r.k, r.v) for r in store.read("f").collect()) == got
+    assert store.history("f").filter(f"version = {v3}").first().partitions is None
