@@ -28,10 +28,12 @@ JSON_EXT = (".json",)
 
 @dataclass
 class Batch:
-    """Accepted rows of a read plus the files that were refused."""
+    """Accepted rows of a read plus the files that were refused, and --
+    when a corrupt-record column was requested -- the malformed rows."""
     data: DataFrame | None
     files: list[str] = field(default_factory=list)
     rejected: list[tuple[str, str]] = field(default_factory=list)
+    corrupt: DataFrame | None = None
 
 
 def list_files(spark: SparkSession, path: str, modified_after: str | None = None,
@@ -119,8 +121,7 @@ def read_json(spark: SparkSession, files: list[str], schema: T.StructType | None
         if corrupt_col:
             r = r.option("columnNameOfCorruptRecord", corrupt_col)
         if schema is not None:
-            s = schema if not corrupt_col else schema.add(corrupt_col, T.StringType(), True)
-            r = r.schema(s)
+            r = r.schema(_with_corrupt(schema, corrupt_col))
         parts.append(_keyed(r.json(group)))
     if not parts:
         return None
@@ -136,13 +137,19 @@ def read_csv(spark: SparkSession, files: list[str], schema: T.StructType | None,
     if corrupt_col:
         r = r.option("columnNameOfCorruptRecord", corrupt_col)
     if schema is not None:
-        s = schema if not corrupt_col else schema.add(corrupt_col, T.StringType(), True)
-        r = r.schema(s)
+        r = r.schema(_with_corrupt(schema, corrupt_col))
     else:
         r = r.option("inferSchema", "true")
     return _keyed(r.csv(files))
 
 
+def _with_corrupt(schema: T.StructType, corrupt_col: str | None) -> T.StructType:
+    """A copy of ``schema`` with the corrupt-record column (never mutates it)."""
+    if not corrupt_col:
+        return schema
+    return T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType(), True)])
+
+
 def _keyed(df: DataFrame) -> DataFrame:
     """Tag rows with their file (must be taken per scan, before any union)."""
     return df.withColumn("_source_key", F.col("_metadata.file_path"))
@@ -156,6 +163,11 @@ def read_batch(spark: SparkSession, path: str, schema: T.StructType | None = Non
     Refused (reported, not raised): unknown extension, zero-byte file, and
     -- with ``reject_empty`` -- a file that parses to no rows (e.g. a
     header-only CSV).  ``_source_key`` carries each row's file.
+
+    With ``corrupt_col`` the parsers run PERMISSIVE and keep the raw text
+    of a malformed row in that column: such rows are split off into
+    ``Batch.corrupt`` (to be quarantined) and the good rows load -- a bad
+    row neither fails the batch nor loads as a row of NULLs.
     """
     listing = list_files(spark, path, modified_after).collect()
     rejected, csv_files, json_files = [], [], []
@@ -192,4 +204,7 @@ def read_batch(spark: SparkSession, path: str, schema: T.StructType | None = Non
                 return Batch(None, [], rejected)
             df = df.filter(F.col("_source_key").isin([_norm(f) for f in keep] + keep))
             accepted = keep
+    if corrupt_col:
+        bad = F.col(corrupt_col).isNotNull()
+        return Batch(df.filter(~bad).drop(corrupt_col), accepted, rejected, df.filter(bad))
     return Batch(df, accepted, rejected)

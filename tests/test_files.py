@@ -67,3 +67,14 @@ def test_state_roundtrip_and_cadence(spark, tmp):
     assert state.refresh_due("2024-01-15T00:00:00+00:00", now)
     assert state.weekday_due(dt.datetime(2024, 3, 4), 0) and not state.weekday_due(now, 0)
     assert state.modified_after_option("2024-01-01T00:00:00.5+00:00") == "2024-01-01T00:00:01"
+
+
+def test_malformed_rows_are_quarantined(spark, localdir):
+    _write(localdir, "good_and_bad.json", '{"id": 1, "name": "a"}\n{"id": "x", "name": "b"\n{"id": 3, "name": "c"}\n')
+    _write(localdir, "bad.csv", "id,name\n4,d\nnot_a_number,e\n")
+    b = read_batch(spark, localdir, spark.createDataFrame([], SCHEMA).schema,
+                   corrupt_col="_corrupt")
+    assert sorted(r.id for r in b.data.collect()) == [1, 3, 4]
+    assert "_corrupt" not in b.data.columns
+    bad = sorted(r._corrupt for r in b.corrupt.collect())
+    assert len(bad) == 2 and any("not_a_number" in x for x in bad)
