@@ -87,3 +87,16 @@ def test_partitioned_versions_rewrite_only_touched_months(spark, tmp):
     v3 = store.compact("f", month)
     assert sorted((r.k, r.v) for r in store.read("f").collect()) == got
     assert store.history("f").filter(f"version = {v3}").first().partitions is None
+
+
+def test_run_batch_with_month_partitioned_facts(spark, tmp):
+    store = TableStore(spark, tmp)
+    for run, ts in enumerate(fx.PRODUCT_RUNS, start=1):
+        run_batch(spark, store, _raw(spark, run), ts, fx.AS_OF, calendar=fx.CALENDAR,
+                  partition_facts=True)
+    for name, entity in (("fct_sales", "sales"), ("fct_inventory", "inventory")):
+        got = store.read(name, "MARTS")
+        assert got.count() == fx.RAW[entity](spark, SF).count()
+        assert "__part" not in got.columns
+    key_counts = store.read("fct_sales", "MARTS").groupBy("transaction_id").count()
+    assert key_counts.filter("count > 1").count() == 0
