@@ -8,15 +8,16 @@ from chainyard.session import configure
 from chainyard.testing import oracle as O
 from chainyard.testing.scenario import Warehouse
 
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
 def _scratch(w, name):
+    """A fresh folder for a query's files, under the shared checkpoint dir."""
     from chainyard.session import shared_dir
     return shared_dir(w.spark, name)
 
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
