@@ -34,6 +34,11 @@ def discover_names(names) -> list[str]:
     return sorted(n for n in names if n.lower().startswith("sales") and _RX.match(n))
 
 
+def discover_sales_tables(names) -> list[tuple[str, tuple[str, str, str]]]:
+    """[(table, (YYYY, MM, DD))] of the daily tables among ``names``."""
+    return [(n, parse_table_name(n)) for n in discover_names(names)]
+
+
 def table_date_parts(col: str | Column = "_source_table") -> dict[str, Column]:
     c = F.col(col) if isinstance(col, str) else col
     return {"yyyy": F.regexp_extract(c, TABLE_PATTERN, 1),
@@ -83,6 +88,9 @@ def union_all(frames: list[DataFrame]) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+union_daily = union_all
+
+
 def unseen(tables: DataFrame, seen: DataFrame, col: str = "table_name") -> DataFrame:
     """Tables not yet ingested (seen-set watermark, I6)."""
     return tables.join(seen.select(col), col, "left_anti")

@@ -43,3 +43,11 @@ def read_table(spark: SparkSession, url: str, table: str, props: dict | None = N
     if require_rows and df.isEmpty():
         raise ValueError(f"Table '{table}' has no rows.")
     return df
+
+
+def read_jdbc_table(spark: SparkSession, url: str, table: str, part_col: str | None = None,
+                    bounds: tuple[int, int] | None = None, n: int | None = None,
+                    props: dict | None = None) -> DataFrame:
+    """``read_table`` with the partitioning given as (column, (low, high), n)."""
+    low, high = bounds if bounds else (None, None)
+    return read_table(spark, url, table, props, part_col, low, high, n)

@@ -79,6 +79,15 @@ def weekday_due(now: dt.datetime | None = None, weekday: int | None = 0) -> bool
     return weekday is None or now.weekday() == weekday
 
 
+def due(last: str | None, every_days: int | None = STATIC_REFRESH_DAYS,
+        weekday: int | None = None, now: dt.datetime | None = None) -> bool:
+    """A source runs when both its refresh period has elapsed (or is None)
+    and today is its weekday (or weekday is None)."""
+    now = now or dt.datetime.now(dt.timezone.utc)
+    period_ok = every_days is None or refresh_due(last, now, every_days)
+    return period_ok and weekday_due(now, weekday)
+
+
 def unseen_names(all_names, state: dict[str, str]) -> list[str]:
     """Names not yet in the seen-set, in order."""
     return [n for n in all_names if n not in state]

@@ -78,3 +78,16 @@ def test_malformed_rows_are_quarantined(spark, localdir):
     assert "_corrupt" not in b.data.columns
     bad = sorted(r._corrupt for r in b.corrupt.collect())
     assert len(bad) == 2 and any("not_a_number" in x for x in bad)
+
+
+def test_landing_paths_and_cadence():
+    import datetime as dt
+    from chainyard.sources.daily import discover_sales_tables
+    from chainyard.sources.landing import dest_folder
+    assert dest_folder("raw/shipments/2024/a.json", "raw/", "source_data/s3/") == \
+        "source_data/s3/shipments/2024/a.parquet"
+    assert discover_sales_tables(["sales_2024_01_02", "x"]) == [
+        ("sales_2024_01_02", ("2024", "01", "02"))]
+    monday = dt.datetime(2024, 3, 4, tzinfo=dt.timezone.utc)
+    assert state.due(None, 30, 0, monday) and not state.due(None, 30, 1, monday)
+    assert not state.due("2024-03-01T00:00:00+00:00", 30, None, monday)
