@@ -83,3 +83,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     leaf = "-".join(parts) if parts else "scratch"
     return f"{base.rstrip('/')}/chainyard/{leaf}-{uuid.uuid4().hex[:12]}"
 
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its filesystem (local, HDFS, object store).
+
+    Used to skip reading state or logs that were never written, instead of
+    letting a read fail (a failed read is logged as an error by Spark's
+    own query listeners even when the caller handles it)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).exists(p))

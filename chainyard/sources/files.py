@@ -43,6 +43,10 @@ def list_files(spark: SparkSession, path: str, modified_after: str | None = None
     ``modified_after`` is 'yyyy-MM-ddTHH:mm:ss' in UTC; strictly later
     files only.
     """
+    from chainyard.session import path_exists
+    empty = "path string, modificationTime timestamp, length long"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], empty)
     r = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
          .option("timeZone", "UTC"))
     if modified_after:
@@ -54,8 +58,7 @@ def list_files(spark: SparkSession, path: str, modified_after: str | None = None
     except Exception as exc:  # noqa: BLE001 - an absent or empty folder lists nothing
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or \
                 "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return spark.createDataFrame(
-                [], "path string, modificationTime timestamp, length long")
+            return spark.createDataFrame([], empty)
         raise
     return df.select("path", "modificationTime", "length")
 

@@ -57,10 +57,10 @@ def read_sheet_export(spark: SparkSession, folder: str, tab: str, schema=None) -
 
 
 def loaded_files(spark: SparkSession, log_path: str) -> DataFrame:
-    try:
-        return spark.read.schema("path string, loaded_at string").json(log_path)
-    except Exception:  # noqa: BLE001 - first load: nothing loaded yet
+    from chainyard.session import path_exists
+    if not path_exists(spark, log_path):  # first load: nothing loaded yet
         return spark.createDataFrame([], "path string, loaded_at string")
+    return spark.read.schema("path string, loaded_at string").json(log_path)
 
 
 def load_raw(spark: SparkSession, landing: str, raw: str, log_path: str,

@@ -61,10 +61,11 @@ class TableStore:
 
     def log(self) -> DataFrame:
         """The commit log (every published version of every table)."""
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_commits")
-        except Exception:  # noqa: BLE001 - nothing published yet
+        from chainyard.session import path_exists
+        log = f"{self.root}/_commits"
+        if not path_exists(self.spark, log):  # nothing published yet
             return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).json(log)
 
     def _entries(self) -> dict[str, list]:
         """table -> [(version, partitions or None)] in version order."""
