@@ -39,3 +39,10 @@ def test_iso_parse_defaults_to_epoch(spark):
     df = spark.createDataFrame([("2024-01-02T03:04:05.123456+00:00",), (None,), ("",)], "s string")
     got = [str(r[0]) for r in df.select(iso_to_timestamp("s")).collect()]
     assert got == ["2024-01-02 03:04:05.123456", "1970-01-01 00:00:00", "1970-01-01 00:00:00"]
+
+
+def test_file_extension(spark):
+    from chainyard.functions.columns import file_extension
+    df = spark.createDataFrame([("s3a://b/raw/x/Data.JSON",), ("/a/b.c/noext",), ("f.tar.gz",)],
+                               "p string")
+    assert [r[0] for r in df.select(file_extension("p")).collect()] == [".json", "", ".gz"]
