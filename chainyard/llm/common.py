@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ BATCH_ROWS = 1000
 def prepared(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
     """The session with the library's conventions and bounded Arrow batches."""
     configure(spark)
+    # where workers share the driver's files, they import this package from there
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(batch_rows):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     return spark

@@ -54,3 +54,16 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = write_token_records(docs, path, tokenizer("word_bpe_49k.json"), end_id=2)
     records = with_starts(read_token_records(spark, path, with_ids=False), shards)
     return records.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainyard.llm.quality_rules_mcd import quality_rules
+    return quality_rules(table(prepared(spark), sf_dir, "documents"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainyard.llm.quality_knn import classify
+    docs = table(prepared(spark), sf_dir, "documents")
+    return classify(docs, table(spark, sf_dir, "labels"))
