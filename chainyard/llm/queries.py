@@ -67,3 +67,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainyard.llm.quality_knn import classify
     docs = table(prepared(spark), sf_dir, "documents")
     return classify(docs, table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainyard.llm.simhash_gph import near_duplicates
+    docs = table(prepared(spark), sf_dir, "documents")
+    return near_duplicates(docs, size=4, max_bits=4)
