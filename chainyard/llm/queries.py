@@ -74,3 +74,15 @@ def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainyard.llm.simhash_gph import near_duplicates
     docs = table(prepared(spark), sf_dir, "documents")
     return near_duplicates(docs, size=4, max_bits=4)
+
+
+#: A deployment passes a secret of its own; results are repeatable for one key.
+PII_KEY = "registered query"
+
+
+@query
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainyard.llm.pii_surrogates import replace_pii, secret
+    docs = table(prepared(spark), sf_dir, "documents").select("doc_id", "text")
+    masked = replace_pii(docs, secret(PII_KEY), entities="entities")
+    return masked.selectExpr("doc_id", "size(entities) AS n_entities", "text")
