@@ -47,12 +47,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chainyard.llm.token_records import (read_token_records, with_starts,
-                                             write_token_records)
+    from chainyard.llm.token_records import read_token_records, write_token_records
     docs = table(prepared(spark), sf_dir, "documents")
     path = shared_dir(spark, "op8")
-    shards = write_token_records(docs, path, tokenizer("word_bpe_49k.json"), end_id=2)
-    records = with_starts(read_token_records(spark, path, with_ids=False), shards)
+    write_token_records(docs, path, tokenizer("word_bpe_49k.json"), end_id=2)
+    records = read_token_records(spark, path, with_ids=False)
     return records.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
@@ -86,3 +85,12 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents").select("doc_id", "text")
     masked = replace_pii(docs, secret(PII_KEY), entities="entities")
     return masked.selectExpr("doc_id", "size(entities) AS n_entities", "text")
+
+
+@query
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from chainyard.llm.ann_mih import nearest_neighbours
+    rows = table(prepared(spark), sf_dir, "embeddings")
+    return nearest_neighbours(rows, F.col("vec_id") % 20 == 0, k=20)
