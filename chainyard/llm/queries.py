@@ -94,3 +94,10 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainyard.llm.ann_mih import nearest_neighbours
     rows = table(prepared(spark), sf_dir, "embeddings")
     return nearest_neighbours(rows, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainyard.llm.sentencepiece_dropout import encode_digest
+    docs = table(prepared(spark), sf_dir, "documents")
+    return encode_digest(docs, tokenizer("piece_bpe_32k.model"), seed=20, dropout=0.1)
