@@ -101,3 +101,12 @@ def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainyard.llm.sentencepiece_dropout import encode_digest
     docs = table(prepared(spark), sf_dir, "documents")
     return encode_digest(docs, tokenizer("piece_bpe_32k.model"), seed=20, dropout=0.1)
+
+
+@query
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainyard.llm.warc_derivatives import derivatives, read_warc, responses, write_warc
+    pages = table(prepared(spark), sf_dir, "pages")
+    path = shared_dir(spark, "op6")
+    write_warc(derivatives(responses(pages, date="2024-01-01T00:00:00Z")), path)
+    return read_warc(spark, path).withColumnRenamed("key", "page_id")
