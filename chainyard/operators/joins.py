@@ -10,7 +10,6 @@ shuffled already by the time the small side turns out to be small.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,19 +24,21 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS
     else (``df``, False).  See ``broadcast_if_small``."""
     if max_rows is None or max_rows <= 0:
         return df, False
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(cached), True
-    cached.unpersist()
-    return df, False
+    small = df.count() <= max_rows
+    return (F.broadcast(df), True) if small else (df, False)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The side is cached while it is counted: when it is small the count has
-    materialised it completely (bounded memory) and the broadcast is built
-    from the cache instead of recomputing the side; when it is large the
-    limited count stops early and the cache is dropped.
+    A plain count: one partial aggregate whose columns are pruned (a stored
+    table answers from its footers), nothing is cached.
     """
     return checked_broadcast(df, max_rows)[0]
+
+
+def spread_null(key: str, *others: str):
+    """``key`` for joining: a NULL, which matches nothing, becomes a value of
+    the row's own, so that the rows without a key do not meet in one task."""
+    own = F.concat_ws("\u0001", F.lit("\u0000"), *[F.col(c).cast("string") for c in others])
+    return F.coalesce(F.col(key).cast("string"), own)

@@ -33,8 +33,10 @@ def high_watermark(target: DataFrame | None, col: str = "_ingestion_timestamp"):
 
 
 def new_since(staged: DataFrame, target: DataFrame | None,
-              col: str = "_ingestion_timestamp", empty_target: str = "all") -> DataFrame:
-    """Rows of ``staged`` ingested strictly after the target's watermark.
+              col: str = "_ingestion_timestamp", empty_target: str = "all",
+              mark: str | None = None) -> DataFrame:
+    """Rows of ``staged`` ingested strictly after the target's watermark:
+    ``mark``, if the caller knows it, else the greatest ``col`` of the target.
 
     The watermark is computed once and applied as a literal, so the filter
     reaches the Parquet scan.  A row stamped *equal* to the watermark is
@@ -44,7 +46,7 @@ def new_since(staged: DataFrame, target: DataFrame | None,
     """
     if target is None:
         return staged
-    mark = high_watermark(target, col)
+    mark = mark or high_watermark(target, col)
     if mark is None:
         return staged if empty_target == "all" else staged.filter(F.lit(False))
     return staged.filter(F.col(col) > F.lit(mark))
@@ -105,15 +107,23 @@ def merge_into_partitions(store, name: str, batch: DataFrame, key, part_expr,
     rewriting only the partitions the batch touches; returns the staged
     version (publish it with the run).
 
-    The touched partition values are collected (bounded by the number of
-    partitions, e.g. months), the target is read pruned to them, merged,
-    and written as a version that holds just those partitions.  A key must
-    always map to the same partition (e.g. partition by event month).
+    The batch is set aside first, so it is computed once.  Touched are its
+    own partitions and those that hold an older row of one of its keys: a key
+    whose partition has changed leaves the old one.  The touched values are
+    collected (bounded by the number of partitions, e.g. months), and the
+    target is read pruned to them.
     """
-    touched = sorted({r[0] for r in batch.select(
-        F.coalesce(part_expr.cast("string"), F.lit("none"))).distinct().collect()})
-    target = store.read(name, layer, partitions=touched)
+    keys = [key] if isinstance(key, str) else list(key)
+    batch = store.set_aside(name, batch)
+    part = F.coalesce(part_expr.cast("string"), F.lit("none")).alias("part")
+    touched = {r.part for r in batch.select(part).distinct().collect()}
+    held = store.read(name, layer, keep_part=True)
+    if held is not None:
+        own = batch.filter(~any_null(keys)).select(*keys)
+        old = held.select(*keys, F.substring("__part", 2, 100).alias("part"))
+        touched |= {r.part for r in old.join(broadcast_if_small(own), keys, "left_semi")
+                    .select("part").distinct().collect()}
+    target = store.read(name, layer, partitions=sorted(touched))
     merged = merge_incremental(target, batch, key, **merge_kw)
-    full = target is None
     return store.stage(name, merged, layer, part_expr=part_expr,
-                       partitions=None if full else touched)
+                       partitions=None if target is None else sorted(touched))

@@ -55,10 +55,10 @@ def scd2_snapshot(current: DataFrame | None, source: DataFrame, key: str, check_
                   dedupe_order=("_ingestion_timestamp",)) -> DataFrame:
     """Next snapshot state from ``current`` (None on the first run) and
     ``source``.  ``run_ts`` is 'yyyy-MM-dd HH:mm:ss' (UTC, no zone)."""
+    source = source.filter(F.col(key).isNotNull())
     if dedupe_order:
         order = [c for c in dedupe_order if c in source.columns]
-        source = latest_per_key(source, [key], order) if order else source
-    source = source.filter(F.col(key).isNotNull())
+        source = latest_per_key(source, [key], order, null_keys=False) if order else source
     if current is None:
         return initial_snapshot(source, key, run_ts, initial_valid_from)
 

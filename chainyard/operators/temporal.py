@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainyard.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
+from chainyard.operators.joins import spread_null, BROADCAST_MAX_ROWS, checked_broadcast
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_share: float = 0.01) -> DataFrame:
@@ -84,7 +84,13 @@ def pit_join(fact: DataFrame, versions: DataFrame, keys, ts: str,
     vf, vt = v["__vf"], v["__vt"]
     if as_date:
         t, vf, vt = t.cast("date"), vf.cast("date"), vt.cast("date")
-    conds = [f[k] == v[a] for k, a in join_keys]
+    if broadcast:
+        conds = [f[k] == v[a] for k, a in join_keys]
+    else:
+        # a NULL key matches no version; it is joined by a value of its row's own
+        f = f.withColumns({f"__jk{i}": spread_null(k, *fact_cols) for i, k in enumerate(keys)})
+        t = f[ts].cast("date") if as_date else f[ts]
+        conds = [f[f"__jk{i}"] == v[a].cast("string") for i, a in enumerate(kcols)]
     if salted:
         conds.append(f["__salt"] == v["__vsalt"])
     cond = reduce(lambda a, b: a & b, conds) & (t >= vf) & ((t < vt) | vt.isNull())

@@ -3,28 +3,25 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainyard.functions.columns import date_id, day_of_week0
-from chainyard.operators.joins import broadcast_if_small
+from chainyard.operators.joins import checked_broadcast, spread_null
 from chainyard.operators.scd2 import scd2_snapshot
 from chainyard.schemas import CHECK_COLS, NATURAL_KEY
 
-# Calendar defaults (start date, spine length, horizon).
+# Calendar defaults (start date, horizon).
 DEFAULT_START = "2023-01-01"
-DEFAULT_MAX_DAYS = 2000
 DEFAULT_HORIZON_DAYS = 730
 
 
 def date_spine(spark: SparkSession, start: str = DEFAULT_START, as_of: str | None = None,
-               horizon_days: int = DEFAULT_HORIZON_DAYS,
-               max_days: int | None = DEFAULT_MAX_DAYS) -> DataFrame:
-    """Calendar dimension, one row per day from ``start``.
-
-    At most ``max_days`` rows and never past ``as_of + horizon_days``.
-    ``as_of`` replaces ``current_date()`` so a rebuild is repeatable; its
+               horizon_days: int = DEFAULT_HORIZON_DAYS) -> DataFrame:
+    """Calendar dimension, one row per day from ``start`` to
+    ``as_of + horizon_days``.  ``as_of`` replaces ``current_date()`` so a rebuild is repeatable; its
     size is bounded by the parameters, never by the data, so joining it by
     broadcast is always safe.
     """
@@ -32,8 +29,6 @@ def date_spine(spark: SparkSession, start: str = DEFAULT_START, as_of: str | Non
     first = dt.date.fromisoformat(start)
     last = dt.date.fromisoformat(as_of) + dt.timedelta(days=horizon_days)
     n = max((last - first).days + 1, 0)
-    if max_days is not None:
-        n = min(n, max_days)
     d = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
     spine = spark.range(0, n, numPartitions=1).select(d.alias("calendar_date"))
     c = F.col("calendar_date")
@@ -54,6 +49,20 @@ def date_spine(spark: SparkSession, start: str = DEFAULT_START, as_of: str | Non
     )
 
 
+def calendar_bounds(dates: dict[str, DataFrame]) -> dict[str, str]:
+    """``start`` and ``as_of`` of the calendar that covers all facts: the first
+    and the last of the date columns given by source."""
+    ends = []
+    for df in dates.values():
+        for c in df.columns:
+            d = df.select(F.col(c).cast("date").alias("d"))
+            ends.append(d.agg(F.min("d").alias("a"), F.max("d").alias("b")))
+    one = reduce(DataFrame.unionByName, ends).agg(F.min("a").alias("a"), F.max("b").alias("b")).first()
+    if one.a is None:
+        return {}
+    return {"start": one.a.isoformat(), "as_of": one.b.isoformat()}
+
+
 def snapshot(entity: str, current: DataFrame | None, staged: DataFrame, run_ts: str,
              hard_deletes: bool = True, initial_valid_from: str | None = None) -> DataFrame:
     """One SCD2 run of ``entity`` (products, suppliers, stores, warehouses)."""
@@ -77,7 +86,10 @@ def dim_product(snap_products: DataFrame, snap_suppliers: DataFrame) -> DataFram
                  .select("supplier_id", "supplier_name",
                          F.col("category").alias("supplier_category"),
                          F.col("country").alias("supplier_country")))
-    return snap_products.join(broadcast_if_small(suppliers), "supplier_id", "left").select(
+    suppliers, small = checked_broadcast(suppliers)
+    key = F.col("supplier_id") if small else spread_null("supplier_id", "surrogate_key")
+    named = suppliers.withColumnRenamed("supplier_id", "of_supplier")
+    return snap_products.join(named, key == F.col("of_supplier"), "left").select(
         "surrogate_key", "valid_from", "valid_to", "is_current", "updated_at",
         "product_id", "product_name", "category", "brand", "unit_price", "supplier_id",
         "supplier_name", "supplier_category", "supplier_country")

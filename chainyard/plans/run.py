@@ -20,9 +20,12 @@ from chainyard.operators.merge import merge_incremental, merge_into_partitions,
 from chainyard.operators.quality import SUITE, gate, run_suite
 from chainyard.plans import dims, facts
 from chainyard.plans.staging import STAGING
+from chainyard.sources.landing import latest_refresh
 from chainyard.store import TableStore
 
 SNAPSHOT_ENTITIES = ("products", "suppliers", "stores", "warehouses")
+FACT_DATES = {"sales": "transaction_date", "shipments": "shipment_date",
+              "inventory": "snapshot_date"}
 FACT_SOURCES = {"fct_sales": "sales", "fct_shipments": "shipments",
                 "fct_inventory": "inventory"}
 
@@ -31,13 +34,14 @@ def run_batch(spark: SparkSession, store: TableStore, raw: dict[str, DataFrame],
               run_ts: str, as_of: str, calendar: dict | None = None,
               full_refresh: bool = False, tests=SUITE, skew_buckets: int | None = None,
               initial_valid_from: str | None = None,
-              partition_facts: bool = False) -> dict[str, int]:
+              partition_facts: bool = True) -> dict[str, int]:
     """Build, test and publish every model from ``raw`` (entity -> raw
     DataFrame).  Returns the published version of each table; raises
     ``QualityGateError`` (publishing nothing) when a data test fails.
 
-    ``partition_facts`` lays facts out by event month and rewrites only
-    the months a batch touches (instead of the whole fact table)."""
+    Facts are laid out by event month and a run rewrites only the months its
+    batch touches; ``partition_facts=False`` rewrites whole fact tables."""
+    raw = {e: latest_refresh(df) if e in SNAPSHOT_ENTITIES else df for e, df in raw.items()}
     staged = {e: STAGING[e](df) for e, df in raw.items()}
     versions: dict[str, tuple[str, int]] = {}
     built: dict[str, DataFrame] = {}
@@ -55,7 +59,8 @@ def run_batch(spark: SparkSession, store: TableStore, raw: dict[str, DataFrame],
                         dims.snapshot(e, current, staged[e], run_ts,
                                       initial_valid_from=initial_valid_from))
 
-    cal = dict(calendar or {})
+    cal = dict(calendar or {"as_of": as_of, **dims.calendar_bounds(
+        {e: staged[e].select(c) for e, c in FACT_DATES.items()})})
     cal.setdefault("as_of", as_of)
     dim_date = keep("dim_date", "MARTS", dims.date_spine(spark, **cal))
     dim_product = keep("dim_product", "MARTS",
@@ -73,7 +78,8 @@ def run_batch(spark: SparkSession, store: TableStore, raw: dict[str, DataFrame],
     }
     for name, entity in FACT_SOURCES.items():
         target = None if full_refresh else store.read(name, "MARTS")
-        batch = builders[name](new_since(staged[entity], target))
+        mark = None if target is None else store.watermark(name, "MARTS")
+        batch = builders[name](new_since(staged[entity], target, mark=mark))
         if partition_facts:
             v = merge_into_partitions(store, name, batch, facts.FACT_KEYS[name],
                                       facts.FACT_MONTH[name](), "MARTS")

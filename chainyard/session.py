@@ -68,13 +68,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
     The location is read from the session (``spark.checkpoint.dir`` or the
-    context's checkpoint dir).  Only when neither is set -- a local test
-    session -- is a private temporary folder created and registered as the
-    checkpoint dir, so ``DataFrame.checkpoint()`` works there too.
+    context's checkpoint dir).  Only when neither is set and the master is
+    local -- a test session -- is a private temporary folder created and
+    registered as the checkpoint dir, so ``DataFrame.checkpoint()`` works there
+    too; on a cluster that is an error.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="chainyard-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

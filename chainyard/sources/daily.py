@@ -21,24 +21,11 @@ TABLE_PATTERN = r"^sales[_/](\d{4})[_/](\d{2})[_/](\d{2})$"
 _RX = re.compile(TABLE_PATTERN)
 
 
-def parse_table_name(name: str) -> tuple[str, str, str]:
-    """('YYYY', 'MM', 'DD') of a daily table name; ValueError otherwise."""
-    m = _RX.match(name)
-    if not m:
-        raise ValueError(f"Cannot parse date from: '{name}'")
-    return m.group(1), m.group(2), m.group(3)
-
-
 def discover_names(names) -> list[str]:
     """Daily table names among ``names``, in name order (= date order)."""
     return sorted(n for n in names if n.lower().startswith("sales") and _RX.match(n))
 
 
-def discover_sales_tables(names) -> list[tuple[str, tuple[str, str, str]]]:
-    """[(table, (YYYY, MM, DD))] of the daily tables among ``names``."""
-    return [(n, parse_table_name(n)) for n in discover_names(names)]
-
-
 def table_date_parts(col: str | Column = "_source_table") -> dict[str, Column]:
     c = F.col(col) if isinstance(col, str) else col
     return {"yyyy": F.regexp_extract(c, TABLE_PATTERN, 1),
@@ -54,12 +41,6 @@ def discover(tables: DataFrame, col: str = "table_name") -> DataFrame:
                   .withColumns(parts).orderBy(col))
 
 
-def dest_key(table_name: str, prefix: str = "") -> str:
-    """Landing key of one day's table: ``<prefix>YYYY/MM/<table>.parquet``."""
-    y, m, _ = parse_table_name(table_name)
-    return f"{prefix}{y}/{m}/{table_name}.parquet"
-
-
 def land_daily(df: DataFrame, root: str, table_col: str = "_source_table",
                mode: str = "append") -> None:
     """Write rows of many daily tables at once, partitioned by the year and
@@ -74,10 +55,11 @@ def land_daily(df: DataFrame, root: str, table_col: str = "_source_table",
 
 
 def read_daily(spark: SparkSession, root: str, table_col: str = "_source_table") -> DataFrame:
-    """Union of every landed daily table (one scan).  The year/month folder
-    columns only serve partition pruning; dates come from the table name."""
-    df = spark.read.parquet(root)
-    return df.filter(F.col(table_col).rlike(TABLE_PATTERN)).drop("yyyy", "mm")
+    """Union of every landed daily table (one scan), columns of all runs merged
+    by name.  The run and year/month folder columns only serve pruning; dates
+    come from the table name."""
+    df = spark.read.option("mergeSchema", "true").parquet(root)
+    return df.filter(F.col(table_col).rlike(TABLE_PATTERN)).drop("run", "yyyy", "mm")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame | None:
@@ -88,8 +70,6 @@ def union_all(frames: list[DataFrame]) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-union_daily = union_all
-
 
 def unseen(tables: DataFrame, seen: DataFrame, col: str = "table_name") -> DataFrame:
     """Tables not yet ingested (seen-set watermark, I6)."""

@@ -4,19 +4,22 @@ incremental selection by modification time (S1-S3, S7).
 Listing goes through Spark's ``binaryFile`` source with only the metadata
 columns selected (path, modificationTime, length), so no file content is
 read to list a folder; ``modifiedAfter`` is Spark's own strict ``>``.
-Each format is then read by ONE multi-file scan; files are never looped
-over one job at a time.
-
-JSON layout: a pretty-printed array needs ``multiLine``; but ``multiLine``
-on a JSON-lines file silently returns only its first record.  So the
-layout of each file is sniffed first (one aggregate over the text: does
-any line start with '[', how many non-blank lines) and the files are
-routed to the two readers, then unioned by name.
+A new file's first bytes tell how to read it: a CSV's header, a JSON file's
+layout.  Files alike are read by ONE multi-file scan.
+
+* CSV columns are matched by header name: Spark maps a declared schema by
+  position, so each distinct header gets a schema in its own order.  Columns
+  that are not declared are kept as text; a file that lacks a declared column
+  is refused.
+* JSON: a first line that ends a record (or an array) means a value on each
+  line; otherwise the file is one value over several lines.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +27,8 @@ from pyspark.sql import types as T
 
 CSV_EXT = (".csv", ".txt")
 JSON_EXT = (".json",)
+#: Bytes that are read of a new file before its layout is known.
+HEAD_BYTES = 65_536
 
 
 @dataclass
@@ -34,6 +39,7 @@ class Batch:
     files: list[str] = field(default_factory=list)
     rejected: list[tuple[str, str]] = field(default_factory=list)
     corrupt: DataFrame | None = None
+    keys: DataFrame | None = None  # the file of every row, sound or not
 
 
 def list_files(spark: SparkSession, path: str, modified_after: str | None = None,
@@ -63,30 +69,20 @@ def list_files(spark: SparkSession, path: str, modified_after: str | None = None
     return df.select("path", "modificationTime", "length")
 
 
-# Inputs in this size range may be re-spread over the cores after the scan:
-# smaller ones are not worth a shuffle, larger ones never need one.
-SPREAD_MIN_BYTES = 4 << 20
-SPREAD_BELOW_BYTES = 1 << 30
-
-
-def spread_small_input(spark: SparkSession, df: DataFrame, path: str,
-                       below_bytes: int = SPREAD_BELOW_BYTES,
-                       min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin an under-split *small* input over the cluster's cores.
-
-    A Parquet file written as one row group is read by a single task
-    whatever its size, and every narrow operator after the scan (casts,
-    broadcast joins, projections) then runs in that task too.  When a
-    table has fewer files than cores and is between ``min_bytes`` and
-    ``below_bytes``, one bounded shuffle spreads it; large inputs are never touched (they
-    are split by row group already, and a shuffle there would be waste).
-    Filters and column pruning still reach the scan below the repartition.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    size = list_files(spark, path).agg(F.sum("length")).first()[0] or 0
-    return df.repartition(cores) if min_bytes <= size < below_bytes else df
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Zero-byte files under ``path``, which Spark's listing leaves out."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return []
+    out, listing = [], fs.listFiles(root, True)
+    while listing.hasNext():
+        f = listing.next()
+        name = f.getPath().getName()
+        if f.getLen() == 0 and not name.startswith(("_", ".")):
+            out.append(f.getPath().toString())
+    return sorted(out)
 
 
 def _ext(path: str) -> str:
@@ -94,17 +90,37 @@ def _ext(path: str) -> str:
     return ("." + name.rsplit(".", 1)[-1].lower()) if "." in name else ""
 
 
-def json_layouts(spark: SparkSession, files: list[str]) -> dict[str, str]:
-    """'multiline' for files holding a multi-line JSON array, else 'lines'."""
-    if not files:
-        return {}
-    text = spark.read.text(files).select(F.col("_metadata.file_path").alias("f"),
-                                         F.trim("value").alias("v"))
-    stats = (text.filter(F.length("v") > 0).groupBy("f")
-                 .agg(F.max(F.col("v").startswith("[").cast("int")).alias("arr"),
-                      F.count(F.lit(1)).alias("n"))).collect()
-    out = {r.f: ("multiline" if r.arr == 1 and r.n > 1 else "lines") for r in stats}
-    return {f: out.get(_norm(f), out.get(f, "lines")) for f in files}
+def file_head(spark: SparkSession, path: str, size: int = HEAD_BYTES) -> str:
+    """The first bytes of a file, as text."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        return bytes(stream.readNBytes(size)).decode("utf-8", "ignore").removeprefix("﻿")
+    finally:
+        stream.close()
+
+
+def json_layout(head: str) -> str:
+    """'lines' if the file holds a value on each line, else 'multiline'."""
+    lines = [line.strip() for line in head.splitlines() if line.strip()]
+    if len(lines) < 2:
+        return "lines"  # one line only, or one longer than the head
+    try:
+        json.loads(lines[0])
+        return "lines"
+    except ValueError:
+        # an object over several lines never opens another value on its second
+        # line: there the first line is a broken record of its own
+        broken = lines[0][0] == "{" and lines[1][0] in "{["
+        return "lines" if broken else "multiline"
+
+
+def csv_header(head: str) -> tuple[str, ...]:
+    """Column names of a CSV file's first line."""
+    import csv
+    first = next(csv.reader([head.partition("\n")[0].rstrip("\r")]), [])
+    return tuple(c.strip() for c in first)
 
 
 def _norm(path: str) -> str:
@@ -112,38 +128,28 @@ def _norm(path: str) -> str:
 
 
 def read_json(spark: SparkSession, files: list[str], schema: T.StructType | None,
-              corrupt_col: str | None = None) -> DataFrame | None:
-    layouts = json_layouts(spark, files)
-    parts = []
-    for layout in ("lines", "multiline"):
-        group = [f for f in files if layouts.get(f) == layout]
-        if not group:
-            continue
-        r = spark.read.option("multiLine", str(layout == "multiline").lower()) \
-                      .option("mode", "PERMISSIVE")
-        if corrupt_col:
-            r = r.option("columnNameOfCorruptRecord", corrupt_col)
-        if schema is not None:
-            r = r.schema(_with_corrupt(schema, corrupt_col))
-        parts.append(_keyed(r.json(group)))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+              corrupt_col: str | None = None, layout: str = "lines") -> DataFrame:
+    r = spark.read.option("multiLine", str(layout == "multiline").lower()) \
+                  .option("mode", "PERMISSIVE")
+    if corrupt_col:
+        r = r.option("columnNameOfCorruptRecord", corrupt_col)
+    if schema is not None:
+        r = r.schema(_with_corrupt(schema, corrupt_col))
+    return _keyed(r.json(files))
 
 
 def read_csv(spark: SparkSession, files: list[str], schema: T.StructType | None,
-             corrupt_col: str | None = None) -> DataFrame:
+             corrupt_col: str | None = None, header: tuple[str, ...] = ()) -> DataFrame:
+    """CSV files with the same ``header``, their columns matched by name."""
     r = spark.read.option("header", "true").option("mode", "PERMISSIVE")
     if corrupt_col:
         r = r.option("columnNameOfCorruptRecord", corrupt_col)
-    if schema is not None:
-        r = r.schema(_with_corrupt(schema, corrupt_col))
-    else:
-        r = r.option("inferSchema", "true")
-    return _keyed(r.csv(files))
+    if schema is None:
+        return _keyed(r.option("inferSchema", "true").csv(files))
+    declared = {f.name.lower(): f for f in schema.fields}
+    own = T.StructType([declared.get(c.lower(), T.StructField(c, T.StringType()))
+                        for c in header])
+    return _keyed(r.schema(_with_corrupt(own, corrupt_col)).csv(files))
 
 
 def _with_corrupt(schema: T.StructType, corrupt_col: str | None) -> T.StructType:
@@ -158,56 +164,66 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("_source_key", F.col("_metadata.file_path"))
 
 
-def read_batch(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               modified_after: str | None = None, reject_empty: bool = True,
+def read_paths(spark: SparkSession, files: list[str], schema: T.StructType | None = None,
                corrupt_col: str | None = None) -> Batch:
-    """Read every new CSV/TXT/JSON file under ``path``.
-
-    Refused (reported, not raised): unknown extension, zero-byte file, and
-    -- with ``reject_empty`` -- a file that parses to no rows (e.g. a
-    header-only CSV).  ``_source_key`` carries each row's file.
+    """Read the given files, alike ones by one scan.
 
-    With ``corrupt_col`` the parsers run PERMISSIVE and keep the raw text
-    of a malformed row in that column: such rows are split off into
-    ``Batch.corrupt`` (to be quarantined) and the good rows load -- a bad
-    row neither fails the batch nor loads as a row of NULLs.
+    Refused (reported, not raised): unknown extension, a CSV that lacks a
+    declared column or repeats one.  With ``corrupt_col`` the raw text of a
+    malformed row is kept in that column and split off into
+    ``Batch.corrupt`` (to be quarantined): a bad row neither fails the batch
+    nor loads as a row of NULLs.
     """
-    listing = list_files(spark, path, modified_after).collect()
-    rejected, csv_files, json_files = [], [], []
-    for r in listing:
-        ext = _ext(r.path)
+    rejected, groups = [], {}
+    for path in files:
+        ext = _ext(path)
         if ext not in CSV_EXT + JSON_EXT:
-            rejected.append((r.path, f"unsupported extension '{ext}'"))
-        elif r.length == 0:
-            rejected.append((r.path, "file is empty"))
-        elif ext in CSV_EXT:
-            csv_files.append(r.path)
+            rejected.append((path, f"unsupported extension '{ext}'"))
+        elif ext in JSON_EXT:
+            groups.setdefault(("json", json_layout(file_head(spark, path))), []).append(path)
+        elif schema is None:
+            groups.setdefault(("csv", ()), []).append(path)
         else:
-            json_files.append(r.path)
-    parts = []
-    if csv_files:
-        parts.append(read_csv(spark, csv_files, schema, corrupt_col))
-    if json_files:
-        j = read_json(spark, json_files, schema, corrupt_col)
-        if j is not None:
-            parts.append(j)
+            header = csv_header(file_head(spark, path))
+            low = [c.lower() for c in header]
+            lacking = [f.name for f in schema.fields if f.name.lower() not in low]
+            if lacking:
+                rejected.append((path, f"no column {', '.join(lacking)}"))
+            elif len(set(low)) < len(low):
+                rejected.append((path, "a column is repeated"))
+            else:
+                groups.setdefault(("csv", header), []).append(path)
+    readers = {"csv": read_csv, "json": read_json}
+    parts = [readers[kind](spark, group, schema, corrupt_col, detail)
+             for (kind, detail), group in groups.items()]
     if not parts:
         return Batch(None, [], rejected)
-    df = parts[0]
-    for p in parts[1:]:
-        df = df.unionByName(p, allowMissingColumns=True)
-    accepted = csv_files + json_files
-    if reject_empty:
-        seen = {r[0] for r in df.groupBy("_source_key").count().select("_source_key").collect()}
-        empty = [f for f in accepted if _norm(f) not in seen and f not in seen]
-        rejected += [(f, "file has no rows") for f in empty]
-        if empty:
-            keep = [f for f in accepted if f not in empty]
-            if not keep:
-                return Batch(None, [], rejected)
-            df = df.filter(F.col("_source_key").isin([_norm(f) for f in keep] + keep))
-            accepted = keep
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    accepted = [f for group in groups.values() for f in group]
+    keys = df.select("_source_key")
     if corrupt_col:
         bad = F.col(corrupt_col).isNotNull()
-        return Batch(df.filter(~bad).drop(corrupt_col), accepted, rejected, df.filter(bad))
-    return Batch(df, accepted, rejected)
+        return Batch(df.filter(~bad).drop(corrupt_col), accepted, rejected, df.filter(bad), keys)
+    return Batch(df, accepted, rejected, None, keys)
+
+
+def read_batch(spark: SparkSession, path: str, schema: T.StructType | None = None,
+               modified_after: str | None = None, reject_empty: bool = True,
+               corrupt_col: str | None = None) -> Batch:
+    """Read every new CSV/TXT/JSON file under ``path`` (see ``read_paths``).
+
+    Also refused: zero-byte files and -- with ``reject_empty`` -- a file that
+    parses to no rows (e.g. a header-only CSV).  ``_source_key`` carries each
+    row's file.
+    """
+    listing = list_files(spark, path, modified_after).select("path").collect()
+    batch = read_paths(spark, [r.path for r in listing], schema, corrupt_col)
+    batch.rejected += [(f, "file is empty") for f in empty_files(spark, path)]
+    if batch.data is not None and reject_empty:
+        seen = {r[0] for r in batch.keys.distinct().collect()}
+        empty = [f for f in batch.files if _norm(f) not in seen and f not in seen]
+        batch.rejected += [(f, "file has no rows") for f in empty]
+        batch.files = [f for f in batch.files if f not in empty]
+        if not batch.files:
+            return Batch(None, [], batch.rejected)
+    return batch

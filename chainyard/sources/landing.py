@@ -2,17 +2,18 @@
 
 * ``land``: Parquet (snappy), append or overwrite (a refreshed sheet
   export replaces the previous one).
-* ``load_raw``: append every landed file not loaded before into the RAW
-  table, each file exactly once.  The set of loaded files is itself a
-  small append-only table; new files = listing ``left_anti`` loaded set.
-  Schemas of the files are merged by name (new columns appear as NULL on
-  older rows); unreadable Parquet files can be skipped (``ON_ERROR =
-  CONTINUE``).
+* ``load_raw``: every landed file not loaded before becomes part of the RAW
+  table, each file once: new files = listing ``left_anti`` the log of loads,
+  and a load counts from its one log entry on.  Schemas of the files are
+  merged by name (new columns appear as NULL on older rows); an unreadable
+  file is logged and leaves the others loaded.
+* ``latest_refresh``: of a static source only the newest full refresh counts.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +30,6 @@ def land(df: DataFrame, dest: str, mode: str = "append",
     return dest
 
 
-def dest_folder(source_key: str, source_prefix: str, dest_prefix: str) -> str:
-    """Keep the folder of a source object, swap its extension for .parquet."""
-    rel = source_key[len(source_prefix):] if source_key.startswith(source_prefix) else source_key
-    base = rel.rsplit(".", 1)[0] if "." in rel.rsplit("/", 1)[-1] else rel
-    return f"{dest_prefix}{base}.parquet"
-
-
 def read_sheet_export(spark: SparkSession, folder: str, tab: str, schema=None) -> DataFrame:
     """Rows of one exported sheet tab -- ``<folder>/<tab>.csv|.json`` or a
     folder ``<folder>/<tab>/`` of part files; raise when the tab is missing
@@ -56,31 +50,67 @@ def read_sheet_export(spark: SparkSession, folder: str, tab: str, schema=None) -
     return df.drop("_source_key")
 
 
-def loaded_files(spark: SparkSession, log_path: str) -> DataFrame:
+LOAD_LOG = "load string, path string, loaded_at string, error string"
+
+
+def load_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """The log of loads: a row for each landed file, with the error of those
+    that could not be read."""
     from chainyard.session import path_exists
     if not path_exists(spark, log_path):  # first load: nothing loaded yet
-        return spark.createDataFrame([], "path string, loaded_at string")
-    return spark.read.schema("path string, loaded_at string").json(log_path)
+        return spark.createDataFrame([], LOAD_LOG)
+    return spark.read.schema(LOAD_LOG).json(log_path)
 
 
-def load_raw(spark: SparkSession, landing: str, raw: str, log_path: str,
-             skip_corrupt: bool = True) -> int:
-    """Append landed Parquet files not loaded before to ``raw``; returns the
-    number of files loaded."""
+def load_raw(spark: SparkSession, landing: str, raw: str, log_path: str) -> int:
+    """Load landed Parquet files not loaded before into ``raw``; returns the
+    number of files loaded.
+
+    A load writes a folder of its own and then one log entry naming it, which
+    is its only commit: a crash in between leaves a folder that no reader
+    takes and the next load repeats.  Files that cannot be read are logged
+    with their error, and tried again by the next load.
+    """
     listing = list_files(spark, landing, glob="*.parquet")
-    new = listing.join(loaded_files(spark, log_path), "path", "left_anti")
-    paths = [r.path for r in new.select("path").collect()]
+    done = load_log(spark, log_path).filter("error IS NULL").select("path")
+    paths = [r.path for r in listing.join(done, "path", "left_anti").select("path").collect()
+             if "/_quarantine/" not in r.path]
     if not paths:
         return 0
-    df = (spark.read.option("mergeSchema", "true")
-          .option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(*paths))
-    df.write.mode("append").option("compression", "snappy").parquet(raw)
+    load, errors = uuid.uuid4().hex, {}
+
+    def write(files: list[str]) -> None:
+        (spark.read.option("mergeSchema", "true").parquet(*files)
+         .write.mode("overwrite").option("compression", "snappy").parquet(f"{raw}/load={load}"))
+
+    try:
+        write(paths)
+    except Exception:  # noqa: BLE001 - some file is damaged; find which
+        for p in paths:
+            try:
+                spark.read.parquet(p).write.format("noop").mode("overwrite").save()
+            except Exception as exc:  # noqa: BLE001 - logged, the others load
+                errors[p] = str(exc)[:500]
+        good = [p for p in paths if p not in errors]
+        if good:
+            write(good)
     stamp = dt.datetime.now(dt.timezone.utc).isoformat()
-    (spark.createDataFrame([(p, stamp) for p in paths], "path string, loaded_at string")
-          .write.mode("append").json(log_path))
-    return len(paths)
+    (spark.createDataFrame([(load, p, stamp, errors.get(p)) for p in paths], LOAD_LOG)
+          .coalesce(1).write.mode("append").json(log_path))
+    return len(paths) - len(errors)
+
+
+def read_raw(spark: SparkSession, raw: str, log_path: str) -> DataFrame:
+    """The RAW table: all logged loads, their schemas merged by column name."""
+    loads = load_log(spark, log_path).filter("error IS NULL").select("load").distinct().collect()
+    folders = sorted(f"{raw}/load={r.load}" for r in loads)
+    return spark.read.option("mergeSchema", "true").parquet(*folders)
 
 
-def read_raw(spark: SparkSession, raw: str) -> DataFrame:
-    """The RAW table, file schemas merged by column name."""
-    return spark.read.option("mergeSchema", "true").parquet(raw)
+def latest_refresh(df: DataFrame, stamp: str = "_ingestion_timestamp") -> DataFrame:
+    """The rows of the newest full refresh of a static source: a source that is
+    refreshed as a whole holds no row that its last refresh lacks."""
+    if stamp not in df.columns:
+        return df
+    newest = df.agg(F.max(stamp)).first()[0]
+    return df if newest is None else df.filter(F.col(stamp) == F.lit(newest))

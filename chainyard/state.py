@@ -12,11 +12,12 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 # First-run default, static-source refresh period.
 EPOCH = "1970-01-01T00:00:00+00:00"
 STATIC_REFRESH_DAYS = 30
+#: Key of the marker row of each saved state.
+SAVED = "__saved"
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -37,13 +38,15 @@ def load_state(spark: SparkSession, path: str) -> dict[str, str]:
         return {}
     rows = spark.read.schema("key string, value string").json(
         f"{path}/v={versions[-1]:08d}").collect()
-    return {r.key: r.value for r in rows}
+    return {r.key: r.value for r in rows if r.key != SAVED}
 
 
 def save_state(spark: SparkSession, path: str, state: dict[str, str]) -> int:
     versions = _versions(spark, path)
     nxt = (versions[-1] + 1) if versions else 1
-    (spark.createDataFrame(sorted(state.items()), "key string, value string")
+    # an empty state is a version too: its marker row makes the folder count
+    rows = [(SAVED, str(nxt)), *sorted(state.items())]
+    (spark.createDataFrame(rows, "key string, value string")
           .coalesce(1).write.mode("errorifexists").json(f"{path}/v={nxt:08d}"))
     return nxt
 
@@ -54,14 +57,13 @@ def parse_iso(text: str | None) -> dt.datetime:
 
 
 def modified_after_option(text: str | None) -> str | None:
-    """Watermark text -> the file source's ``modifiedAfter`` form (UTC,
-    whole seconds, rounded *up* so a file stamped in the watermark's own
-    second but before it is not re-read)."""
+    """Watermark text -> the file source's ``modifiedAfter`` form: UTC, whole
+    seconds, one second *before* the watermark's own, since the source's
+    comparison is strict.  Files of that second are listed again and dropped
+    by the log of loaded files."""
     if not text:
         return None
-    t = parse_iso(text)
-    if t.microsecond:
-        t = t.replace(microsecond=0) + dt.timedelta(seconds=1)
+    t = parse_iso(text).replace(microsecond=0) - dt.timedelta(seconds=1)
     return t.strftime("%Y-%m-%dT%H:%M:%S")
 
 
@@ -91,9 +93,3 @@ def due(last: str | None, every_days: int | None = STATIC_REFRESH_DAYS,
 def unseen_names(all_names, state: dict[str, str]) -> list[str]:
     """Names not yet in the seen-set, in order."""
     return [n for n in all_names if n not in state]
-
-
-def state_frame(spark: SparkSession, state: dict[str, str]):
-    """The seen-set as a DataFrame (for joins against large listings)."""
-    return spark.createDataFrame(sorted(state.items()), "key string, value string") \
-                .select(F.col("key").alias("table_name"), F.col("value").alias("synced_at"))

@@ -20,8 +20,11 @@ versions plus an append-only commit log:
   (e.g. the event month) can publish a version holding only the partitions
   it rewrote; the log records them, and a read takes every partition from
   the newest version that wrote it.  A daily merge then costs the months
-  its batch touches, not the whole table.  Requires that a key's partition
-  never changes (true for an event date).
+  its batch touches, not the whole table.
+* The log keeps each version's schema, so an empty version can be read and a
+  table takes the columns of its newest version (older rows have NULL for
+  new columns), and the greatest ingestion time, so that finding what is new
+  needs no scan of the table.
 
 Lineage cuts: a published version is a table on shared storage, so a
 downstream plan reading it does not recompute (or re-read) its inputs,
@@ -31,13 +34,20 @@ and an executor lost later only re-reads Parquet.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from chainyard.operators.merge import align_to
 
 LOG_SCHEMA = ("table string, version long, path string, published_at string, "
-              "partitions array<string>")
-PART = "__part"  # layout column of partitioned tables, never exposed to readers
+              "partitions array<string>, schema string, watermark string")
+PART = "__part"  # layout column of partitioned tables, not shown to readers
+STAMP = "_ingestion_timestamp"  # its greatest value is a version's watermark
 
 
 def _pv(value: str) -> str:
@@ -54,7 +64,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._known: dict[str, list] | None = None
-        self._pending: dict[tuple, list | None] = {}
+        self._pending: dict[tuple, tuple] = {}
 
     def _id(self, name: str, layer: str | None = None) -> str:
         return f"{schema_name(layer)}.{name}"
@@ -68,15 +78,21 @@ class TableStore:
         return self.spark.read.schema(LOG_SCHEMA).json(log)
 
     def _entries(self) -> dict[str, list]:
-        """table -> [(version, partitions or None)] in version order."""
+        """table -> [(version, partitions or None, schema, watermark)] in order."""
         if self._known is None:
-            rows = self.log().select("table", "version", "partitions").collect()
+            rows = self.log().select("table", "version", "partitions", "schema",
+                                     "watermark").collect()
             known: dict[str, list] = {}
             for r in sorted(rows, key=lambda r: (r.table, r.version)):
-                known.setdefault(r.table, []).append((r.version, r.partitions))
+                known.setdefault(r.table, []).append(tuple(r)[1:])
             self._known = known
         return self._known
 
+    def watermark(self, name: str, layer: str | None = None) -> str | None:
+        """Greatest ingestion time of all published versions, or None."""
+        marks = [e[3] for e in self._entries().get(self._id(name, layer), []) if e[3]]
+        return max(marks, default=None)
+
     def refresh(self) -> None:
         """Forget cached versions (another writer may have published)."""
         self._known = None
@@ -90,43 +106,48 @@ class TableStore:
         return f"{self.root}/{self._id(name, layer)}/v={version:08d}"
 
     def read(self, name: str, layer: str | None = None, version: int | None = None,
-             partitions: list[str] | None = None) -> DataFrame | None:
+             partitions: list[str] | None = None, keep_part: bool = False) -> DataFrame | None:
         """The table as of ``version`` (default: latest published).
 
         ``partitions`` restricts a partitioned table to those partition
-        values (pruned at the scan)."""
+        values (pruned at the scan); ``keep_part`` keeps the layout column."""
         entries = self._entries().get(self._id(name, layer), [])
-        if version is not None and not any(v == version for v, _ in entries):
-            entries = entries + [(version, self._pending.get((name, layer, version)))]
-        entries = [(v, p) for v, p in entries if version is None or v <= version]
+        if version is not None and not any(e[0] == version for e in entries):
+            entries = entries + [(version, *self._pending[(name, layer, version)])]
+        entries = [e for e in entries if version is None or e[0] <= version]
         if not entries:
             return None
-        full = max(i for i, (_, p) in enumerate(entries) if p is None) \
-            if any(p is None for _, p in entries) else 0
-        base_v = entries[full][0]
+        full = max((i for i, e in enumerate(entries) if e[1] is None), default=0)
         owner: dict[str, int] = {}
-        for v, parts in entries[full + 1:]:
-            for p in parts or []:
-                owner[p] = v
-        base = self.spark.read.parquet(self.path(name, base_v, layer))
-        if PART not in base.columns:
-            return base
-        if owner:
-            base = base.filter(~F.col(PART).isin([_pv(p) for p in owner]))
-        frames = [base]
-        by_version: dict[int, list[str]] = {}
-        for p, v in owner.items():
-            by_version.setdefault(v, []).append(p)
-        for v, parts in sorted(by_version.items()):
-            root = self.path(name, v, layer)
-            frames.append(self.spark.read.option("basePath", root)
-                          .parquet(*[f"{root}/{PART}={_pv(p)}" for p in sorted(parts)]))
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        if partitions is not None:
-            out = out.filter(F.col(PART).isin([_pv(p) for p in partitions]))
-        return out.drop(PART)
+        for i, e in enumerate(entries[full + 1:], start=full + 1):
+            owner.update(dict.fromkeys(e[1], i))
+        newest = T.StructType.fromJson(json.loads(entries[-1][2]))
+        frames = []
+        for i, (v, _, schema, _) in enumerate(entries[full:], start=full):
+            own = T.StructType.fromJson(json.loads(schema))
+            df = self.spark.read.schema(own).parquet(self.path(name, v, layer))
+            if PART in own.names:
+                # the base gives what no later version owns, a later one what it owns
+                mine = [_pv(p) for p, k in owner.items() if k == i]
+                later = [_pv(p) for p, k in owner.items() if k != i]
+                if i > full:
+                    if not mine:
+                        continue
+                    df = df.filter(F.col(PART).isin(mine))
+                elif later:
+                    df = df.filter(~F.col(PART).isin(later))
+                if partitions is not None:
+                    df = df.filter(F.col(PART).isin([_pv(p) for p in partitions]))
+            frames.append(align_to(df, newest))
+        out = reduce(DataFrame.unionByName, frames)
+        return out if keep_part else out.drop(PART)
+
+    def set_aside(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written once to a folder of its own and read back: what several
+        plans of a run use is computed once and survives lost executors."""
+        path = f"{self.root}/_aside/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def history(self, name: str, layer: str | None = None) -> DataFrame:
         return self.log().filter(F.col("table") == self._id(name, layer)).orderBy("version")
@@ -147,13 +168,22 @@ class TableStore:
             # cluster rows by partition so each task writes few files; AQE
             # splits a partition holding a large share of the rows
             df = df.hint("rebalance", PART)
-        self._pending[(name, layer, v)] = sorted(partitions) if partitions is not None else None
+        if partition_by and PART in partition_by:
+            # the layout column comes last, as it is read back
+            df = df.select(*[c for c in df.columns if c != PART], PART)
+        schema, seen = df.schema.json(), None
+        if STAMP in df.columns:
+            seen = Observation(f"watermark-{name}-{v}")
+            df = df.observe(seen, F.max(F.col(STAMP).cast("string")).alias("mark"))
         w = df.write.mode("overwrite").option("compression", "snappy")
         if partition_by:
             w = w.partitionBy(*partition_by)
         # the folder of an unpublished version may hold a failed attempt's
         # leftovers: overwriting it is safe, nothing reads it
         w.parquet(self.path(name, v, layer))
+        self._pending[(name, layer, v)] = (
+            sorted(partitions) if partitions is not None else None, schema,
+            seen.get.get("mark") if seen is not None else None)
         return v
 
     def publish(self, versions: dict[tuple[str, str | None], int]) -> None:
@@ -161,13 +191,13 @@ class TableStore:
         if not versions:
             return
         now = dt.datetime.now(dt.timezone.utc).isoformat()
-        rows = [(self._id(n, l), v, self.path(n, v, l), now, self._pending.get((n, l, v)))
+        rows = [(self._id(n, l), v, self.path(n, v, l), now, *self._pending[(n, l, v)])
                 for (n, l), v in versions.items()]
         (self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
              .write.mode("append").json(f"{self.root}/_commits"))
         known = self._entries()
         for (n, l), v in versions.items():
-            known.setdefault(self._id(n, l), []).append((v, self._pending.pop((n, l, v), None)))
+            known.setdefault(self._id(n, l), []).append((v, *self._pending.pop((n, l, v))))
 
     def commit(self, name: str, df: DataFrame, layer: str | None = None,
                partition_by: list[str] | None = None, part_expr=None,

@@ -27,8 +27,11 @@ SCENARIO_RUNS = ("1996-01-01 00:00:00", "1997-01-01 00:00:00",
 REBRAND_TYPE = "PROMO"
 DISCONTINUED_MIN_SIZE = 45
 # Calendar covering every fact date of the fixture (sales 1995-2001).
-CALENDAR = {"start": "1995-01-01", "as_of": "2001-12-31", "max_days": 4000}
+CALENDAR = {"start": "1995-01-01", "as_of": "2001-12-31"}
 AS_OF = CALENDAR["as_of"]
+# The date of each fact.
+FACT_DATES = {"sales": "transaction_date", "shipments": "shipment_date",
+              "inventory": "snapshot_date"}
 
 
 _TABLES: dict = {}
@@ -37,11 +40,10 @@ _TABLES: dict = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's table ``name`` (read once per session: listing and
     footer reads are not repeated for every model that uses it)."""
-    from chainyard.sources.files import spread_small_input
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _TABLES:
-        _TABLES[key] = spread_small_input(spark, spark.read.parquet(path), path)
+        _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
 
 

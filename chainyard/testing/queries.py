@@ -119,17 +119,19 @@ def _snap_products(w):
 # -- incremental facts: first run up to 1998, second run merges the rest ----
 def _incremental(w, name: str):
     """Run 1 builds the fact from the batches ingested up to 1998 and
-    publishes it; run 2 reads the published table, takes only rows ingested
-    after its high watermark, and merges them in as a new version."""
+    publishes it; run 2 takes only rows ingested after the published
+    watermark and merges them in, rewriting the months they touch."""
+    from chainyard.operators.merge import merge_into_partitions, new_since
     from chainyard.plans import facts
     from chainyard.store import TableStore
     from chainyard.testing.scenario import first_run
     store = TableStore(w.spark, _scratch(w, "incremental"))
     staged = w.stg({"fct_sales": "sales", "fct_shipments": "shipments",
                     "fct_inventory": "inventory"}[name])
-    build = getattr(w, name)
-    store.commit(name, facts.incremental(name, None, first_run(staged), build))
-    store.commit(name, facts.incremental(name, store.read(name), staged, build))
+    for batch in (first_run(staged), staged):
+        rows = getattr(w, name)(new_since(batch, store.read(name), mark=store.watermark(name)))
+        store.publish({(name, None): merge_into_partitions(
+            store, name, rows, facts.FACT_KEYS[name], facts.FACT_MONTH[name]())})
     return store.read(name)
 
 
@@ -199,6 +201,109 @@ def _merge_schema_sync(w):
     return store.read("fct_inventory")
 
 
+@register("merge_moved_month", O.with_models("""
+    select shipment_id, carrier, quantity_shipped,
+           if(quantity_shipped > 25, shipment_date + interval 40 day, shipment_date)::date
+               as shipment_date
+    from raw_shipments"""))
+def _merge_moved_month(w):
+    """A second batch moves the larger shipments by 40 days, into other
+    months: each keeps one row."""
+    from pyspark.sql import functions as F
+    from chainyard.operators.merge import merge_into_partitions
+    from chainyard.store import TableStore
+    from chainyard.testing import fixtures as fx
+    store = TableStore(w.spark, _scratch(w, "moved-month"))
+    ship = fx.raw_shipments(w.spark, w.sf_dir).select(
+        "shipment_id", "carrier", "quantity_shipped", F.col("shipment_date").cast("date"),
+        "_ingestion_timestamp")
+    moved = ship.filter("quantity_shipped > 25").withColumn(
+        "shipment_date", F.date_add("shipment_date", 40))
+    for batch in (ship, moved):
+        v = merge_into_partitions(store, "s", batch, "shipment_id",
+                                  F.date_format("shipment_date", "yyyyMM"))
+        store.publish({("s", None): v})
+    return store.read("s").drop("_ingestion_timestamp")
+
+
+@register("month_merge_schema_sync", O.with_models(f"""
+    select inventory_key, warehouse_id, product_id, date_id, quantity_available,
+           reorder_threshold, snapshot_date,
+           case when _ingestion_timestamp > '{O.FIRST_RUN_UNTIL}' then stock_level end
+               as stock_level,
+           _ingestion_timestamp, _run_id
+    from fct_inventory"""))
+def _month_merge_schema_sync(w):
+    """As ``merge_schema_sync`` in the month form, after an empty first batch:
+    months that the second batch leaves alone show its columns too."""
+    from pyspark.sql import functions as F
+    from chainyard.operators.merge import merge_into_partitions
+    from chainyard.plans import facts
+    from chainyard.store import TableStore
+    from chainyard.testing.scenario import first_run
+    store = TableStore(w.spark, _scratch(w, "month-sync"))
+    staged, month = w.stg("inventory"), facts.FACT_MONTH["fct_inventory"]()
+    old = w.fct_inventory(first_run(staged)).drop("stock_level").withColumn(
+        "legacy_bin", F.lit("A"))
+    new = w.fct_inventory(staged.filter(F.col("_ingestion_timestamp") > O.FIRST_RUN_UNTIL))
+    for batch in (old.limit(0), old, new):
+        store.publish({("i", None): merge_into_partitions(store, "i", batch, "inventory_key", month)})
+    return store.read("i")
+
+
+# -- the data tests on inputs damaged by a fixed rule ------------------------
+_BROKEN = """
+    with broken as (
+        select case when l_linenumber = 1 then null else 'k' || cast(l_partkey as varchar) end
+                   as key,
+               case when l_linenumber = 2 then -cast(l_quantity as integer)
+                    else cast(l_quantity as integer) end as quantity,
+               case when l_linenumber = 3 then 'LOST' else 'ON_TIME' end as status,
+               case when l_linenumber = 4 then 'MANY' else 'LOW_STOCK' end as level
+        from lineitem)
+    select 'not_null' as test, cast(count(*) filter (where key is null) as bigint) as failures
+    from broken
+    union all select 'unique', cast(count(*) as bigint) from (
+        select key from broken where key is not null group by key having count(*) > 1)
+    union all select 'relationships', cast(count(*) as bigint) from broken
+        where key is not null and key not in (select 'k' || cast(p_partkey as varchar) from part
+                                              where p_size > 10)
+    union all select 'positive_value', cast(count(*) filter (where quantity <= 0) as bigint) from broken
+    union all select 'not_negative', cast(count(*) filter (where quantity < 0) as bigint) from broken
+    union all select 'delivery_status', cast(count(*) filter (where status = 'LOST') as bigint)
+        from broken
+    union all select 'stock_level', cast(count(*) filter (where level = 'MANY') as bigint)
+        from broken"""
+
+
+@register("dq_damaged", _BROKEN)
+def _dq_damaged(w):
+    """Every kind of data test on line items damaged by a fixed rule: known
+    counts above zero."""
+    from pyspark.sql import functions as F
+    from chainyard.operators.quality import SUITE, DataTest, run_suite
+    from chainyard.testing import fixtures as fx
+    n, q = F.col("l_linenumber"), F.col("l_quantity").cast("int")
+    key = F.concat(F.lit("k"), F.col("l_partkey").cast("string"))
+    broken = fx.table(w.spark, w.sf_dir, "lineitem").select(
+        F.when(n != 1, key).alias("key"), F.when(n == 2, -q).otherwise(q).alias("quantity"),
+        F.when(n == 3, "LOST").otherwise("ON_TIME").alias("status"),
+        F.when(n == 4, "MANY").otherwise("LOW_STOCK").alias("level"))
+    part = fx.table(w.spark, w.sf_dir, "part").filter("p_size > 10").select(
+        F.concat(F.lit("k"), F.col("p_partkey").cast("string")).alias("key"))
+    values = {t.label: t.values for t in SUITE if t.kind == "accepted_values"}
+    tests = [DataTest("broken", "key", "not_null"), DataTest("broken", "key", "unique"),
+             DataTest("broken", "key", "relationships", to="part", field="key"),
+             DataTest("broken", "quantity", "positive_value"),
+             DataTest("broken", "quantity", "not_negative"),
+             DataTest("broken", "status", "accepted_values", values=values["valid_delivery_status"]),
+             DataTest("broken", "level", "accepted_values", values=values["valid_stock_level"])]
+    found = run_suite(w.spark, {"broken": broken, "part": part}, tests)
+    test = F.when(F.col("column_name") == "status", "delivery_status").when(
+        F.col("column_name") == "level", "stock_level").otherwise(F.col("test"))
+    return found.select(test.alias("test"), "failures")
+
+
 # -- data-quality suite (Q1-Q7): failing-row counts per test ----------------
 def _dq(w, kind: str):
     from chainyard.operators.quality import run_suite, select_tests
@@ -346,37 +451,32 @@ def _ingest_unseen_tables(w):
     select event_id, ts, user_id, event_type, value, props from events
     where ts >= timestamp '2024-01-16 00:00:00'""")
 def _modified_after_ingest(w):
-    """Two drops of event files; the second run reads only files modified
-    after the watermark saved by the first (strictly later)."""
-    import time
+    """Two drops of event files; the second run lists the files modified since
+    the watermark saved by the first, and reads those that were not listed
+    then."""
     from pyspark.sql import functions as F
-    from pyspark.sql import types as T
     from chainyard import state
-    from chainyard.sources.files import list_files, read_batch
+    from chainyard.sources.files import list_files, read_paths
     from chainyard.testing import fixtures as fx
     root = _scratch(w, "modified-after")
     events = fx.table(w.spark, w.sf_dir, "events")
     split = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     micros = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     events.filter(split).write.options(**micros).json(f"{root}/drop/events/a")
-    first = list_files(w.spark, f"{root}/drop/events").agg(F.max("modificationTime")).first()[0]
-    mark = first.replace(tzinfo=None).isoformat() + "+00:00"
+    first = list_files(w.spark, f"{root}/drop/events").collect()
+    mark = max(r.modificationTime for r in first).replace(tzinfo=None).isoformat() + "+00:00"
     state.save_state(w.spark, f"{root}/state/files", {"dynamic.events": mark})
     after = state.modified_after_option(
         state.load_state(w.spark, f"{root}/state/files")["dynamic.events"])
-    while time.time() < _epoch(after) + 1.0:
-        time.sleep(0.2)
     events.filter(~split).write.options(**micros).json(f"{root}/drop/events/b")
-    schema = T.StructType([f for f in events.schema.fields])
-    batch = read_batch(w.spark, f"{root}/drop/events", schema, modified_after=after)
+    loaded = w.spark.createDataFrame([(r.path, r.modificationTime) for r in first],
+                                     "path string, modificationTime timestamp")
+    new = list_files(w.spark, f"{root}/drop/events", after).join(
+        loaded, ["path", "modificationTime"], "left_anti")
+    batch = read_paths(w.spark, [r.path for r in new.collect()], events.schema)
     return batch.data.drop("_source_key")
 
 
-def _epoch(text: str) -> float:
-    import datetime as dt
-    return dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc).timestamp()
-
-
 @register("raw_schema_merge_load", O.with_models(f"""
     select shipment_id, warehouse_id, store_id, product_id, quantity_shipped, shipment_date,
            expected_delivery_date, actual_delivery_date,
@@ -397,7 +497,7 @@ def _raw_schema_merge_load(w):
     land(ship.filter(F.col("_ingestion_timestamp") > O.FIRST_RUN_UNTIL),
          f"{root}/landing/shipments/b")
     load_raw(w.spark, f"{root}/landing", f"{root}/raw/shipments", f"{root}/raw/_loaded")
-    return read_raw(w.spark, f"{root}/raw/shipments")
+    return read_raw(w.spark, f"{root}/raw/shipments", f"{root}/raw/_loaded")
 
 
 # -- profiles, checksums, read-back validation (A2, A4, Q8-Q13, K10, K11) ----
@@ -516,6 +616,165 @@ def _warehouse_run(w):
     return store.read("fct_sales", "MARTS")
 
 
+# -- lossless file ingestion on damaged drops ------------------------------
+@register("csv_header_order", """
+    select 'c' || cast(c_custkey as varchar) as customer_id, c_name as customer_name,
+           cast(c_nationkey as integer) as nation, cast(c_acctbal as decimal(15,2)) as balance
+    from customer""")
+def _csv_header_order(w):
+    """Customers dropped as CSV files whose columns stand in two orders, one
+    with a column more: matched by header name."""
+    from pyspark.sql import functions as F
+    from chainyard.sources.files import read_batch
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "csv-header")
+    c = fx.table(w.spark, w.sf_dir, "customer").select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("customer_id"),
+        F.col("c_name").alias("customer_name"), F.col("c_nationkey").cast("int").alias("nation"),
+        F.col("c_acctbal").cast("decimal(15,2)").alias("balance"))
+    even = F.col("nation") % 2 == 0
+    c.filter(even).write.option("header", "true").csv(f"{root}/drop/a")
+    (c.filter(~even).select("balance", "nation", F.lit("x").alias("note"), "customer_name",
+                            "customer_id").write.option("header", "true").csv(f"{root}/drop/b"))
+    batch = read_batch(w.spark, f"{root}/drop", c.schema)
+    if batch.rejected:
+        raise AssertionError(batch.rejected)
+    return batch.data.select(c.columns)
+
+
+@register("json_layouts", """
+    select cast(s_suppkey as bigint) as id, s_name as name,
+           case s_nationkey % 3 when 0 then 'lines' when 1 then 'array' else 'pretty' end as layout
+    from supplier""")
+def _json_layouts(w):
+    """Suppliers dropped as JSON lines, as one-line arrays and as arrays over
+    several lines: no record is lost."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    from chainyard.sources.files import file_head, json_layout, list_files, read_batch, read_json
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "json-layouts")
+    kind = F.element_at(F.array(F.lit("lines"), F.lit("array"), F.lit("pretty")),
+                        (F.col("s_nationkey") % 3 + 1).cast("int"))
+    s = fx.table(w.spark, w.sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("bigint").alias("id"), F.col("s_name").alias("name"),
+        kind.alias("layout"))
+    s.filter("layout = 'lines'").coalesce(2).write.json(f"{root}/drop/lines")
+    # each nation's suppliers are one value: on one line, or a record a line
+    record = F.to_json(F.struct("id", "name", "layout"))
+    for layout, gap in (("array", ", "), ("pretty", ",\n")):
+        text = F.concat(F.lit("[" if gap == ", " else "[\n"),
+                        F.concat_ws(gap, F.collect_list(record)),
+                        F.lit("]" if gap == ", " else "\n]"))
+        one = s.filter(F.col("layout") == layout).groupBy((F.col("id") % 5).alias("file")).agg(
+            text.alias("value"))
+        (one.repartitionByRange(5, "file").select("value").write.option("lineSep", "\n")
+         .text(f"{root}/drop/{layout}"))
+    # Spark's text writer names its files .txt; their content is JSON
+    batch = read_batch(w.spark, f"{root}/drop/lines", s.schema)
+    parts = [batch.data]
+    for layout in ("array", "pretty"):
+        heads = {}
+        for r in list_files(w.spark, f"{root}/drop/{layout}").collect():
+            heads.setdefault(json_layout(file_head(w.spark, r.path)), []).append(r.path)
+        parts += [read_json(w.spark, paths, s.schema, layout=k) for k, paths in heads.items()]
+    return reduce(DataFrame.unionByName, parts).select("id", "name", "layout")
+
+
+@register("quarantine_counts", """
+    select 'lineitem' as source, count(*) as source_lines,
+           cast(count(*) filter (where l_linenumber = 3) as bigint) as quarantined,
+           cast(count(*) filter (where l_linenumber <> 3) as bigint) as landed,
+           sum(cast(l_quantity as bigint)) filter (where l_linenumber <> 3) as quantity
+    from lineitem""")
+def _quarantine_counts(w):
+    """Line items dropped as CSV, a third line's quantity damaged: the run
+    lands the sound rows, quarantines the damaged and counts both."""
+    from pyspark.sql import functions as F
+    from chainyard.sources.ingest import ingest_files
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "quarantine")
+    quantity = F.col("l_quantity").cast("bigint").cast("string")
+    damaged = F.when(F.col("l_linenumber") == 3, "oops").otherwise(quantity)
+    fx.table(w.spark, w.sf_dir, "lineitem").select("l_orderkey", damaged.alias("quantity")) \
+        .write.option("header", "true").csv(f"{root}/drop/lines")
+    schema = w.spark.createDataFrame([], "l_orderkey bigint, quantity bigint").schema
+    run = ingest_files(w.spark, f"{root}/drop", f"{root}/landing", f"{root}/state",
+                       {"lines": schema}, dynamic=["lines"])
+    landed = w.spark.read.parquet(run.landed["lines"])
+    bad = w.spark.read.parquet(f"{root}/landing/_quarantine/lines/run={run.run_id}")
+    a = landed.agg(F.count(F.lit(1)).alias("landed"), F.sum("quantity").alias("quantity"))
+    b = bad.agg(F.count(F.lit(1)).alias("quarantined"))
+    key = F.lit("lineitem").alias("source")
+    return a.select(key, "*").join(b.select(key, "*"), "source").select(
+        "source", (F.col("landed") + F.col("quarantined")).alias("source_lines"), "quarantined",
+        "landed", "quantity")
+
+
+@register("ingest_isolation", """
+    select 'c' || cast(c_custkey as varchar) as id, cast(count(*) as bigint) as copies
+    from customer group by 1""")
+def _ingest_isolation(w):
+    """Three runs over three drops of customers, with a folder that always
+    fails and a file of unknown type that is retried: each row lands once."""
+    from pyspark.sql import functions as F
+    from chainyard.sources.ingest import ingest_files
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "isolation")
+    c = fx.table(w.spark, w.sf_dir, "customer").select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"), "c_nationkey")
+    schema = w.spark.createDataFrame([], "id string").schema
+    c.limit(1).select("id").coalesce(1).write.option("header", "true").csv(f"{root}/drop/broken")
+    c.limit(1).select("id").coalesce(1).write.orc(f"{root}/drop/good/odd")
+    landed = None
+    for k in range(3):
+        c.filter(F.col("c_nationkey") % 3 == k).select("id").write.option(
+            "header", "true").csv(f"{root}/drop/good/{k}")
+        run = ingest_files(w.spark, f"{root}/drop", f"{root}/landing", f"{root}/state",
+                           {"good": schema}, dynamic=["broken", "good"], raise_on_failure=False)
+        part = w.spark.read.parquet(run.landed["good"]).select("id")
+        landed = part if landed is None else landed.unionByName(part)
+        if len(run.failed) != 2:
+            raise AssertionError(run.failed)
+    return landed.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@register("validate_damaged_copy", O.with_models("""
+    select source_name, if(row_count_passed and schema_passed and checksum_passed
+                           and col_stats_passed, 'PASSED', 'FAILED') as status,
+           n as rows_source, if(row_count_passed, n, m) as rows_dest, row_count_passed,
+           schema_passed, checksum_passed, col_stats_passed
+    from (select count(*) as n, count(*) filter (where product_id not like '%7') as m
+          from raw_sales),
+         (values ('as it is', true, true, true, true), ('rows dropped', false, true, false, false),
+                 ('value changed', true, true, false, false),
+                 ('column retyped', true, false, false, true),
+                 ('column lost', true, false, false, false))
+             as known(source_name, row_count_passed, schema_passed, checksum_passed,
+                      col_stats_passed)"""))
+def _validate_damaged_copy(w):
+    """Sales against copies with known damage: which checks fail."""
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    from pyspark.sql import functions as F
+    from chainyard.operators.validate import compare_copies, described
+    from chainyard.testing import fixtures as fx
+    raw = fx.raw_sales(w.spark, w.sf_dir)
+    first = raw.agg(F.min("transaction_id")).first()[0]
+    copies = {
+        "as it is": raw, "rows dropped": raw.filter("product_id not like '%7'"),
+        "value changed": raw.withColumn("quantity_sold", F.when(
+            F.col("transaction_id") == first, F.col("quantity_sold") + 1)
+            .otherwise(F.col("quantity_sold")).cast(raw.schema["quantity_sold"].dataType)),
+        "column retyped": raw.withColumn("quantity_sold", F.col("quantity_sold").cast("decimal(20,0)")),
+        "column lost": raw.drop("discount_pct")}
+    both = [reduce(DataFrame.unionByName, [described(pick(df), n) for n, df in copies.items()])
+            for pick in (lambda _: raw, lambda df: df)]
+    return compare_copies(*both, INGEST_RUN, INGEST_TS).select(
+        "source_name", "status", "rows_source", "rows_dest", "row_count_passed", "schema_passed",
+        "checksum_passed", "col_stats_passed")
+
+
 # -- streaming ingestion (file source, available-now, keyed merge) --------
 @register("stream_ingest", O.with_models("""
     select shipment_id, warehouse_id, store_id, product_id, quantity_shipped, shipment_date,
@@ -573,7 +832,6 @@ def _ingest_run(w):
     lands only the dynamic files dropped after run 1's watermark, and skips
     the static folders (refreshed less than 30 days ago).  Every landing is
     read back and validated; the reports are the result."""
-    import time
     from pyspark.sql import functions as F
     from chainyard import schemas
     from chainyard.sources.ingest import ingest_files
@@ -600,10 +858,9 @@ def _ingest_run(w):
         res = ingest_files(spark, f"{root}/source", f"{root}/landing", f"{root}/state",
                            schemas.RAW, dynamic=list(_DYNAMIC), static=_STATIC,
                            bucket=DROP_BUCKET)
-        rows += [(run, r["source_name"], r["status"], r["checks"]["row_count"]["source"],
-                  r["checks"]["row_count"]["dest"]) for r in res.reports]
+        rows += [(run, r["source_name"], r["status"], r["rows_source"], r["rows_dest"])
+                 for r in res.reports]
         if run == 1:
-            time.sleep(2.1)  # the next drop is stamped after the watermark's second
             for name in _DYNAMIC:
                 raw = fx.RAW[name](spark, w.sf_dir)
                 drop(name, raw.filter(F.col("_ingestion_timestamp") > O.FIRST_RUN_UNTIL), "b")

@@ -62,8 +62,15 @@ class Warehouse:
         return dims.snapshot(entity, None, staged, run_ts)
 
     # dimensions --------------------------------------------------------
-    @_memo
     def dim_date(self) -> DataFrame:
+        """The calendar from the first to two years after the last fact date."""
+        bounds = dims.calendar_bounds({e: self.stg(e).select(c) for e, c in fx.FACT_DATES.items()})
+        return dims.date_spine(self.spark, **bounds)
+
+    @_memo
+    def calendar(self) -> DataFrame:
+        """The calendar of the fact models: fixed, so that building one fact
+        does not read the others."""
         return dims.date_spine(self.spark, **fx.CALENDAR)
 
     @_memo
@@ -85,16 +92,16 @@ class Warehouse:
     # facts -------------------------------------------------------------
     def fct_sales(self, sales: DataFrame | None = None, **kw) -> DataFrame:
         sales = self.stg("sales") if sales is None else sales
-        return facts.fct_sales(sales, self.dim_date(), self.dim_product(), **kw)
+        return facts.fct_sales(sales, self.calendar(), self.dim_product(), **kw)
 
     def fct_shipments(self, shipments: DataFrame | None = None, **kw) -> DataFrame:
         shipments = self.stg("shipments") if shipments is None else shipments
-        return facts.fct_shipments(shipments, self.dim_date(), self.dim_product(),
+        return facts.fct_shipments(shipments, self.calendar(), self.dim_product(),
                                    self.dim_warehouse(), fx.AS_OF, **kw)
 
     def fct_inventory(self, inventory: DataFrame | None = None) -> DataFrame:
         inventory = self.stg("inventory") if inventory is None else inventory
-        return facts.fct_inventory(inventory, self.dim_date())
+        return facts.fct_inventory(inventory, self.calendar())
 
 
 # Ingestion batch that ends the first incremental run of the scenario.
