@@ -103,6 +103,26 @@ def product_batch(spark, sf_dir, run: int, runs=SCENARIO_RUNS) -> DataFrame:
     return base
 
 
+def product_refresh(spark, sf_dir, run: int) -> DataFrame:
+    """Full refresh ``run`` (1 or 2) of the products, as files carry it: the
+    second re-brands PROMO products and lacks the discontinued ones."""
+    base = _products(spark, sf_dir, iso(PRODUCT_RUNS[run - 1]),
+                     DISCONTINUED_MIN_SIZE if run == 2 else None)
+    if run == 2:
+        promo = F.col("category") == REBRAND_TYPE
+        base = base.withColumn("brand", F.when(promo, F.concat("brand", F.lit("-R")))
+                               .otherwise(F.col("brand")))
+    return base
+
+
+# The second snapshot run of the other dimensions: which rows change what.
+SECOND_RUN = {
+    "suppliers": ("category", "RAW", "country"),
+    "stores": ("region", "ASIA", "city"),
+    "warehouses": ("state", "ASIA", "city"),
+}
+
+
 def raw_suppliers(spark, sf_dir, ingested_at: str = STATIC_INGESTED_AT) -> DataFrame:
     configure(spark)
     sup = table(spark, sf_dir, "supplier")

@@ -775,6 +775,93 @@ def _validate_damaged_copy(w):
         "checksum_passed", "col_stats_passed")
 
 
+# -- history with closed versions on every dimension -------------------------
+for _entity in ("suppliers", "stores", "warehouses"):
+    register(f"snap_{_entity}_v2", O.with_models(
+        O.two_run_snapshot_sql(_entity, *O.SNAPSHOT_COLS[_entity])))(
+        lambda w, _e=_entity: w.snap_two_runs(_e))
+
+
+@register("fct_shipments_moved_warehouses", O.with_models(O.shipments_with_versions(
+    "dim_product",
+    f"({O.two_run_snapshot_sql('warehouses', *O.SNAPSHOT_COLS['warehouses'])})")))
+def _fct_shipments_moved_warehouses(w):
+    """Shipments meet closed versions on both dimension sides."""
+    from chainyard.plans import dims, facts
+    from chainyard.testing import fixtures as fx
+    return facts.fct_shipments(w.stg("shipments"), w.calendar(), w.dim_product(),
+                               dims.dim_warehouse(w.snap_two_runs("warehouses")), fx.AS_OF)
+
+
+# -- the whole chain: drops -> landing -> RAW -> staging -> marts -> tests ------
+@register("chain_two_runs", O.chain_sql())
+def _chain_two_runs(w):
+    """Two scheduled runs from dropped files and daily tables to published
+    marts.  The second run's product refresh re-brands some products and lacks
+    others; later sales of those link to no version."""
+    import datetime as dt
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    from pyspark.sql import functions as F
+    from chainyard import schemas
+    from chainyard.plans.run import run_batch
+    from chainyard.sources.ingest import ingest_files, ingest_sales_tables, ingest_sheet
+    from chainyard.sources.landing import load_raw, read_raw
+    from chainyard.store import TableStore
+    from chainyard.testing import fixtures as fx
+    from chainyard.testing.scenario import first_run
+    root, spark = _scratch(w, "chain"), w.spark
+    store = TableStore(spark, f"{root}/warehouse")
+    late = F.col("_ingestion_timestamp") > O.FIRST_RUN_UNTIL
+    raw = {e: fx.RAW[e](spark, w.sf_dir) for e in fx.RAW}
+
+    def drop(entity, df, tag, fmt="csv"):
+        out = df.select(*schemas.RAW[entity].names).write.mode("overwrite")
+        path = f"{root}/drops/{entity}/{tag}"
+        out.json(path) if fmt == "json" else out.option("header", "true").csv(path)
+
+    for run, run_ts in enumerate(fx.PRODUCT_RUNS, start=1):
+        new = first_run if run == 1 else (lambda df: df.filter(late))
+        drop("products", fx.product_refresh(spark, w.sf_dir, run), "all")
+        for e in ("suppliers", "warehouses"):
+            drop(e, raw[e], "all")
+        drop("shipments", new(raw["shipments"]), f"run{run}", "json")
+        drop("inventory", new(raw["inventory"]), f"run{run}")
+        raw["stores"].select(*schemas.RAW["stores"].names).write.mode("overwrite").option(
+            "header", "true").csv(f"{root}/export/Sheet1")
+        now, run_id = dt.datetime.fromisoformat(fx.iso(run_ts)), f"run-{run}"
+        ingest_files(spark, f"{root}/drops", f"{root}/landing", f"{root}/state/files", schemas.RAW,
+                     dynamic=["shipments", "inventory"],
+                     static=["products", "suppliers", "warehouses"], now=now, run_id=run_id)
+        sales = new(raw["sales"]).select(*schemas.RAW["sales"].names)
+        tables = {f"sales_{2000 + run}_01_0{k + 1}": sales.filter(
+            F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == k) for k in range(2)}
+        ingest_sales_tables(spark, tables.__getitem__, list(tables), f"{root}/landing/sales",
+                            f"{root}/state/sales", run_id=run_id)
+        ingest_sheet(spark, f"{root}/export", "Sheet1", f"{root}/landing/stores",
+                     schemas.RAW["stores"], run_id=run_id)
+        batch = {}
+        for e in fx.RAW:
+            load_raw(spark, f"{root}/landing/{e}", f"{root}/raw/{e}", f"{root}/raw/_log_{e}")
+            batch[e] = read_raw(spark, f"{root}/raw/{e}", f"{root}/raw/_log_{e}")
+        run_batch(spark, store, batch, run_ts, fx.AS_OF, calendar=fx.CALENDAR)
+
+    def long(name, layer, key, version, amount):
+        return store.read(name, layer).select(
+            F.lit(name).alias("table_name"), F.col(key).alias("key"), version.alias("version"),
+            amount.cast("int").alias("amount"))
+
+    return reduce(DataFrame.unionByName, [
+        long("fct_sales", "MARTS", "transaction_id", F.col("product_surrogate_key"),
+             F.col("quantity_sold")),
+        long("fct_shipments", "MARTS", "shipment_id",
+             F.concat_ws("/", "product_surrogate_key", "warehouse_surrogate_key"),
+             F.col("delivery_days_variance")),
+        long("fct_inventory", "MARTS", "inventory_key", F.col("stock_level"),
+             F.col("quantity_available")),
+        long("snap_products", "SNAPSHOTS", "surrogate_key", F.col("brand"), F.col("is_current"))])
+
+
 # -- streaming ingestion (file source, available-now, keyed merge) --------
 @register("stream_ingest", O.with_models("""
     select shipment_id, warehouse_id, store_id, product_id, quantity_shipped, shipment_date,

@@ -61,6 +61,15 @@ class Warehouse:
         staged = staging.STAGING[entity](fx.RAW[entity](self.spark, self.sf_dir, fx.iso(run_ts)))
         return dims.snapshot(entity, None, staged, run_ts)
 
+    def snap_two_runs(self, entity: str) -> DataFrame:
+        """History of a dimension after a second run that changes some rows."""
+        by, value, column = fx.SECOND_RUN[entity]
+        first = self.stg(entity)
+        change = F.when(F.col(by) == value, F.concat(column, F.lit("-N"))).otherwise(F.col(column))
+        second = first.withColumn(column, change).withColumn(
+            "_ingestion_timestamp", F.lit(fx.iso(fx.PRODUCT_RUNS[1])))
+        return dims.snapshot_runs(entity, [first, second], fx.PRODUCT_RUNS)
+
     # dimensions --------------------------------------------------------
     def dim_date(self) -> DataFrame:
         """The calendar from the first to two years after the last fact date."""
