@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from chainyard.llm.common import fresh, stored
 
-# Titles, first names by script and gender, syllables of surnames.
+# Titles, first names by script and gender, syllables of surnames,
+# prefixes that name a key's issuer, alphabets.
 TITLES = ["Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Mme",
           "Señor", "Señora"]
 FIRST_NAMES = {
@@ -53,6 +54,7 @@ SYLLABLES = {
     "cyrillic": ["ба", "бел", "вор", "гор", "да", "дол", "жар", "за", "ка", "кол", "ла", "лес",
                  "ма", "мир", "но", "ор", "пет", "ра", "сан", "тар"],
 }
+KEY_PREFIX = "^(?:AKIA|gh[pousr]_|sk-|eyJ)"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC = "абвгдежзиклмнопрстуфхцчшщэюя"
 
@@ -243,6 +245,7 @@ def _surrogate(key: str, p: Column) -> Column:
     kind, m, attempt = p["kind"], p["m"], p["attempt"]
     first = F.create_map(*[F.lit(x) for pair in _renamed(key).items() for x in pair])
     keyword = F.regexp_extract(m, r"^\w+[-]?\w*[ \t]*[=:][ \t]*[\"']?", 0)
+    issuer = F.regexp_extract(m, KEY_PREFIX, 0)
 
     def drawn(digest: Column) -> Column:
         free = _each(m, lambda c, r: _same_class(c, digest, r))
@@ -257,6 +260,8 @@ def _surrogate(key: str, p: Column) -> Column:
                 .when(kind == "CARD", _card(m, digest))
                 .when(kind == "SECRET", F.concat(keyword, secret))
                 .when((kind == "IPV6") | ((kind == "KEY") & m.rlike("^[0-9a-f]+$")), hexes)
+                .when(kind == "KEY", F.concat(issuer, F.substr(free, F.length(issuer) + 1,
+                                                               F.length(m))))
                 .when(kind == "FIRST", F.element_at(first, m))
                 .when(kind == "SURNAME", _surname(m, digest, attempt))
                 .when(kind == "IBAN", F.concat(F.substring(m, 1, 2), F.substr(free, F.lit(3), F.length(m))))

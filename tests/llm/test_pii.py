@@ -141,4 +141,4 @@ def test_registered_query_against_a_plain_search(spark):
 def test_no_python_in_the_plan(spark, docs, capsys):
     P.replace_pii(docs, KEY).explain("formatted")
     plan = capsys.readouterr().out
-    assert not re.search("Python|Pandas|Arrow", plan)
+    assert not re.search("EvalPython|MapIn|Pandas|ArrowEval|FlatMap", plan)
