@@ -336,6 +336,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     found = classes(firsts, max_bits)
     kept = (firsts.join(found, "fp").groupBy("component").agg(F.min("one").alias("one"))
             .select(F.col("one.at").alias("at__")))
+    # the kept places grow with the input: never broadcast, so that the texts
+    # are shuffled once at any size
+    kept = stored(kept, "simhash-kept").hint("merge")
     numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row__"),
                            place.alias("at__"))
-    return numbered.join(stored(kept, "simhash-kept"), "at__", "left_semi").select("row__.*")
+    return numbered.join(kept, "at__", "left_semi").select("row__.*")
