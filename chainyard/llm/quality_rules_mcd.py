@@ -44,6 +44,8 @@ MIN_ROWS = 60
 #: Squared Mahalanobis distance beyond which a vector is rejected: a normal
 #: vector of five components lies beyond it about once in 10^8.
 CUTOFF = 45.0
+#: Groups up to which their estimates are broadcast (about 1 kB each).
+BROADCAST_GROUPS = 10_000
 #: Smallest standard deviation of each component, in its own unit.
 FLOORS = (0.1, 0.02, 0.7, 0.15, 0.3)
 P = len(FLOORS)
@@ -123,19 +125,19 @@ def _estimates(frame: pd.DataFrame, scale: np.ndarray, start: np.ndarray | None,
         "precision": [[m[i, j] for i, j in PAIRS] for m in inverse]})
 
 
-def _start_estimates(rows: DataFrame) -> DataFrame:
+def _start_estimates(rows: DataFrame, bounded) -> DataFrame:
     """Both starts of each group: 0 from median and MAD, 1 from the correlation
     of tanh scores."""
     x = [F.col(f"x{i}") for i in range(P)]
     median = rows.groupBy("g").agg(*[F.percentile_approx(c, 0.5).alias(f"m{i}")
                                      for i, c in enumerate(x)])
-    off = rows.join(median, "g")
+    off = rows.join(bounded(median), "g")
     mad = off.groupBy("g").agg(*[
         (F.percentile_approx(F.abs(x[i] - F.col(f"m{i}")), 0.5) * 1.4826 + F.lit(FLOORS[i]))
         .alias(f"d{i}") for i in range(P)])
     score = [F.tanh((x[i] - F.col(f"m{i}")) / F.col(f"d{i}")) for i in range(P)]
     first = [F.first(f"{k}{i}").alias(f"{k}{i}") for k in "md" for i in range(P)]
-    moments = off.join(mad, "g").groupBy("g").agg(*_moments(score), *first)
+    moments = off.join(bounded(mad), "g").groupBy("g").agg(*_moments(score), *first)
 
     def starts(frames):
         for f in frames:
@@ -153,12 +155,12 @@ def _start_estimates(rows: DataFrame) -> DataFrame:
     return moments.mapInPandas(starts, ESTIMATES)
 
 
-def _concentrated(rows: DataFrame, estimates: DataFrame, factor: float) -> DataFrame:
+def _concentrated(rows: DataFrame, estimates: DataFrame, factor: float, bounded) -> DataFrame:
     """One concentration step for all groups and starts."""
-    far = (rows.join(estimates, "g").withColumn("far", _distance("mean", "precision"))
+    far = (rows.join(bounded(estimates), "g").withColumn("far", _distance("mean", "precision"))
            .select("g", "start", "far", *[f"x{i}" for i in range(P)]))
     within = far.groupBy("g", "start").agg(F.percentile_approx("far", COVERAGE).alias("reach"))
-    inner = far.join(within, ["g", "start"]).filter("far <= reach")
+    inner = far.join(bounded(within), ["g", "start"]).filter("far <= reach")
     moments = inner.groupBy("g", "start").agg(*_moments([F.col(f"x{i}") for i in range(P)]))
 
     def step(frames):
@@ -184,14 +186,18 @@ def fit(passing: DataFrame, label: str = "mcd") -> DataFrame:
         F.col("of_parent") >= MIN_ROWS, F.col("parent")).otherwise(F.lit("all"))
     takes = stored(sizes.join(parents, "parent").select("own", used.alias("g")),
                    f"{label}-takes")
+    # estimates of so few groups are broadcast, so that no hot group is joined
+    # or counted in one task; those of more meet the rows by a shuffle
+    few = takes.count() <= BROADCAST_GROUPS
+    bounded = F.broadcast if few else (lambda df: df)
     levels = F.explode(F.array("own", "parent", F.lit("all")))
     x = [f"x{i}" for i in range(P)]
     rows = stored(passing.select(levels.alias("g"), *x)
                   .join(takes.select("g").distinct(), "g", "left_semi"), f"{label}-rows")
     factor = _consistency(COVERAGE)
-    estimates = stored(_start_estimates(rows), f"{label}-start")
+    estimates = stored(_start_estimates(rows, bounded), f"{label}-start")
     for _ in range(STEPS):
-        estimates = stored(_concentrated(rows, estimates, factor), f"{label}-step")
+        estimates = stored(_concentrated(rows, estimates, factor, bounded), f"{label}-step")
     best = estimates.groupBy("g").agg(
         F.min_by(F.struct("mean", "precision"), F.struct("det", "start")).alias("e"))
     return stored(takes.join(best, "g").select("own", "e.mean", "e.precision"), f"{label}-fit")
