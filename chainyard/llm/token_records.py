@@ -42,7 +42,8 @@ HEAD = struct.Struct("<Bq")
 READ_BYTES = 8 << 20
 
 MANIFEST = "shard long, records string, offsets string, n_records long, n_ids long"
-READ_BACK = "shard long, record long, {key} long, n_tokens long, ids_crc32 long, ids binary"
+READ_BACK = ("shard long, record long, {key} long, start long, n_tokens long, ids_crc32 long, "
+             "ids binary")
 
 
 def _filesystem(path: str):
@@ -133,7 +134,12 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 def read_token_records(spark: SparkSession, path: str, key: str = "doc_id",
                        with_ids: bool = True) -> DataFrame:
     """Read all records back and verify them: shard, record (its place there),
-    key, n_tokens, ids_crc32 and the ids as little-endian bytes (or NULL)."""
+    key, start (the ids of all records before it), n_tokens, ids_crc32 and the
+    ids as little-endian bytes (or NULL).
+
+    Files follow one another in key order, so a file's start is a running sum
+    over the manifest, which has a row for each file.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, folder = _filesystem(path)
@@ -142,7 +148,7 @@ def read_token_records(spark: SparkSession, path: str, key: str = "doc_id",
                 with files.open_input_stream(f"{folder}/{row['offsets']}") as f:
                     offsets = np.frombuffer(f.read(), "<u8").astype(np.int64)
                 with files.open_input_file(f"{folder}/{row['records']}") as f:
-                    first = 0
+                    first, start = 0, row["start"]
                     while first < len(offsets) - 1:
                         after = np.searchsorted(offsets, offsets[first] + READ_BYTES, "right") - 1
                         after = max(int(after), first + 1)
@@ -150,31 +156,20 @@ def read_token_records(spark: SparkSession, path: str, key: str = "doc_id",
                         f.seek(int(own[0]))
                         data = f.read(int(own[-1] - own[0]))
                         got = [parse(p) for p in unframe(data, own - own[0])]
+                        sizes = np.array([len(x) for _, x in got], np.int64)
+                        ends = start + np.cumsum(sizes)
                         yield pa.RecordBatch.from_pydict({
                             "shard": pa.array([row["shard"]] * len(got), pa.int64()),
                             "record": pa.array(range(first, after), pa.int64()),
                             key: pa.array([k for k, _ in got], pa.int64()),
-                            "n_tokens": pa.array([len(x) for _, x in got], pa.int64()),
+                            "start": pa.array(ends - sizes), "n_tokens": pa.array(sizes),
                             "ids_crc32": pa.array([ids_crc32(x) for _, x in got], pa.int64()),
                             "ids": pa.array([x.tobytes() if with_ids else None for _, x in got],
                                             pa.binary())})
-                        first = after
+                        first, start = after, int(ends[-1])
 
+    before = F.sum("n_ids").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1))
+    shards = manifest(spark, path).withColumn("start", F.coalesce(before, F.lit(0)))
     # a shard's row is tiny, its file is not: a partition for each of the files
-    shards = manifest(spark, path)
     return (shards.repartitionByRange(max(1, shards.count()), "shard")
             .mapInArrow(read, READ_BACK.format(key=key)))
-
-
-def with_starts(records: DataFrame, shards: DataFrame) -> DataFrame:
-    """``start``: the ids of all records before each one.
-
-    Files follow one another in key order, so a file's start is a running sum
-    over the manifest (a row for each file) and a record's a running sum
-    within its file.
-    """
-    before = F.sum("n_ids").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1))
-    base = shards.select("shard", F.coalesce(before, F.lit(0)).alias("base"))
-    own = W.partitionBy("shard").orderBy("record").rowsBetween(W.unboundedPreceding, -1)
-    start = F.col("base") + F.coalesce(F.sum("n_tokens").over(own), F.lit(0))
-    return records.join(base, "shard").withColumn("start", start).drop("base")
