@@ -61,30 +61,37 @@ CYRILLIC = "абвгдежзиклмнопрстуфхцчшщэюя"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _WORD = r"\p{Lu}[\p{L}'’-]++"
 _GIVEN = "|".join(sorted(sum(FIRST_NAMES.values(), []), key=lambda n: (-len(n), n)))
-#: Entities in the order of preference where several match at one place.
+#: Entities in the order of preference where several match at one place.  A
+#: candidate starts where no character of its own kind precedes it, and runs
+#: are possessive, so that matching is linear in the text.
 KINDS = [
-    ("EMAIL", r"(?<![._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}+@(?:[\p{L}\p{N}-]{1,63}+\.)++"
+    ("EMAIL", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}+\.)++"
               r"\p{L}{2,24}+"),
-    ("SECRET", r"(?<!_)(?=[tspaTSPA])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)"
+    ("SECRET", r"(?=[tspaTSPA])(?<![\p{L}\p{N}_])"
+               r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)"
                r"[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_./+=~-]{8,}+"),
-    ("KEY", r"(?<!_)(?:AKIA[0-9A-Z]{16}+|gh[pousr]_[A-Za-z0-9]{36,}+"
+    ("KEY", r"(?=[0-9a-gsA])(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}+|gh[pousr]_[A-Za-z0-9]{36,}+"
             r"|sk-[A-Za-z0-9_-]{20,}+|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"
             r"|(?=[a-f]{0,63}[0-9])[0-9a-f]{32,64}+)(?![A-Za-z0-9_])"),
-    ("IBAN", r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"),
-    ("IP", r"(?<!\.)(?:%s\.){3}%s(?!\d|\.\d)" % (_OCTET, _OCTET)),
-    ("IPV6", r"(?<![:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"),
-    ("SSN", r"(?<!-)\d{3}-\d{2}-\d{4}(?![\p{N}-])"),
-    ("CARD", r"(?<!\.)(?:\d{13,19}+|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5})"
+    ("IBAN", r"(?=[A-Z]{2}\d)(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?"
+             r"(?![\p{L}\p{N}])"),
+    ("IP", r"(?=\d)(?<![\p{L}\p{N}.])(?:%s\.){3}%s(?!\d|\.\d)" % (_OCTET, _OCTET)),
+    ("IPV6", r"(?=[0-9A-Fa-f]{1,4}+:)(?<![\p{L}\p{N}:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"),
+    ("SSN", r"(?=\d)(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"),
+    ("CARD", r"(?=\d)(?<![\p{N}.])(?:\d{13,19}+|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5})"
              r"(?!\d)"),
-    ("PHONE", r"(?<!\+)\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
-              r"|(?<!\+)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
-              r"|(?<![.+-])\d{3}([.-])\d{3}\2\d{4}(?![\p{N}.-])"),
-    ("NAME", r"(?=\p{Lu})(?:(?:%s)\.? %s(?: %s)?|(?:%s) %s)"
+    ("PHONE", r"(?=\+)(?<![\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+              r"|(?=\()(?<![\p{N}+])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
+              r"|(?=\d)(?<![\p{N}.+-])\d{3}([.-])\d{3}\2\d{4}(?![\p{N}.-])"),
+    ("NAME", r"(?=\p{Lu})(?<![\p{L}\p{N}])(?:(?:%s)\.? %s(?: %s)?|(?:%s) %s)"
              % ("|".join(sorted(TITLES, key=lambda t: -len(t))), _WORD, _WORD, _GIVEN, _WORD)),
 ]
-#: No entity starts within a word, so most places of a text fail at once; runs
-#: are possessive, so that matching is linear in the text.
-ENTITY = r"(?<![\p{L}\p{N}])(?:%s)" % "|".join(f"(?:{p})" for _, p in KINDS)
+#: Where any kind can start, by what its own look-behind and first character
+#: allow: outside words; with a digit, + or ( straight after a letter; a key also
+#: after a letter or digit that is not ASCII.  Other places fail at once.
+STARTS = (r"(?>(?=[0-9+(])(?<!\p{N})|(?<![A-Za-z0-9])(?:(?<![\p{L}\p{N}])(?=[\p{L}\p{N}._%+-])"
+          r"|(?<=[^\x00-\x7F])(?=[0-9a-gsA])))")
+ENTITY = STARTS + "(?:%s)" % "|".join(f"(?:{p})" for _, p in KINDS)
 #: Draws of one entity before the domain of its format counts as exhausted.
 MAX_ATTEMPTS = 64
 
@@ -140,7 +147,8 @@ def _canonical(p: Column) -> Column:
             .when(kind.isin("CARD", "SSN"), digits)
             .when(kind == "IBAN", F.regexp_replace(m, " ", ""))
             .when(kind == "SECRET", F.regexp_replace(m, r"^\w+[-]?\w*[ \t]*[=:][ \t]*[\"']?", ""))
-            .when(kind.isin("EMAIL", "SURNAME", "IPV6"), F.lower(m)).otherwise(m))
+            .when(kind == "EMAIL", F.lower(F.regexp_replace(m, "^[._%+-]+(?=[^@])", "")))
+            .when(kind.isin("SURNAME", "IPV6"), F.lower(m)).otherwise(m))
 
 
 def _pick(alphabet: str, digest: Column, at: Column) -> Column:
