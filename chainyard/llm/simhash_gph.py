@@ -328,9 +328,15 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
              max_bits: int = 4) -> DataFrame:
     """One row of each class, that with the smallest key (of equal or missing
     keys, the first by place in the input), with all columns of ``docs``."""
-    place = F.monotonically_increasing_id()
-    rows = stored(docs.select(F.col(key).alias("k"), place.alias("at"),
-                              fingerprints(text_or_empty(text), size).alias("fp")), "simhash-rows")
+    # a place depends on how files are split, which may change from job to job
+    # with the number of cores: it is written down once, beside its row
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = stored(docs.select(row.alias("row__"),
+                                  F.monotonically_increasing_id().alias("at__")), "simhash-numbered")
+    rows = stored(numbered.select(
+        F.col("row__")[key].alias("k"), F.col("at__").alias("at"),
+        fingerprints(F.coalesce(F.col("row__")[text].cast("string"), F.lit("")), size).alias("fp")),
+        "simhash-rows")
     order = F.struct(F.col("k").isNull().alias("missing"), "k", "at")
     firsts = stored(rows.groupBy("fp").agg(F.min(order).alias("one")), "simhash-distinct")
     found = classes(firsts, max_bits)
@@ -339,6 +345,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     # the kept places grow with the input: never broadcast, so that the texts
     # are shuffled once at any size
     kept = stored(kept, "simhash-kept").hint("merge")
-    numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row__"),
-                           place.alias("at__"))
     return numbered.join(kept, "at__", "left_semi").select("row__.*")

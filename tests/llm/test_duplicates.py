@@ -122,6 +122,23 @@ def test_near_duplicates_of_odd_rows(spark, docs, no_docs, clashing):
     assert keep_one(no_docs).count() == 0
 
 
+def test_kept_rows_do_not_depend_on_file_splits(spark):
+    """As if executors joined or were lost between the jobs of ``keep_one``."""
+    texts = [f"text {k} " + " ".join(f"w{k * 31 + j}" for j in range(30)) for k in range(150)]
+    rows = [(i, texts[i % 150]) for i in range(600)]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), "docs")
+    name = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(name)
+    try:
+        one = keep_one(docs)
+        before = docs.rdd.getNumPartitions()
+        spark.conf.set(name, "2000")
+        assert spark.read.parquet(*docs.inputFiles()).rdd.getNumPartitions() != before
+        assert sorted(r.doc_id for r in one.collect()) == list(range(150))
+    finally:
+        spark.conf.set(name, old)
+
+
 def test_registered_near_duplicates(spark):
     import duckdb
     found = duckdb.sql(f"select doc_id, text from '{SMALL}/documents.parquet' order by 1").fetchall()
