@@ -1,16 +1,23 @@
 """Operator 5: packing documents into training sequences with their lexical
 neighbours.
 
-Method: documents are dealt evenly into shards of bounded text size.  A
-shard holds a BM25 inverted index over the token ids of its whole documents.
+Method: documents that share terms are placed together, in shards of bounded
+text size.  Terms are token ids, weighed by document frequencies of the whole
+input.  A projection of the weighted terms meets centres learned from a sample;
+the centres lie on a line on which neighbours are near, and shards are equal
+stretches of that line by the exact text size at each centre.  A centre with
+more text than a shard (a hot topic, a crowd of copies) is dealt over several
+shards by row, so no shard grows with it.
+
+A shard holds a BM25 inverted index over the token ids of its whole documents.
 What a document has beyond full windows is its remainder; the longest unused
 remainder seeds a window, the index ranks the unused documents for the
 seed's terms, and their remainders fill the window in that order.  The one
 that overflows is cut, and the rest of it stays unused.  So only the last
-window of a shard has padding.
+window of a shard has padding.  Neighbours that lie in different shards are
+not packed together.
 
-Shards are dealt by each row's number in the input, which no hot key or
-group of copies can make uneven.  Defined results: a NULL text is empty (its
+Defined results: a NULL text is empty (its
 end id alone is packed), repeated rows are packed each, an empty table gives
 an empty result, other columns are ignored.  Texts are never cut short: each
 id lies in exactly one piece.
@@ -18,19 +25,25 @@ id lies in exactly one piece.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainyard.llm.chunk_tokens import encoder
-from chainyard.llm.common import text_or_empty
+from chainyard.llm.common import stored, text_or_empty
 from chainyard.llm.crc32c import ids_crc32
 
 #: Characters of text in a shard, on average.
 SHARD_CHARS = 2_000_000
 #: BM25's saturation and length normalisation.
 K1, B = 1.2, 0.75
+#: Dimensions of the projection, documents of the sample, most ids of each that
+#: are learned from, and most centres.
+WIDTH, SAMPLE, SAMPLE_IDS, CENTRES = 128, 4096, 4096, 1024
+ROUNDS = 8
 
 PIECES = ("{key} {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids array<long>")
@@ -39,7 +52,9 @@ PIECES = ("{key} {kind}, start long, length long, ids_crc32 long, doc_tokens lon
 class Bm25Index:
     """Inverted index of a shard: postings by term, with their BM25 weights."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], idf: np.ndarray | None = None,
+                 mean: float | None = None):
+        """``idf`` by term and ``mean`` length of the whole input, else of ``docs``."""
         n = len(docs)
         parts = [np.unique(ids, return_counts=True) for ids in docs]
         self.terms = [t for t, _ in parts]
@@ -51,8 +66,8 @@ class Bm25Index:
         self.doc, term, tf = doc[order], term[order], tf[order]
         self.start = np.searchsorted(term, np.arange(int(term[-1]) + 2))
         df = np.diff(self.start)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * length / length.mean())
+        idf = np.log1p((n - df + 0.5) / (df + 0.5)) if idf is None else idf
+        norm = K1 * (1 - B + B * length / (mean or length.mean()))
         self.weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
 
     def scores(self, seed: int) -> np.ndarray:
@@ -64,7 +79,62 @@ class Bm25Index:
         return np.bincount(self.doc[at], self.weight[at], len(self.terms))
 
 
-def fill_windows(docs: list[np.ndarray], window: int) -> list[list[tuple[int, int, int]]]:
+class Places:
+    """Documents' places on the line of centres, by their weighted terms."""
+
+    def __init__(self, idf: np.ndarray, sample: list[np.ndarray], most: int):
+        self.idf = idf.astype(np.float32)
+        self._axes = None
+        x = self.vectors(sample)
+        rng = np.random.default_rng(1)
+        c = x[rng.permutation(len(x))[:max(1, min(most, len(x) // 4))]]
+        for _ in range(ROUNDS):
+            near = np.argmax(x @ c.T, axis=1)
+            total = np.zeros_like(c)
+            np.add.at(total, near, x)
+            norm = np.linalg.norm(total, axis=1, keepdims=True)
+            c = np.where(norm > 0, total / np.maximum(norm, 1e-9), c)
+        self.centres = c[_line(c, np.arange(len(c)))]
+
+    def __getstate__(self):
+        return self.__dict__ | {"_axes": None}
+
+    def vectors(self, docs: list[np.ndarray]) -> np.ndarray:
+        if self._axes is None:  # drawn again in each worker: the same numbers
+            rng = np.random.default_rng(0)
+            self._axes = rng.standard_normal((len(self.idf), WIDTH), np.float32)
+        out = np.zeros((len(docs), WIDTH), np.float32)
+        for k, ids in enumerate(docs):
+            t, tf = np.unique(ids, return_counts=True)
+            w = self.idf[t] ** 2 * (tf * (K1 + 1) / (tf + K1)).astype(np.float32)
+            out[k] = w @ self._axes[t]
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+    def cells(self, docs: list[np.ndarray]) -> np.ndarray:
+        return np.argmax(self.vectors(docs) @ self.centres.T, axis=1)
+
+
+def _line(c: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The places ``at`` in an order that halves them along their main axis."""
+    if len(at) < 3:
+        return at
+    x = c[at] - c[at].mean(axis=0)
+    main = np.linalg.eigh(x.T @ x)[1][:, -1]
+    order = at[np.argsort(x @ main, kind="stable")]
+    half = len(at) // 2
+    return np.concatenate([_line(c, order[:half]), _line(c, order[half:])])
+
+
+def _uniform(rows: np.ndarray) -> np.ndarray:
+    """A number in [0, 1) from each row's number (splitmix64)."""
+    z = (rows.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
+
+
+def fill_windows(docs: list[np.ndarray], window: int, idf: np.ndarray | None = None,
+                 mean: float | None = None) -> list[list[tuple[int, int, int]]]:
     """Sequences of (document, first id, ids) pieces that hold every id once."""
     out = []
     first = np.array([len(ids) // window * window for ids in docs])
@@ -72,7 +142,7 @@ def fill_windows(docs: list[np.ndarray], window: int) -> list[list[tuple[int, in
         out += [[(d, at, window)] for at in range(0, n, window)]
     left = np.array([len(ids) for ids in docs]) - first
     seeds = np.argsort(-left, kind="stable")
-    index = Bm25Index(docs)
+    index = Bm25Index(docs, idf, mean)
     for seed in seeds.tolist():
         while left[seed]:
             room, pieces = window, []
@@ -98,17 +168,93 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2
     """A row for each piece: key, start (the document's ids before it), length,
     ids_crc32, doc_tokens, sequence_id, offset within the sequence, and ids."""
     kind = docs.schema[key].dataType.simpleString()
-    body = text_or_empty(text)
-    chars = docs.agg(F.sum(F.length(body) + 1)).first()[0] or 0
+    context = docs.sparkSession.sparkContext
+    dtype = encoder(tokenizer).dtype.str
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("t").to_pylist()
+            found = encoder(tokenizer).encode(texts)
+            ids = [np.append(x, x.dtype.type(end_id)).tobytes() for x in found]
+            yield pa.RecordBatch.from_pydict({
+                "k": batch.column("k"), "row": batch.column("row"),
+                "chars": pa.array([len(t) + 1 for t in texts], pa.int64()),
+                "ids": pa.array(ids, pa.binary())})
+
+    def arrays(column) -> list[np.ndarray]:
+        return [np.frombuffer(x, dtype) for x in column.to_pylist()]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, sums = np.zeros(1 << 16, np.int64), (0, 0, 0)
+        for batch in batches:
+            docs = arrays(batch.column("ids"))
+            if not docs:
+                continue
+            terms = np.concatenate([np.unique(x) for x in docs])
+            if int(terms.max()) >= len(df):
+                df = np.append(df, np.zeros(int(terms.max()) + 1 - len(df), np.int64))
+            df += np.bincount(terms, minlength=len(df))
+            chars = sum(batch.column("chars").to_pylist())
+            own = (len(docs), sum(map(len, docs)), chars)
+            sums = tuple(a + b for a, b in zip(sums, own))
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_pydict({
+            "term": np.append(at, [-1, -2, -3]).astype(np.int64),
+            "n": np.append(df[at], sums).astype(np.int64)})
+
+    numbered = docs.select(F.col(key).alias("k"), text_or_empty(text).alias("t"),
+                           F.monotonically_increasing_id().alias("row"))
+    coded = stored(numbered.mapInArrow(encode, f"k {kind}, row long, chars long, ids binary"),
+                   "packing-ids")
+    # as many rows as the vocabulary has terms
+    counts = {r["term"]: r["n"] for r in coded.select("chars", "ids").mapInArrow(
+        count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    n, total, chars = (counts.pop(t, 0) or 0 for t in (-1, -2, -3))
+    df = np.zeros(max(counts, default=0) + 1)
+    df[list(counts)] = list(counts.values())
+    idf, mean = np.log1p((n - df + 0.5) / (df + 0.5)), total / max(n, 1)
     shards = max(1, -(-chars // shard_chars))
+    first = np.zeros(2)
+    places = None
+    if shards > 1:
+        width = np.dtype(dtype).itemsize
+        sample = (coded.orderBy(F.xxhash64("row"), "row").limit(SAMPLE)
+                  .select(F.substring("ids", 1, SAMPLE_IDS * width).alias("ids")).toArrow())
+        places = context.broadcast(Places(idf, arrays(sample.column("ids")),
+                                          min(CENTRES, 4 * shards)))
+
+        def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({
+                    "cell": places.value.cells(arrays(batch.column("ids"))).astype(np.int64),
+                    "chars": batch.column("chars")})
+
+        # as many rows as there are centres
+        found = coded.select("chars", "ids").mapInArrow(sizes, "cell long, chars long")
+        size = np.zeros(len(places.value.centres))
+        for r in found.groupBy("cell").agg(F.sum("chars").alias("chars")).collect():
+            size[r["cell"]] = r["chars"]
+        first = np.append(0, np.cumsum(size)) * (shards / max(chars, 1))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.zeros(batch.num_rows, np.int64)
+            if places is not None:
+                cell = places.value.cells(arrays(batch.column("ids")))
+                u = _uniform(batch.column("row").to_numpy())
+                at = (first[cell] + u * (first[cell + 1] - first[cell])).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "k": batch.column("k"), "row": batch.column("row"), "ids": batch.column("ids"),
+                "shard": np.minimum(at, shards - 1)})
+
+    weights = context.broadcast(idf)
 
     def pack(group: pa.Table) -> pa.Table:
+        group = group.sort_by("row")
         shard = group.column("shard")[0].as_py()
-        keys = group.column("k").to_pylist()
-        found = encoder(tokenizer).encode(group.column("t").to_pylist())
-        ids = [np.append(x, x.dtype.type(end_id)) for x in found]
+        keys, ids = group.column("k").to_pylist(), arrays(group.column("ids"))
         rows = []
-        for k, pieces in enumerate(fill_windows(ids, window)):
+        for k, pieces in enumerate(fill_windows(ids, window, weights.value, mean)):
             offset = 0
             for d, at, n in pieces:
                 own = ids[d][at:at + n]
@@ -119,7 +265,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2
         kinds = [group.schema.field("k").type] + [pa.int64()] * 6 + [pa.list_(pa.int64())]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=list(names))
 
-    dealt = docs.select(
-        F.col(key).alias("k"), body.alias("t"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard"))
+    dealt = coded.select("k", "row", "ids").mapInArrow(
+        deal, f"k {kind}, row long, ids binary, shard long")
     return dealt.groupBy("shard").applyInArrow(pack, PIECES.format(key=key, kind=kind))

@@ -189,6 +189,22 @@ def test_packing_of_odd_rows(spark, docs, no_docs, clashing):
     assert pack_documents(no_docs, WORD, end_id=1).count() == 0
 
 
+def test_documents_that_share_terms_are_packed_across_the_whole_input(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(2400)]
+    common = [f"word{k}" for k in range(50)]
+    texts = [" ".join(rng.choices(words[60 * (i % 40):60 * (i % 40) + 60], k=30)
+                      + rng.choices(common, k=30)) for i in range(1200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    chars = sum(map(len, texts))
+    pieces = pack_documents(df, WORD, end_id=1, window=256, shard_chars=chars // 10).collect()
+    shard = {p.doc_id: p.sequence_id >> 32 for p in pieces}
+    sizes = collections.Counter(shard.values())
+    assert len(shard) == 1200 and max(sizes.values()) < 2 * 120
+    together = [shard[a] == shard[b] for a in range(1200) for b in range(a % 40, a, 40)]
+    assert sum(together) > 0.6 * len(together)  # a tenth, were they dealt by chance
+
+
 def test_bm25_scores_and_neighbours():
     rng = np.random.default_rng(3)
     docs = [rng.integers(0, 40, rng.integers(1, 60)).astype(np.uint16) for _ in range(30)]
