@@ -110,3 +110,21 @@ def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "op6")
     write_warc(derivatives(responses(pages, date="2024-01-01T00:00:00Z")), path)
     return read_warc(spark, path).withColumnRenamed("key", "page_id")
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from chainyard.llm.whitening import fit_whitening, identity_error, whiten
+    rows = table(prepared(spark), sf_dir, "embeddings")
+    model = fit_whitening(rows, components=32, scale=64, shift=1_000_000)
+    whitened = whiten(rows, model)
+    error = identity_error(whitened, model)
+    explained = F.array(*[F.lit(float(x)) for x in model.explained]).cast("array<double>")
+    number = F.posexplode("whitened").alias("at", "whitened")
+    return (whitened.select("vec_id", F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+                            number)
+            .select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"),
+                    "deviation", "whitened", explained[F.col("at")].alias("explained"),
+                    F.lit(error).alias("identity_error")))
