@@ -128,3 +128,9 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"),
                     "deviation", "whitened", explained[F.col("at")].alias("explained"),
                     F.lit(error).alias("identity_error")))
+
+
+@query
+def op13_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chainyard.llm.embedding_dups import near_duplicates
+    return near_duplicates(table(prepared(spark), sf_dir, "embeddings"), cosine=0.95)
