@@ -134,3 +134,13 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chainyard.llm.embedding_dups import near_duplicates
     return near_duplicates(table(prepared(spark), sf_dir, "embeddings"), cosine=0.95)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from chainyard.llm.hard_negatives import hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(prepared(spark), sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0, scale=256)
