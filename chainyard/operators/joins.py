@@ -10,7 +10,9 @@ shuffled already by the time the small side turns out to be small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Default bound: narrow version rows (~100 bytes) -> at most ~50 MB shipped
@@ -37,8 +39,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS)
     return checked_broadcast(df, max_rows)[0]
 
 
-def spread_null(key: str, *others: str):
-    """``key`` for joining: a NULL, which matches nothing, becomes a value of
-    the row's own, so that the rows without a key do not meet in one task."""
-    own = F.concat_ws("\u0001", F.lit("\u0000"), *[F.col(c).cast("string") for c in others])
-    return F.coalesce(F.col(key).cast("string"), own)
+def spread(keys, *others: str) -> Column:
+    """0, or a number of the row's own where a key is NULL.
+
+    Such a row matches nothing, so it may be joined anywhere: with this as a
+    further join column (``unspread`` on the other side) the rows without a key
+    do not meet in one task, and the keys are compared as they are."""
+    lacking = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return F.when(lacking, F.xxhash64(*others)).otherwise(F.lit(0).cast("bigint"))
+
+
+def unspread(key: str) -> Column:
+    """0, computed from a column so that it stays a join column."""
+    return F.pmod(F.xxhash64(key), F.lit(1)).cast("bigint")

@@ -18,11 +18,19 @@ Each joined row emits up to two versions through one ``explode``, so the
 join runs once.  Closed history rows are passed through without a shuffle.
 Keys are unique on both sides of the join (the source is reduced to its
 latest row per key first), so there is no skew in it.
+
+``scd2_history`` gives the state after any number of runs in one pass, for
+backfills and missed runs: all extracts are one stream of (key, run), and the
+versions of a key are its islands -- runs without a gap and without a change of
+a check column.  One shuffle by key serves every step.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,3 +130,76 @@ def as_of(snapshot: DataFrame, instant: str) -> DataFrame:
 
 def current_rows(snapshot: DataFrame) -> DataFrame:
     return snapshot.filter(F.col("is_current"))
+
+
+def scd2_history(extracts: list[tuple[DataFrame, str]], key: str, check_cols,
+                 current: DataFrame | None = None, hard_deletes: bool = True,
+                 initial_valid_from: str | None = None,
+                 dedupe_order=("_ingestion_timestamp",)) -> DataFrame:
+    """The state that successive ``scd2_snapshot`` runs would reach over
+    ``extracts`` (source, run_ts) in order of time, from ``current`` or from nothing.
+
+    The open versions of ``current`` take part as a run before the first, and
+    keep their ids and instants; its closed ones are passed through."""
+    if not extracts:
+        raise ValueError("no extracts")
+    runs = [ts for _, ts in extracts]
+    if runs != sorted(set(runs)):
+        raise ValueError("extracts must be in order of time, one for each instant")
+    schema = extracts[-1][0].schema
+    data_cols, types = schema.names, {f.name: f.dataType for f in schema.fields}
+    kept = [c for c in SCD_COLS if c not in ("valid_to", "is_current")]
+    at = F.array(*[_ts(r) for r in runs])
+
+    def stream(df: DataFrame, run: int, version) -> DataFrame:
+        row = F.struct(*[_hist_col(c, set(df.columns), types) for c in data_cols])
+        return df.filter(F.col(key).isNotNull()).select(
+            F.col(key).cast(types[key]).alias("__k"), F.lit(run).alias("__run"), row.alias("__row"),
+            version.alias("__own"))
+
+    no_version = F.lit(None).cast(
+        "struct<surrogate_key string, valid_from timestamp_ntz, updated_at timestamp_ntz>")
+    parts = [stream(df, run, no_version) for run, (df, _) in enumerate(extracts)]
+    if current is not None:
+        open_rows = current.filter(F.col("valid_to").isNull())
+        parts.append(stream(open_rows, -1, F.struct(*kept)))
+    rows = reduce(DataFrame.unionByName, parts).repartition("__k")
+
+    # the latest row of a key in each run; partitioned by key already
+    order = F.struct(*[F.col(f"__row.{c}").alias(c) for c in dedupe_order if c in data_cols],
+                     F.col("__row").alias("__all"))
+    latest = rows.groupBy("__k", "__run").agg(F.max_by(F.struct("__row", "__own"), order).alias("v"))
+    latest = latest.select("__k", "__run", "v.*")
+
+    by_run = W.partitionBy("__k").orderBy("__run")
+    check = F.struct(*[F.col(f"__row.{c}").alias(c) for c in check_cols])
+    changed = ~F.lag("__check").over(by_run).eqNullSafe(F.col("__check"))
+    last_run = F.lag("__run").over(by_run)
+    starts = last_run.isNull() | changed
+    if hard_deletes:
+        starts = starts | (last_run < F.col("__run") - 1)
+    islands = (latest.withColumn("__check", check)
+               .withColumn("__starts", starts.cast("int"))
+               .withColumn("__island", F.sum("__starts").over(by_run)))
+    versions = islands.groupBy("__k", "__island").agg(
+        F.min("__run").alias("__first"), F.max("__run").alias("__last"),
+        F.min_by(F.struct("__row", "__own"), "__run").alias("v"))
+    # a version ends with the run after its last one, or (without deletes) with the next version
+    ended = (F.col("__last") + 1 if hard_deletes else
+             F.lead("__first").over(W.partitionBy("__k").orderBy("__island")))
+    opened = F.get(at, F.col("__first"))
+    begin = opened
+    if current is None and initial_valid_from:
+        begin = F.when(F.col("__first") == 0, _ts(initial_valid_from)).otherwise(opened)
+    out = versions.withColumn("__ended", ended).select(
+        *[F.col(f"v.__row.{c}").alias(c) for c in data_cols],
+        F.coalesce("v.__own.surrogate_key", version_id(F.col("__k"), opened)).alias("surrogate_key"),
+        F.coalesce("v.__own.valid_from", begin).alias("valid_from"),
+        F.get(at, F.col("__ended")).alias("valid_to"),
+        F.coalesce("v.__own.updated_at", opened).alias("updated_at"))
+    if current is not None:
+        history = current.filter(F.col("valid_to").isNotNull())
+        out_cols = [*data_cols, "surrogate_key", "valid_from", "valid_to", "updated_at"]
+        out = out.unionByName(history.select(*[_hist_col(c, set(current.columns), types)
+                                               for c in out_cols]))
+    return out.withColumn("is_current", F.col("valid_to").isNull()).select(*data_cols, *SCD_COLS)

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainyard.functions.columns import date_id, day_of_week0
-from chainyard.operators.joins import checked_broadcast, spread_null
-from chainyard.operators.scd2 import scd2_snapshot
+from chainyard.operators.joins import checked_broadcast, spread, unspread
+from chainyard.operators.scd2 import scd2_history, scd2_snapshot
 from chainyard.schemas import CHECK_COLS, NATURAL_KEY
 
 # Calendar defaults (start date, horizon).
@@ -80,6 +80,13 @@ def snapshot_runs(entity: str, batches, run_instants, current: DataFrame | None
     return current
 
 
+def history(entity: str, batches, run_instants, current: DataFrame | None = None,
+            **kw) -> DataFrame:
+    """As ``snapshot_runs``, all runs in one pass with one shuffle."""
+    return scd2_history(list(zip(batches, run_instants)), NATURAL_KEY[entity][0],
+                        CHECK_COLS[entity], current, **kw)
+
+
 def dim_product(snap_products: DataFrame, snap_suppliers: DataFrame) -> DataFrame:
     """All product versions, with the *current* supplier's attributes."""
     suppliers = (snap_suppliers.filter(F.col("is_current"))
@@ -87,9 +94,13 @@ def dim_product(snap_products: DataFrame, snap_suppliers: DataFrame) -> DataFram
                          F.col("category").alias("supplier_category"),
                          F.col("country").alias("supplier_country")))
     suppliers, small = checked_broadcast(suppliers)
-    key = F.col("supplier_id") if small else spread_null("supplier_id", "surrogate_key")
     named = suppliers.withColumnRenamed("supplier_id", "of_supplier")
-    return snap_products.join(named, key == F.col("of_supplier"), "left").select(
+    match = F.col("supplier_id") == F.col("of_supplier")
+    if not small:
+        snap_products = snap_products.withColumn("__spread", spread(["supplier_id"], "surrogate_key"))
+        named = named.withColumn("__unspread", unspread("of_supplier"))
+        match = match & (F.col("__spread") == F.col("__unspread"))
+    return snap_products.join(named, match, "left").select(
         "surrogate_key", "valid_from", "valid_to", "is_current", "updated_at",
         "product_id", "product_name", "category", "brand", "unit_price", "supplier_id",
         "supplier_name", "supplier_category", "supplier_country")

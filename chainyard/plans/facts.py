@@ -22,14 +22,14 @@ def _dates(dim_date: DataFrame) -> DataFrame:
     return F.broadcast(dim_date.select("date_id", "full_date"))
 
 
-def fct_sales(sales: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
-              skew_buckets: int | None = None) -> DataFrame:
+def fct_sales(sales: DataFrame, dim_date: DataFrame, dim_product: DataFrame, join=pit_join,
+              **options) -> DataFrame:
+    """``join``: ``pit_join`` or ``asof_join``, with its ``options``."""
     products = dim_product.select(
         F.col("surrogate_key").alias("product_surrogate_key"), "product_id", "supplier_id",
         "valid_from", "valid_to")
     dated = sales.join(_dates(dim_date), sales.transaction_date == F.col("full_date"), "left")
-    j = pit_join(dated, products, "product_id", "transaction_timestamp",
-                 skew_buckets=skew_buckets)
+    j = join(dated, products, "product_id", "transaction_timestamp", **options)
     return j.select(
         "product_surrogate_key", "transaction_id", "store_id", "product_id", "supplier_id",
         "date_id", "quantity_sold", "unit_price", "discount_pct", "sale_amount",
@@ -37,8 +37,8 @@ def fct_sales(sales: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
 
 
 def fct_shipments(shipments: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
-                  dim_warehouse: DataFrame, as_of: str,
-                  skew_buckets: int | None = None) -> DataFrame:
+                  dim_warehouse: DataFrame, as_of: str, join=pit_join,
+                  **options) -> DataFrame:
     """``as_of`` stands in for ``current_date()`` in the variance of a
     still-pending shipment, so a rebuild gives the same answer."""
     products = dim_product.select(
@@ -48,10 +48,8 @@ def fct_shipments(shipments: DataFrame, dim_date: DataFrame, dim_product: DataFr
         F.col("surrogate_key").alias("warehouse_surrogate_key"), "warehouse_id",
         "valid_from", "valid_to")
     dated = shipments.join(_dates(dim_date), shipments.shipment_date == F.col("full_date"), "left")
-    j = pit_join(dated, products, "product_id", "shipment_date", as_date=True,
-                 skew_buckets=skew_buckets)
-    j = pit_join(j, warehouses, "warehouse_id", "shipment_date", as_date=True,
-                 skew_buckets=skew_buckets)
+    j = join(dated, products, "product_id", "shipment_date", as_date=True, **options)
+    j = join(j, warehouses, "warehouse_id", "shipment_date", as_date=True, **options)
     variance = day_diff("expected_delivery_date",
                         F.coalesce(F.col("actual_delivery_date"), F.lit(as_of).cast("date")))
     return j.select(

@@ -95,6 +95,60 @@ def _fct_inventory(w):
     return w.fct_inventory()
 
 
+@register("fct_sales_asof", O.model("fct_sales"))
+def _fct_sales_asof(w):
+    """Sales meet the product versions by one sort, not by a broadcast."""
+    from chainyard.operators.temporal import asof_join
+    return w.fct_sales(join=asof_join)
+
+
+@register("fct_shipments_asof", O.model("fct_shipments"))
+def _fct_shipments_asof(w):
+    """Shipments meet two dimensions' versions by one sort for each, by day."""
+    from chainyard.operators.temporal import asof_join
+    return w.fct_shipments(join=asof_join, hot_share=0.002, pieces=8)
+
+
+@register("fct_sales_sort_merge", O.model("fct_sales"))
+def _fct_sales_sort_merge(w):
+    """The join by key of dimensions beyond the broadcast bound."""
+    return w.fct_sales(broadcast_max_rows=0)
+
+
+_HOT_KEY = """
+    with fact as (select l_orderkey as orderkey, l_linenumber as line,
+                         cast(if(l_linenumber <= 2, 1, l_partkey) as bigint) as part, l_shipdate as at
+                  from lineitem),
+         version as (select cast(l_partkey % 50 as decimal(12,2)) as part, o_orderdate as since,
+                            count(*) as lines
+                     from lineitem join orders on l_orderkey = o_orderkey group by all)"""
+
+
+@register("asof_hot_key", _HOT_KEY + """
+    select orderkey, line, fact.part, at, since as opened, lines
+    from fact asof left join version on version.part = fact.part and version.since <= fact.at""")
+def _asof_hot_key(w):
+    """A key with more than a third of the facts and a version for each day of
+    its orders, compared as whole number and as decimal."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from chainyard.operators.temporal import asof_join
+    from chainyard.testing import fixtures as fx
+    lines = fx.table(w.spark, w.sf_dir, "lineitem")
+    orders = fx.table(w.spark, w.sf_dir, "orders")
+    fact = lines.select(
+        F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("line"),
+        F.when(F.col("l_linenumber") <= 2, 1).otherwise(F.col("l_partkey")).cast("bigint").alias("part"),
+        F.col("l_shipdate").alias("at"))
+    starts = (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+              .groupBy((F.col("l_partkey") % 50).cast("decimal(12,2)").alias("part"),
+                       F.col("o_orderdate").alias("opened"))
+              .agg(F.count(F.lit(1)).alias("lines")))
+    closed = F.lead("opened").over(Window.partitionBy("part").orderBy("opened"))
+    versions = starts.withColumn("valid_from", F.col("opened")).withColumn("valid_to", closed)
+    return asof_join(fact, versions, "part", "at", pieces=16)
+
+
 # -- SCD2 over four runs: insert, change, unchanged, delete, reappear ------
 def _scenario(w, k: int):
     from chainyard.plans import dims, staging
@@ -111,6 +165,22 @@ for _k in range(1, 5):
         lambda w, _k=_k: _scenario(w, _k))
 
 
+def _product_history(w, known: int):
+    """All runs of the scenario; the first ``known`` of them run one by one before."""
+    from chainyard.plans import dims, staging
+    from chainyard.testing import fixtures as fx
+    runs = fx.SCENARIO_RUNS
+    batches = [staging.stg_products(fx.product_batch(w.spark, w.sf_dir, i + 1, runs))
+               for i in range(known, len(runs))]
+    return dims.history("products", batches, runs[known:], _scenario(w, known) if known else None)
+
+
+for _known in range(3):
+    register("snap_products_history" + (f"_after_{_known}" if _known else ""),
+             O.with_models(f"select * from ({O.product_versions_sql(O.fx.SCENARIO_RUNS, 4)})"))(
+        lambda w, _known=_known: _product_history(w, _known))
+
+
 @register("snap_products", O.model("snap_products"))
 def _snap_products(w):
     return w.snap_products()
