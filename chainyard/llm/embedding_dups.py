@@ -47,9 +47,10 @@ from chainyard.llm.common import stored
 from chainyard.llm.components import components
 from chainyard.llm.vectors import filled, finite, matrix, usual_length
 
-#: Projections, and the window's half width in standard deviations of the
-#: difference that two vectors at the limit have along a direction.
-PROJECTIONS, WINDOW = 64, 1.2
+#: Projections that tables cut, and those of them whose collisions are counted;
+#: the window's half width in standard deviations of the difference that two
+#: vectors at the limit have along a direction.
+PROJECTIONS, COUNTED, WINDOW = 64, 32, 1.2
 #: Vectors of a bucket where all are alike, and share of pairs at the limit
 #: that tables, and counts, must find.
 BUCKET, TARGET = 256, 0.999
@@ -135,7 +136,7 @@ def calibrated(sample: np.ndarray, n: int, cosine: float) -> Projections:
     own = sample[rng.integers(0, len(sample), TRIALS)]
     a, b = own @ directions, pairs_at_limit(own, cosine, rng) @ directions
     window = WINDOW * float(np.sqrt(np.square(a - b).mean()))
-    counts = (np.abs(a - b) <= window).sum(axis=1)
+    counts = (np.abs(a - b) <= window)[:, :COUNTED].sum(axis=1)
     least = int(np.quantile(counts, 1 - TARGET, method="lower"))
     found = Projections(directions, places, window, least, cosine, [])
     bits = min(48, max(0, math.ceil(math.log2(max(1, n / BUCKET)))))
@@ -181,9 +182,10 @@ class Group:
         """Verified pairs of ``asked`` places and others: each in the first
         table that has both in one bucket, none that is certain."""
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        counted = self.projected[:, :COUNTED]
         for at in range(0, len(asked), AT_ONCE):
             own = asked[at:at + AT_ONCE]
-            counts = colliding(self.projected, self.projected[own], self.model.window)
+            counts = colliding(counted, counted[own], self.model.window)
             q, row = np.nonzero(counts >= self.model.least)
             q = own[q]
             on = allowed(q, row)
