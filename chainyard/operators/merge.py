@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from chainyard.operators.dedupe import any_null, duplicate_keys, latest_per_key
 from chainyard.operators.joins import broadcast_if_small
+from chainyard.operators.key_index import parts_with
 
 
 class DuplicateKeyError(ValueError):
@@ -102,7 +103,7 @@ def merge_incremental(target: DataFrame | None, batch: DataFrame, key,
 
 
 def merge_into_partitions(store, name: str, batch: DataFrame, key, part_expr,
-                          layer: str | None = None, **merge_kw) -> int:
+                          layer: str | None = None, index: bool = False, **merge_kw) -> int:
     """Upsert ``batch`` into a partition-laid-out table of ``store``,
     rewriting only the partitions the batch touches; returns the staged
     version (publish it with the run).
@@ -112,6 +113,10 @@ def merge_into_partitions(store, name: str, batch: DataFrame, key, part_expr,
     whose partition has changed leaves the old one.  The touched values are
     collected (bounded by the number of partitions, e.g. months), and the
     target is read pruned to them.
+
+    To find older rows, the key columns of every partition are read, or, with
+    ``index`` (``key_index``, written with each version), those of the partitions
+    alone that the index names.  ``store.last_merge[name]`` tells what was read.
     """
     keys = [key] if isinstance(key, str) else list(key)
     batch = store.set_aside(name, batch)
@@ -120,10 +125,25 @@ def merge_into_partitions(store, name: str, batch: DataFrame, key, part_expr,
     held = store.read(name, layer, keep_part=True)
     if held is not None:
         own = batch.filter(~any_null(keys)).select(*keys)
-        old = held.select(*keys, F.substring("__part", 2, 100).alias("part"))
-        touched |= {r.part for r in old.join(broadcast_if_small(own), keys, "left_semi")
-                    .select("part").distinct().collect()}
+        # equal values have equal hashes only where their types agree
+        alike = all(held.schema[k].dataType == own.schema[k].dataType for k in keys)
+        known = store.key_index(name, layer) if index and alike else None
+        named = None if known is None else parts_with(known, own, keys)
+        if named is not None:
+            named = sorted(set(named) - touched)
+            held = store.read(name, layer, partitions=named, keep_part=True)
+        moved = set()
+        if named is None or named:
+            old = held.select(*keys, F.substring("__part", 2, 100).alias("part"))
+            moved = {r.part for r in old.join(broadcast_if_small(own), keys, "left_semi")
+                     .select("part").distinct().collect()}
+        store.last_merge[name] = {
+            "indexed": named is not None, "named": named, "own": sorted(touched),
+            "moved": sorted(moved - touched),
+            "false_hits": None if named is None else len(set(named) - moved)}
+        touched |= moved
     target = store.read(name, layer, partitions=sorted(touched))
     merged = merge_incremental(target, batch, key, **merge_kw)
     return store.stage(name, merged, layer, part_expr=part_expr,
-                       partitions=None if target is None else sorted(touched))
+                       partitions=None if target is None else sorted(touched),
+                       index_keys=keys if index else None)

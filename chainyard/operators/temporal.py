@@ -113,13 +113,20 @@ def common_type(a: DataFrame, key_a: str, b: DataFrame, key_b: str):
 
 
 def _time_cuts(fact: DataFrame, keys: list[str], ts: str, min_share: float, pieces: int
-               ) -> DataFrame:
+               ) -> DataFrame | None:
     """keys and __cuts: for each hot key, at most ``pieces - 1`` instants that cut
-    its facts into about equal parts (in microseconds)."""
-    hot = fact.join(F.broadcast(hot_keys(fact, keys, min_share)), keys, "left_semi")
+    its facts into about equal parts.  At most ``1 / min_share`` rows, found before
+    the join is planned; None if no key is hot."""
+    spark = fact.sparkSession
+    hot = hot_keys(fact, keys, min_share)
+    found = hot.collect()
+    if not found:
+        return None
+    own = fact.join(F.broadcast(spark.createDataFrame(found, hot.schema)), keys, "left_semi")
     shares = [i / pieces for i in range(1, pieces)]
-    return hot.groupBy(*keys).agg(F.array_sort(F.array_distinct(
+    cuts = own.groupBy(*keys).agg(F.array_sort(F.array_distinct(
         F.percentile_approx(ts, shares, 1000))).alias("__cuts"))
+    return F.broadcast(spark.createDataFrame(cuts.collect(), cuts.schema))
 
 
 def asof_join(fact: DataFrame, versions: DataFrame, keys, ts: str,
@@ -148,28 +155,32 @@ def asof_join(fact: DataFrame, versions: DataFrame, keys, ts: str,
               # a version of no length holds no fact
               .filter(F.col("__own.to").isNull() | (F.col("__own.to") > F.col("__t"))))
 
-    cuts = F.broadcast(_time_cuts(facts.filter(sound), kcols, "__t", hot_share, pieces))
-    ranged = F.coalesce(F.size(F.filter("__cuts", lambda c: c <= F.col("__t"))), F.lit(0))
-    place = lambda df: df.join(cuts, kcols, "left").withColumn("__range", ranged)
+    cuts = _time_cuts(facts.filter(sound).select(*kcols, "__t"), kcols, "__t", hot_share, pieces)
+    ranged = F.lit(0) if cuts is None else F.coalesce(
+        F.size(F.filter("__cuts", lambda c: c <= F.col("__t"))), F.lit(0))
+    place = lambda df: (df if cuts is None else df.join(cuts, kcols, "left")).withColumn(
+        "__range", ranged)
     starts = place(starts)
-    # the last version that starts in each range of a hot key, handed on to the
-    # ranges after it; as many rows as hot keys times pieces
-    hot = starts.filter("__cuts IS NOT NULL")
-    last = hot.groupBy(*kcols, "__range").agg(F.max_by("__own", "__t").alias("__last"))
-    ranges = cuts.select(*kcols, F.explode(F.sequence(F.lit(0), F.size("__cuts"))).alias("__range"))
-    before = W.partitionBy(*kcols).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
-    opening = (ranges.join(last, [*kcols, "__range"], "left")
-               .withColumn("__own", F.last("__last", ignorenulls=True).over(before))
-               .filter("__own IS NOT NULL"))
 
     no_fact = F.lit(None).cast(facts.schema["__fact"].dataType).alias("__fact")
     no_own = F.lit(None).cast(starts.schema["__own"].dataType).alias("__own")
     stream = (place(facts.filter(sound)).select(*kcols, "__range", "__t", F.lit(2).alias("__kind"),
                                                 "__fact", no_own)
               .unionByName(starts.select(*kcols, "__range", "__t", F.lit(1).alias("__kind"), no_fact,
-                                         "__own"))
-              .unionByName(opening.select(*kcols, "__range", F.lit(None).cast("bigint").alias("__t"),
-                                          F.lit(0).alias("__kind"), no_fact, "__own")))
+                                         "__own")))
+    if cuts is not None:
+        # the last version that starts in each range of a hot key, handed on to the
+        # ranges after it; as many rows as hot keys times pieces
+        last = (starts.filter("__cuts IS NOT NULL").groupBy(*kcols, "__range")
+                .agg(F.max_by("__own", "__t").alias("__last")))
+        ranges = cuts.select(*kcols, F.explode(F.sequence(F.lit(0), F.size("__cuts"))).alias("__range"))
+        before = W.partitionBy(*kcols).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+        opening = (ranges.join(last, [*kcols, "__range"], "left")
+                   .withColumn("__own", F.last("__last", ignorenulls=True).over(before))
+                   .filter("__own IS NOT NULL"))
+        stream = stream.unionByName(opening.select(
+            *kcols, "__range", F.lit(None).cast("bigint").alias("__t"), F.lit(0).alias("__kind"),
+            no_fact, "__own"))
     # NULL instants, of what is open, come first; a start comes before a fact of its instant
     so_far = (W.partitionBy(*kcols, "__range").orderBy("__t", "__kind")
               .rowsBetween(W.unboundedPreceding, W.currentRow))

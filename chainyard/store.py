@@ -42,10 +42,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chainyard.operators import key_index
 from chainyard.operators.merge import align_to
 
 LOG_SCHEMA = ("table string, version long, path string, published_at string, "
-              "partitions array<string>, schema string, watermark string")
+              "partitions array<string>, schema string, watermark string, key_index string")
 PART = "__part"  # layout column of partitioned tables, not shown to readers
 STAMP = "_ingestion_timestamp"  # its greatest value is a version's watermark
 
@@ -65,6 +66,7 @@ class TableStore:
         self.spark, self.root = spark, root.rstrip("/")
         self._known: dict[str, list] | None = None
         self._pending: dict[tuple, tuple] = {}
+        self.last_merge: dict[str, dict] = {}  # what the latest merge of a table read
 
     def _id(self, name: str, layer: str | None = None) -> str:
         return f"{schema_name(layer)}.{name}"
@@ -78,10 +80,10 @@ class TableStore:
         return self.spark.read.schema(LOG_SCHEMA).json(log)
 
     def _entries(self) -> dict[str, list]:
-        """table -> [(version, partitions or None, schema, watermark)] in order."""
+        """table -> [(version, partitions or None, schema, watermark, key index)] in order."""
         if self._known is None:
             rows = self.log().select("table", "version", "partitions", "schema",
-                                     "watermark").collect()
+                                     "watermark", "key_index").collect()
             known: dict[str, list] = {}
             for r in sorted(rows, key=lambda r: (r.table, r.version)):
                 known.setdefault(r.table, []).append(tuple(r)[1:])
@@ -117,13 +119,10 @@ class TableStore:
         entries = [e for e in entries if version is None or e[0] <= version]
         if not entries:
             return None
-        full = max((i for i, e in enumerate(entries) if e[1] is None), default=0)
-        owner: dict[str, int] = {}
-        for i, e in enumerate(entries[full + 1:], start=full + 1):
-            owner.update(dict.fromkeys(e[1], i))
+        full, owner = self._owners(entries)
         newest = T.StructType.fromJson(json.loads(entries[-1][2]))
         frames = []
-        for i, (v, _, schema, _) in enumerate(entries[full:], start=full):
+        for i, (v, _, schema, *_) in enumerate(entries[full:], start=full):
             own = T.StructType.fromJson(json.loads(schema))
             df = self.spark.read.schema(own).parquet(self.path(name, v, layer))
             if PART in own.names:
@@ -142,6 +141,34 @@ class TableStore:
         out = reduce(DataFrame.unionByName, frames)
         return out if keep_part else out.drop(PART)
 
+    @staticmethod
+    def _owners(entries: list) -> tuple[int, dict[str, int]]:
+        """The last full version and, of partitions written since, the newest."""
+        full = max((i for i, e in enumerate(entries) if e[1] is None), default=0)
+        owner: dict[str, int] = {}
+        for i, e in enumerate(entries[full + 1:], start=full + 1):
+            owner.update(dict.fromkeys(e[1], i))
+        return full, owner
+
+    def key_index(self, name: str, layer: str | None = None) -> DataFrame | None:
+        """The key index of the published table (see ``operators.key_index``), or
+        None if a version that holds some of its partitions has none."""
+        entries = self._entries().get(self._id(name, layer), [])
+        if not entries:
+            return None
+        full, owner = self._owners(entries)
+        frames = []
+        for i, e in enumerate(entries[full:], start=full):
+            mine = [p for p, k in owner.items() if k == i]
+            if i > full and not mine:
+                continue
+            if not e[4]:
+                return None
+            df = self.spark.read.schema(key_index.SCHEMA).parquet(e[4])
+            frames.append(df.filter(F.col("part").isin(mine) if i > full else
+                                    ~F.col("part").isin([p for p, k in owner.items() if k != i])))
+        return reduce(DataFrame.unionByName, frames)
+
     def set_aside(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` written once to a folder of its own and read back: what several
         plans of a run use is computed once and survives lost executors."""
@@ -154,12 +181,13 @@ class TableStore:
 
     def stage(self, name: str, df: DataFrame, layer: str | None = None,
               partition_by: list[str] | None = None, part_expr=None,
-              partitions: list[str] | None = None) -> int:
+              partitions: list[str] | None = None, index_keys: list[str] | None = None) -> int:
         """Write ``df`` as the next (unpublished) version; returns it.
 
         ``part_expr`` lays the table out by that expression's value;
         ``partitions`` then declares that this version holds only those
-        partition values (the rest are taken from earlier versions)."""
+        partition values (the rest are taken from earlier versions).
+        ``index_keys`` writes an index of these columns by partition beside it."""
         v = (self.version(name, layer) or 0) + 1
         if part_expr is not None:
             df = df.withColumn(PART, F.concat(F.lit(_pv("")), F.coalesce(
@@ -181,9 +209,16 @@ class TableStore:
         # the folder of an unpublished version may hold a failed attempt's
         # leftovers: overwriting it is safe, nothing reads it
         w.parquet(self.path(name, v, layer))
+        index = None
+        if index_keys and PART in df.columns:
+            index = f"{self.root}/{self._id(name, layer)}/_keys/v={v:08d}"
+            own = self.spark.read.schema(df.schema).parquet(self.path(name, v, layer))
+            part = F.substring(PART, 2, 100).alias("part")
+            (key_index.build(own.select(*index_keys, part), index_keys, "part")
+             .write.mode("overwrite").parquet(index))
         self._pending[(name, layer, v)] = (
             sorted(partitions) if partitions is not None else None, schema,
-            seen.get.get("mark") if seen is not None else None)
+            seen.get.get("mark") if seen is not None else None, index)
         return v
 
     def publish(self, versions: dict[tuple[str, str | None], int]) -> None:

@@ -117,7 +117,7 @@ def _fct_sales_sort_merge(w):
 
 _HOT_KEY = """
     with fact as (select l_orderkey as orderkey, l_linenumber as line,
-                         cast(if(l_linenumber <= 2, 1, l_partkey) as bigint) as part, l_shipdate as at
+                         cast(if(l_linenumber <= 2, 1, l_partkey) as bigint) as part, l_shipdate as shipped
                   from lineitem),
          version as (select cast(l_partkey % 50 as decimal(12,2)) as part, o_orderdate as since,
                             count(*) as lines
@@ -125,8 +125,8 @@ _HOT_KEY = """
 
 
 @register("asof_hot_key", _HOT_KEY + """
-    select orderkey, line, fact.part, at, since as opened, lines
-    from fact asof left join version on version.part = fact.part and version.since <= fact.at""")
+    select orderkey, line, fact.part, shipped, since as opened, lines
+    from fact asof left join version on version.part = fact.part and version.since <= fact.shipped""")
 def _asof_hot_key(w):
     """A key with more than a third of the facts and a version for each day of
     its orders, compared as whole number and as decimal."""
@@ -139,14 +139,55 @@ def _asof_hot_key(w):
     fact = lines.select(
         F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("line"),
         F.when(F.col("l_linenumber") <= 2, 1).otherwise(F.col("l_partkey")).cast("bigint").alias("part"),
-        F.col("l_shipdate").alias("at"))
+        F.col("l_shipdate").alias("shipped"))
     starts = (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
               .groupBy((F.col("l_partkey") % 50).cast("decimal(12,2)").alias("part"),
                        F.col("o_orderdate").alias("opened"))
               .agg(F.count(F.lit(1)).alias("lines")))
     closed = F.lead("opened").over(Window.partitionBy("part").orderBy("opened"))
     versions = starts.withColumn("valid_from", F.col("opened")).withColumn("valid_to", closed)
-    return asof_join(fact, versions, "part", "at", pieces=16)
+    return asof_join(fact, versions, "part", "shipped", pieces=16)
+
+
+# -- a late dimension change: facts published first, product versions closed after ----
+def _late_change(w):
+    """Sales are linked to the products of the first run and published by month;
+    the second run then closes versions of PROMO products back in 1998."""
+    from pyspark.sql import functions as F
+    from chainyard.operators.relink import interval_changes, relink_partitions
+    from chainyard.plans import dims, facts
+    from chainyard.store import TableStore
+    from chainyard.testing import fixtures as fx
+    store = TableStore(w.spark, _scratch(w, "late-change"))
+    suppliers, month = w.snap_static("suppliers"), facts.FACT_MONTH["fct_sales"]()
+    before = dims.dim_product(w.snap_products(fx.PRODUCT_RUNS[:1]), suppliers)
+    after = store.set_aside("after", w.dim_product())
+    store.commit("fct_sales", facts.fct_sales(w.stg("sales"), w.calendar(), before), part_expr=month)
+    changes = interval_changes(before, after, "product_id", ["surrogate_key", "supplier_id"])
+    versions = after.select("product_id", "valid_from", "valid_to", "supplier_id",
+                            F.col("surrogate_key").alias("product_surrogate_key"))
+    v = relink_partitions(store, "fct_sales", changes, versions, "product_id",
+                          "transaction_timestamp", "transaction_id", month)
+    store.publish({("fct_sales", None): v})
+    return store
+
+
+@register("fct_sales_late_change", O.model("fct_sales"))
+def _fct_sales_late_change(w):
+    """Re-linked facts equal a full rebuild."""
+    return _late_change(w).read("fct_sales")
+
+
+@register("late_change_months", O.with_models(f"""
+    select distinct strftime(transaction_timestamp, '%Y%m') as month
+    from stg_sales natural join (select product_id, category from stg_products)
+    where category = '{O.fx.REBRAND_TYPE}'
+      and transaction_timestamp >= timestamp '{O.fx.PRODUCT_RUNS[1]}'"""))
+def _late_change_months(w):
+    """The months that the re-linking wrote: those with a fact to link anew."""
+    from pyspark.sql import functions as F
+    log = _late_change(w).history("fct_sales").filter("version = 2")
+    return log.select(F.explode("partitions").alias("month"))
 
 
 # -- SCD2 over four runs: insert, change, unchanged, delete, reappear ------
@@ -296,6 +337,60 @@ def _merge_moved_month(w):
     return store.read("s").drop("_ingestion_timestamp")
 
 
+def _indexed_merges(w):
+    """Shipments by month with a key index; then the largest of 1995 move by 400
+    days and a few new ones come."""
+    from pyspark.sql import functions as F
+    from chainyard.operators.merge import merge_into_partitions
+    from chainyard.store import TableStore
+    from chainyard.testing import fixtures as fx
+    store = TableStore(w.spark, _scratch(w, "key-index"))
+    ship = fx.raw_shipments(w.spark, w.sf_dir).select(
+        "shipment_id", "carrier", "quantity_shipped", F.col("shipment_date").cast("date"))
+    moved = ship.filter("quantity_shipped = 50 AND year(shipment_date) = 1995").withColumn(
+        "shipment_date", F.date_add("shipment_date", 400))
+    fresh = ship.filter("quantity_shipped = 49 AND year(shipment_date) = 1995").withColumn(
+        "shipment_id", F.concat(F.lit("again-"), "shipment_id"))
+    for batch in (ship, moved.unionByName(fresh)):
+        v = merge_into_partitions(store, "s", batch, "shipment_id",
+                                  F.date_format("shipment_date", "yyyyMM"), index=True)
+        store.publish({("s", None): v})
+    return store
+
+
+_MOVED = "quantity_shipped = 50 and year(shipment_date) = 1995"
+_FRESH = "quantity_shipped = 49 and year(shipment_date) = 1995"
+
+
+@register("merge_key_index", O.with_models(f"""
+    select shipment_id, carrier, quantity_shipped,
+           cast(if({_MOVED}, shipment_date + interval 400 day, shipment_date) as date) as shipment_date
+    from raw_shipments
+    union all select concat('again-', shipment_id), carrier, quantity_shipped, shipment_date
+    from raw_shipments where {_FRESH}"""))
+def _merge_key_index(w):
+    """A merge that finds moved keys by the index equals one that scans."""
+    return _indexed_merges(w).read("s")
+
+
+@register("merge_key_index_months", O.with_models(f"""
+    select month, bool_or(came) as of_batch
+    from (select strftime(shipment_date + interval 400 day, '%Y%m') as month, true as came
+          from raw_shipments where {_MOVED}
+          union all select strftime(shipment_date, '%Y%m'), true from raw_shipments where {_FRESH}
+          union all select strftime(shipment_date, '%Y%m'), false from raw_shipments where {_MOVED})
+    group by month"""))
+def _merge_key_index_months(w):
+    """Months that the merge wrote: its own and those that a key has left."""
+    from pyspark.sql import functions as F
+    store = _indexed_merges(w)
+    report = store.last_merge["s"]
+    if not report["indexed"]:
+        raise AssertionError("the merge read every month")
+    wrote = store.history("s").filter("version = 2").select(F.explode("partitions").alias("month"))
+    return wrote.withColumn("of_batch", F.col("month").isin(report["own"]))
+
+
 @register("month_merge_schema_sync", O.with_models(f"""
     select inventory_key, warehouse_id, product_id, date_id, quantity_available,
            reorder_threshold, snapshot_date,
