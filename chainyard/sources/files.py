@@ -4,20 +4,20 @@ incremental selection by modification time (S1-S3, S7).
 Listing goes through Spark's ``binaryFile`` source with only the metadata
 columns selected (path, modificationTime, length), so no file content is
 read to list a folder; ``modifiedAfter`` is Spark's own strict ``>``.
-A new file's first bytes tell how to read it: a CSV's header, a JSON file's
-layout.  Files alike are read by ONE multi-file scan.
+A new file's first lines tell how to read it: a CSV's header, a JSON file's
+layout; they are looked at on the executors (``heads``).  Files alike are read by
+ONE multi-file scan.
 
 * CSV columns are matched by header name: Spark maps a declared schema by
   position, so each distinct header gets a schema in its own order.  Columns
   that are not declared are kept as text; a file that lacks a declared column
   is refused.
-* JSON: a first line that ends a record (or an array) means a value on each
-  line; otherwise the file is one value over several lines.
+* JSON: a file is one value over several lines only if its first line opens an
+  array or an object that the second line goes on with.
 """
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chainyard.sources.heads import file_layouts
+
 CSV_EXT = (".csv", ".txt")
 JSON_EXT = (".json",)
-#: Bytes that are read of a new file before its layout is known.
-HEAD_BYTES = 65_536
 
 
 @dataclass
@@ -90,39 +90,6 @@ def _ext(path: str) -> str:
     return ("." + name.rsplit(".", 1)[-1].lower()) if "." in name else ""
 
 
-def file_head(spark: SparkSession, path: str, size: int = HEAD_BYTES) -> str:
-    """The first bytes of a file, as text."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(conf).open(p)
-    try:
-        return bytes(stream.readNBytes(size)).decode("utf-8", "ignore").removeprefix("﻿")
-    finally:
-        stream.close()
-
-
-def json_layout(head: str) -> str:
-    """'lines' if the file holds a value on each line, else 'multiline'."""
-    lines = [line.strip() for line in head.splitlines() if line.strip()]
-    if len(lines) < 2:
-        return "lines"  # one line only, or one longer than the head
-    try:
-        json.loads(lines[0])
-        return "lines"
-    except ValueError:
-        # an object over several lines never opens another value on its second
-        # line: there the first line is a broken record of its own
-        broken = lines[0][0] == "{" and lines[1][0] in "{["
-        return "lines" if broken else "multiline"
-
-
-def csv_header(head: str) -> tuple[str, ...]:
-    """Column names of a CSV file's first line."""
-    import csv
-    first = next(csv.reader([head.partition("\n")[0].rstrip("\r")]), [])
-    return tuple(c.strip() for c in first)
-
-
 def _norm(path: str) -> str:
     return path if path.startswith("file:") or "://" in path else "file:" + path
 
@@ -175,16 +142,19 @@ def read_paths(spark: SparkSession, files: list[str], schema: T.StructType | Non
     nor loads as a row of NULLs.
     """
     rejected, groups = [], {}
+    asked = [(p, "json" if _ext(p) in JSON_EXT else "csv") for p in files
+             if _ext(p) in JSON_EXT or (_ext(p) in CSV_EXT and schema is not None)]
+    layouts = file_layouts(spark, asked)
     for path in files:
         ext = _ext(path)
         if ext not in CSV_EXT + JSON_EXT:
             rejected.append((path, f"unsupported extension '{ext}'"))
         elif ext in JSON_EXT:
-            groups.setdefault(("json", json_layout(file_head(spark, path))), []).append(path)
+            groups.setdefault(("json", layouts[path][0]), []).append(path)
         elif schema is None:
             groups.setdefault(("csv", ()), []).append(path)
         else:
-            header = csv_header(file_head(spark, path))
+            header = layouts[path][1]
             low = [c.lower() for c in header]
             lacking = [f.name for f in schema.fields if f.name.lower() not in low]
             if lacking:

@@ -816,7 +816,8 @@ def _json_layouts(w):
     several lines: no record is lost."""
     from functools import reduce
     from pyspark.sql import functions as F
-    from chainyard.sources.files import file_head, json_layout, list_files, read_batch, read_json
+    from chainyard.sources.files import list_files, read_batch, read_json
+    from chainyard.sources.heads import file_layouts
     from chainyard.testing import fixtures as fx
     root = _scratch(w, "json-layouts")
     kind = F.element_at(F.array(F.lit("lines"), F.lit("array"), F.lit("pretty")),
@@ -825,25 +826,70 @@ def _json_layouts(w):
         F.col("s_suppkey").cast("bigint").alias("id"), F.col("s_name").alias("name"),
         kind.alias("layout"))
     s.filter("layout = 'lines'").coalesce(2).write.json(f"{root}/drop/lines")
-    # each nation's suppliers are one value: on one line, or a record a line
+    # an array holds the suppliers of a hundred ids: on one line, or a record a line
     record = F.to_json(F.struct("id", "name", "layout"))
     for layout, gap in (("array", ", "), ("pretty", ",\n")):
         text = F.concat(F.lit("[" if gap == ", " else "[\n"),
                         F.concat_ws(gap, F.collect_list(record)),
                         F.lit("]" if gap == ", " else "\n]"))
-        one = s.filter(F.col("layout") == layout).groupBy((F.col("id") % 5).alias("file")).agg(
+        one = s.filter(F.col("layout") == layout).groupBy(F.floor(F.col("id") / 100).alias("file")).agg(
             text.alias("value"))
-        (one.repartitionByRange(5, "file").select("value").write.option("lineSep", "\n")
-         .text(f"{root}/drop/{layout}"))
+        (one.write.partitionBy("file").option("lineSep", "\n").text(f"{root}/drop/{layout}"))
     # Spark's text writer names its files .txt; their content is JSON
     batch = read_batch(w.spark, f"{root}/drop/lines", s.schema)
     parts = [batch.data]
     for layout in ("array", "pretty"):
-        heads = {}
-        for r in list_files(w.spark, f"{root}/drop/{layout}").collect():
-            heads.setdefault(json_layout(file_head(w.spark, r.path)), []).append(r.path)
-        parts += [read_json(w.spark, paths, s.schema, layout=k) for k, paths in heads.items()]
-    return reduce(DataFrame.unionByName, parts).select("id", "name", "layout")
+        paths = [r.path for r in list_files(w.spark, f"{root}/drop/{layout}").collect()]
+        found = file_layouts(w.spark, [(p, "json") for p in paths])
+        for k in sorted({v[0] for v in found.values()}):
+            parts.append(read_json(w.spark, [p for p in paths if found[p][0] == k], s.schema, layout=k))
+    return reduce(DataFrame.unionByName, [p.select("id", "name", "layout") for p in parts])
+
+
+@register("hostile_heads", """
+    select cast(c_custkey as bigint) as id, if(c_nationkey % 4 = 0, concat('a', chr(8232), 'b', chr(133),
+           c_name), c_name) as name, case c_nationkey % 4 when 0 then 'separators' when 1 then 'junk'
+           when 2 then 'long' else 'header' end as kind
+    from customer""")
+def _hostile_heads(w):
+    """Customers dropped as files whose first line misleads: JSON strings with
+    U+2028 and U+0085, a first line of junk, a first record of more than 64 KiB,
+    a CSV header of more than 64 KiB.  Every sound record lands."""
+    from pyspark.sql import functions as F
+    from chainyard.sources.files import read_batch
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "hostile-heads")
+    nation = F.col("c_nationkey") % 4
+    name = F.when(nation == 0, F.concat(F.lit("a\u2028b\u0085"), "c_name")).otherwise(F.col("c_name"))
+    c = fx.table(w.spark, w.sf_dir, "customer").select(
+        F.col("c_custkey").cast("bigint").alias("id"), name.alias("name"),
+        F.element_at(F.array(*map(F.lit, ("separators", "junk", "long", "header"))),
+                     (nation + 1).cast("int")).alias("kind"))
+    pad = F.when(F.col("id") == F.col("least"), F.lit("x" * 70_000)).otherwise(F.lit("y"))
+    for kind in ("separators", "junk", "long"):
+        rows = c.filter(F.col("kind") == kind)
+        least = rows.agg(F.min("id").alias("least"))
+        # one file, in order: what misleads stands first
+        lines = rows.join(F.broadcast(least)).select("id", F.to_json(F.struct(
+            "id", "name", "kind", *([pad.alias("note")] if kind == "long" else []))).alias("value"))
+        if kind == "junk":
+            lines = lines.unionByName(w.spark.sql("select -1L as id, '-- exported --' as value"))
+        folder = f"{root}/made/{kind}"
+        lines.coalesce(1).sortWithinPartitions("id").select("value").write.text(folder)
+    header = c.filter("kind = 'header'").select(F.lit("n").alias("n" * 70_000), "kind", "name", "id")
+    header.coalesce(1).write.option("header", "true").csv(f"{root}/drop")
+    # Spark's text writer names its files .txt: give them the name that drops have
+    jvm, conf = w.spark.sparkContext._jvm, w.spark.sparkContext._jsc.hadoopConfiguration()
+    for kind in ("separators", "junk", "long"):
+        folder = jvm.org.apache.hadoop.fs.Path(f"{root}/made/{kind}")
+        fs = folder.getFileSystem(conf)
+        for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/made/{kind}/part-*")):
+            fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{root}/drop/{kind}.json"))
+    batch = read_batch(w.spark, f"{root}/drop", c.schema, corrupt_col="_corrupt")
+    batch.corrupt.write.parquet(f"{root}/aside")
+    if batch.rejected or w.spark.read.parquet(f"{root}/aside").count() != 1:
+        raise AssertionError(batch.rejected)
+    return batch.data.select("id", "name", "kind")
 
 
 @register("quarantine_counts", """
