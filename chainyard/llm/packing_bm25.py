@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +41,12 @@ from chainyard.llm.crc32c import ids_crc32
 SHARD_CHARS = 2_000_000
 #: BM25's saturation and length normalisation.
 K1, B = 1.2, 0.75
-#: Dimensions of the projection, documents of the sample, most ids of each that
-#: are learned from, and most centres.
-WIDTH, SAMPLE, SAMPLE_IDS, CENTRES = 128, 4096, 4096, 1024
+#: Share of a shard's documents beyond which a term has a row instead of postings.
+DENSE = 0.1
+#: Dimensions of the projection, terms of a document that it rests on (those that
+#: weigh most), documents of the sample, most ids of each that are learned from,
+#: and most centres.
+WIDTH, HEAVIEST, SAMPLE, SAMPLE_IDS, CENTRES = 128, 64, 4096, 4096, 1024
 ROUNDS = 8
 
 PIECES = ("{key} {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -50,7 +54,8 @@ PIECES = ("{key} {kind}, start long, length long, ids_crc32 long, doc_tokens lon
 
 
 class Bm25Index:
-    """Inverted index of a shard: postings by term, with their BM25 weights."""
+    """Inverted index of a shard: postings by term, with their BM25 weights.
+    Terms of more than ``DENSE`` of the documents are rows of a matrix instead."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray | None = None,
                  mean: float | None = None):
@@ -64,19 +69,31 @@ class Bm25Index:
         length = np.array([len(ids) for ids in docs], np.float64)
         order = np.argsort(term, kind="stable")
         self.doc, term, tf = doc[order], term[order], tf[order]
-        self.start = np.searchsorted(term, np.arange(int(term[-1]) + 2))
-        df = np.diff(self.start)
+        start = np.searchsorted(term, np.arange(int(term[-1]) + 2))
+        df = np.diff(start)
         idf = np.log1p((n - df + 0.5) / (df + 0.5)) if idf is None else idf
         norm = K1 * (1 - B + B * length / (mean or length.mean()))
-        self.weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
+        weight = idf[term] * tf * (K1 + 1) / (tf + norm[self.doc])
+        common = df > DENSE * n
+        #: The row of a common term, or -1.
+        self.row = np.where(common, np.cumsum(common) - 1, -1)
+        self.common = np.zeros((int(common.sum()), n))
+        on = common[term]
+        self.common[self.row[term[on]], self.doc[on]] = weight[on]
+        self.doc, self.weight = self.doc[~on], weight[~on]
+        self.start = np.concatenate(([0], np.cumsum(np.where(common, 0, df))))
 
     def scores(self, seed: int) -> np.ndarray:
         """The BM25 score of every document for the seed's distinct terms."""
         terms = self.terms[seed].astype(np.int64)
+        row = self.row[terms]
+        asked = np.zeros(len(self.common))
+        asked[row[row >= 0]] = 1.0
         a, b = self.start[terms], self.start[terms + 1]
         size = b - a
         at = np.repeat(a - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        return np.bincount(self.doc[at], self.weight[at], len(self.terms))
+        rare = np.bincount(self.doc[at], self.weight[at], len(self.terms))
+        return rare + asked @ self.common
 
 
 class Places:
@@ -107,6 +124,9 @@ class Places:
         for k, ids in enumerate(docs):
             t, tf = np.unique(ids, return_counts=True)
             w = self.idf[t] ** 2 * (tf * (K1 + 1) / (tf + K1)).astype(np.float32)
+            if len(t) > HEAVIEST:
+                most = np.sort(np.argpartition(-w, HEAVIEST)[:HEAVIEST])
+                t, w = t[most], w[most]
             out[k] = w @ self._axes[t]
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
@@ -173,12 +193,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("t").to_pylist()
+            texts = batch.column("t")
             found = encoder(tokenizer).encode(texts)
             ids = [np.append(x, x.dtype.type(end_id)).tobytes() for x in found]
             yield pa.RecordBatch.from_pydict({
                 "k": batch.column("k"), "row": batch.column("row"),
-                "chars": pa.array([len(t) + 1 for t in texts], pa.int64()),
+                "chars": pc.add(pc.utf8_length(texts).cast(pa.int64()), 1),
                 "ids": pa.array(ids, pa.binary())})
 
     def arrays(column) -> list[np.ndarray]:

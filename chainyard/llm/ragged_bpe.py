@@ -66,9 +66,10 @@ def adjacent_ranks(syms: np.ndarray, seq: np.ndarray, ranks: PairRanks) -> np.nd
     return out
 
 
-def surviving_symbols(syms: np.ndarray, lens: np.ndarray, ranks: PairRanks,
-                      merged: np.ndarray) -> np.ndarray:
-    """Number of symbols that each sequence has after all merges.
+def merged_symbols(syms: np.ndarray, lens: np.ndarray, ranks: PairRanks, merged: np.ndarray
+                   ) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols that are left after all merges, sequence by sequence, and
+    their number in each.
 
     Round by round every sequence applies its lowest-rank pair at all its
     places at once (left to right where places overlap, as in ``a a a``);
@@ -76,10 +77,10 @@ def surviving_symbols(syms: np.ndarray, lens: np.ndarray, ranks: PairRanks,
     a rank to the symbol that its merge makes.
     """
     n = len(lens)
-    counts = lens.astype(np.int64)
     seq = np.repeat(np.arange(n, dtype=np.int32), lens)
     syms = syms.astype(np.int32)
     rank = adjacent_ranks(syms, seq, ranks)
+    left, of = [], []
     while syms.size:
         first = np.flatnonzero(np.concatenate(([True], seq[1:] != seq[:-1])))
         best = np.minimum.reduceat(rank, first)
@@ -87,6 +88,8 @@ def surviving_symbols(syms: np.ndarray, lens: np.ndarray, ranks: PairRanks,
         live = best != NO_MERGE
         if not live.all():
             keep = np.repeat(live, size)
+            left.append(syms[~keep])
+            of.append(seq[~keep])
             syms, seq, rank = syms[keep], seq[keep], rank[keep]
             best, size = best[live], size[live]
             if not syms.size:
@@ -98,7 +101,6 @@ def surviving_symbols(syms: np.ndarray, lens: np.ndarray, ranks: PairRanks,
             run = np.maximum.accumulate(np.where(np.concatenate(([True], ~close)), order, 0))
             at = at[(order - run) % 2 == 0]
         syms[at] = merged[rank[at]]
-        counts -= np.bincount(seq[at], minlength=n)
         keep = np.ones(len(syms), bool)
         keep[at + 1] = False
         place = np.cumsum(keep)[at] - 1
@@ -110,4 +112,14 @@ def surviving_symbols(syms: np.ndarray, lens: np.ndarray, ranks: PairRanks,
         fresh = ranks(syms[again], syms[again + 1])
         fresh[seq[again] != seq[again + 1]] = NO_MERGE
         rank[again] = fresh
-    return counts
+    if not left:
+        return np.zeros(0, np.int32), np.zeros(n, np.int64)
+    of = np.concatenate(of)
+    return (np.concatenate(left)[np.argsort(of, kind="stable")],
+            np.bincount(of, minlength=n).astype(np.int64))
+
+
+def surviving_symbols(syms: np.ndarray, lens: np.ndarray, ranks: PairRanks,
+                      merged: np.ndarray) -> np.ndarray:
+    """Number of symbols that each sequence has after all merges."""
+    return merged_symbols(syms, lens, ranks, merged)[1]

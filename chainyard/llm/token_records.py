@@ -104,7 +104,7 @@ def write_token_records(docs: DataFrame, path: str, tokenizer: str, end_id: int,
                 files.create_dir(folder, recursive=True)
                 name = f"{shard:06d}-{uuid.uuid4().hex[:12]}"
                 out = files.open_output_stream(f"{folder}/{name}.rec")
-            found = encoder(tokenizer).encode(batch.column(1).to_pylist())
+            found = encoder(tokenizer).encode(batch.column(1))
             ids = [np.append(x, x.dtype.type(end_id)) for x in found]
             for frame in frames(list(map(serialize, batch.column(0).to_pylist(), ids))):
                 out.write(frame)
