@@ -22,8 +22,9 @@ import pyarrow.compute as pc
 from chainyard.llm.ragged_bpe import PairRanks, merged_symbols
 from chainyard.llm.token_counts import byte_symbols
 
-#: Chunks that a worker remembers; beyond, the half that occurs in most batches stays.
-MEMORY = 400_000
+#: Chunks that a worker remembers (some 50 bytes each); beyond, the half that occurs
+#: in most batches stays.
+MEMORY = 1_000_000
 #: Stands between chunks: a numeral that no pattern joins with its neighbours.
 BETWEEN = "↉"
 #: Chunks that the library itself splits: separators on which patterns differ,
@@ -37,6 +38,14 @@ def gathered(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lens), lens) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+def _bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of strings in bytes, and their bytes one after another (as those
+    of arrays that a kernel has just made lie)."""
+    size = pc.binary_length(strings).to_numpy().astype(np.int64)
+    total = int(size.sum())
+    return size, np.frombuffer(strings.buffers()[2], np.uint8, total) if total else np.zeros(0, np.uint8)
+
+
 class Runs:
     """Runs of ids, by number."""
 
@@ -167,20 +176,27 @@ class ChunkEncoder:
         lens, parts = np.zeros(len(new), np.int64), []
         for on, ids_of in groups:
             if on.any():
-                ids, lens[on] = ids_of(new.filter(pa.array(on)).to_pylist())
+                ids, lens[on] = ids_of(new.filter(pa.array(on)))
                 parts.append((on, ids))
         whole = np.zeros(int(lens.sum()), self.dtype)
         for on, ids in parts:
             whole[np.repeat(on, lens)] = ids
         self.known.add(whole, lens)
 
-    def _by_library(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    def _by_library(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks.to_pylist(),
+                                                                 add_special_tokens=False)]
         return (np.array([i for ids in found for i in ids], self.dtype),
                 np.array(list(map(len, found)), np.int64))
 
-    def _by_words(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        normal = "\n".join(chunks) + "\n"  # no chunk holds a line feed
+    def _by_words(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        # each chunk and a line feed, which no chunk holds
+        size, data = _bytes_of(chunks)
+        joined = np.full(len(data) + len(chunks), ord("\n"), np.uint8)
+        own = np.ones(len(joined), bool)
+        own[np.cumsum(size + 1) - 1] = False
+        joined[own] = data
+        normal = joined.tobytes().decode()
         if self.lowers and normal.isascii():
             # no white space and no marks to compose: letters change by their case alone
             normal = normal.lower().replace("\n", BETWEEN)
@@ -191,9 +207,7 @@ class ChunkEncoder:
         coded = pa.array(self.pattern.findall(normal), pa.large_string()).dictionary_encode()
         at, words = coded.indices.to_numpy(), coded.dictionary
         between = pc.index(words, BETWEEN).as_py()
-        size = pc.binary_length(words).to_numpy()
-        # a fresh dictionary's bytes lie one after another
-        data = np.frombuffer(words.buffers()[2], np.uint8, int(size.sum()))
+        size, data = _bytes_of(words)
         syms, ends = self.inner[data], np.cumsum(size) - 1
         syms[ends] = self.last[data[ends]]
         ids, lens = merged_symbols(syms, size, self.ranks, self.merged)
