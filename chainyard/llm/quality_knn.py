@@ -9,7 +9,7 @@ its ``NEIGHBOURS`` nearest vote with their similarities as weights.
 
 The labelled texts are a bounded sample: of each class the
 ``MAX_PER_CLASS`` documents with the smallest hash, out of all that may be
-learnt from.  So model and broadcast are bounded whatever the input.
+learnt from; votes count by how many documents of its class each stands for.  So model and broadcast are bounded whatever the input.
 Scoring covers all rows and whole texts.
 
 Defined results: a NULL or empty text scores the labelled share of class 1;
@@ -96,9 +96,11 @@ def terms(text: str) -> np.ndarray:
 class Model:
     """Latent vectors of labelled texts, with the projection of others."""
 
-    def __init__(self, matrix: np.ndarray, labels: np.ndarray):
+    def __init__(self, matrix: np.ndarray, labels: np.ndarray, shares: np.ndarray | None = None):
+        """``shares``: how many documents of its class each row stands for."""
         n = len(matrix)
-        self.prior = float(labels.mean()) if n else 1.0
+        shares = np.ones(n) if shares is None else shares
+        self.prior = float(labels @ shares / shares.sum()) if n else 1.0
         self.empty = n == 0
         if self.empty:
             return
@@ -109,6 +111,7 @@ class Model:
         self.projection = np.ascontiguousarray(vectors[:, ::-1][:, :DIMENSIONS], np.float32)
         self.vectors, known = self._latent(matrix)
         self.vectors, self.labels = self.vectors[known], labels[known].astype(np.float64)
+        self.shares = shares[known]
         self.empty = not known.any()
 
     def _latent(self, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,6 +127,7 @@ class Model:
         k = min(NEIGHBOURS, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
         weight = np.exp(SHARP * (np.take_along_axis(cosine, near, 1).astype(np.float64) - 1))
+        weight = weight * self.shares[near]
         vote = (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
         return np.where(known, vote, self.prior)
 
@@ -135,8 +139,9 @@ def held_out(key: str) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
-                    ) -> DataFrame:
-    """label and text of at most ``MAX_PER_CLASS`` documents of each class."""
+                    ) -> tuple[DataFrame, dict[int, int]]:
+    """label and text of at most ``MAX_PER_CLASS`` documents of each class, and how
+    many documents each class has."""
     agreed = (labels.filter(F.col(label).isin(0, 1) & ~held_out(key))
               .groupBy(F.col(key).alias("k")).agg(F.min(label).alias("y"), F.max(label).alias("z"))
               .filter("y = z").select("k", "y"))
@@ -146,7 +151,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     both = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * MAX_PER_CLASS rows
     texts = docs.select(F.col(key).alias("k"), text_or_empty(text).alias("t"))
     # a repeated key teaches one text
-    return texts.join(both, "k").groupBy("k", "y").agg(F.min("t").alias("t"))
+    classes = {r["y"]: r["count"] for r in there.groupBy("y").count().collect()}
+    return texts.join(both, "k").groupBy("k", "y").agg(F.min("t").alias("t")), classes
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
@@ -157,10 +163,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def term_bytes(batch: pa.Array) -> pa.Array:
         return pa.array([terms(t).tobytes() for t in batch.to_pylist()], pa.binary())
 
-    sample = labelled_sample(docs, labels, key, text, label)
+    sample, classes = labelled_sample(docs, labels, key, text, label)
     rows = sorted(sample.select("k", "y", term_bytes("t").alias("x")).collect())
     matrix = np.frombuffer(b"".join(r.x for r in rows), np.float32).reshape(-1, WIDTH)
-    return Model(matrix, np.array([r.y for r in rows], np.float64))
+    y = np.array([r.y for r in rows], np.float64)
+    # each sampled text stands for as many as its class has for each of the sample,
+    # so that the classes weigh alike at every size of the input
+    shares = np.array([classes[int(c)] / (y == c).sum() for c in y])
+    return Model(matrix, y, shares)
 
 
 def scores(model: Model, docs: DataFrame, text: str = "text") -> Column:

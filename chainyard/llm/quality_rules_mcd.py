@@ -55,14 +55,15 @@ ESTIMATES = "g string, start int, det double, mean array<double>, precision arra
 
 
 def with_statistics(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``name`` of the texts' statistics."""
+    """``docs`` with a struct column ``name`` of the texts' statistics, computed once
+    a row: filters on them stay above the function."""
 
     @F.arrow_udf(", ".join(f"{n} long" for n in NAMES))
     def stats(batch: pa.Array) -> pa.Array:
         found = np.array([statistics(t) for t in batch.to_pylist()], np.int64).reshape(-1, 5)
         return pa.StructArray.from_arrays([pa.array(c) for c in found.T], list(NAMES))
 
-    return docs.withColumn(name, stats(text_or_empty(text)))
+    return docs.withColumn(name, stats.asNondeterministic()(text_or_empty(text)))
 
 
 def base_failed(s: str, min_words: int = 50, max_repeat_percent: int = 50) -> Column:

@@ -7,7 +7,7 @@ follows from a hash keyed by the seed over the row's key and the candidate's
 span, so a segmentation is repeatable and differs by seed, row and place.
 No piece joins a character and a blank after it, so words are merged apart:
 all words of a batch are ragged numpy arrays, and each round takes every
-word's next agenda item.  Characters without a piece fall back to bytes.
+word's next agenda item; a long word has a heap, with the same result.  Characters without a piece fall back to bytes.
 
 Decoding joins pieces and bytes and drops the blank in front that the model
 adds; every segmentation of a text decodes to that text.  (The character
@@ -20,6 +20,7 @@ result; other columns are ignored.  Texts are never cut.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,6 +36,8 @@ from chainyard.llm.ragged_bpe import NO_MERGE, PairRanks
 BLANK = "▁"
 #: Characters that are merged at once.
 AT_ONCE = 400_000
+#: Characters beyond which a word (a text without blanks) has an agenda of its own.
+LONG_WORD = 512
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -57,6 +60,20 @@ def skipped(seed: int, key: np.ndarray, start: np.ndarray, middle: np.ndarray,
     return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout
 
 
+def _mixed(h: int) -> int:
+    h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) & (2**64 - 1)
+    h = ((h ^ (h >> 27)) * 0x94D049BB133111EB) & (2**64 - 1)
+    return h ^ (h >> 31)
+
+
+def drawn(seed: int, *parts: int) -> float:
+    """The number that ``skipped`` compares with the dropout, for one candidate."""
+    h = seed & (2**64 - 1)
+    for part in parts:
+        h = _mixed((h * 0x9E3779B97F4A7C15 + part) & (2**64 - 1))
+    return (h >> 11) * 2.0**-53
+
+
 class PieceModel:
     """Pieces and merges of a SentencePiece BPE model with byte fallback."""
 
@@ -92,6 +109,8 @@ class PieceModel:
         # pieces of equal score share a rank; places decide between them
         self.rank = np.unique(cost, return_inverse=True)[1].astype(np.int32)
         self.pairs = PairRanks(left, right, np.arange(len(left), dtype=np.int32), len(symbol) + 1)
+        self.pair_of = {a * len(symbol) + b: k for k, (a, b) in
+                        enumerate(zip(left.tolist(), right.tolist()))}
         self.text_of = [b""] * n
         for p, i in plain.items():
             self.text_of[i] = p.replace(BLANK, " ").encode()
@@ -161,6 +180,17 @@ class PieceModel:
 
         pair = ranked(np.arange(n))
         rank = np.where(pair == NO_MERGE, NO_MERGE, self.rank[np.minimum(pair, len(self.rank) - 1)])
+        if n:
+            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            size = np.diff(np.append(first, n))
+            for a in np.flatnonzero(size > LONG_WORD).tolist():
+                a, b = int(first[a]), int(first[a] + size[a])
+                own = int(starts[row[a]])
+                final[a:b] = self._agenda(syms[a:b].tolist(), pair[a:b].tolist(), a - own,
+                                          int(keys[row[a]]), seed, dropout)
+            keep = np.repeat(size <= LONG_WORD, size)
+            syms, word, place = syms[keep], word[keep], place[keep]
+            pair, rank = pair[keep], rank[keep]
         while len(syms):
             first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
             size = np.diff(np.append(first, len(syms)))
@@ -189,6 +219,32 @@ class PieceModel:
                                    self.rank[np.minimum(pair[again], len(self.rank) - 1)])
         return final
 
+    def _agenda(self, syms: list[int], pairs: list[int], offset: int, key: int, seed: int,
+                dropout: float) -> list[int]:
+        """The symbols of one long word, by a heap of its candidates: one step
+        for each merge, where rounds would pass over the whole word."""
+        n = len(syms)
+        after, before, stop = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
+        rank, made, n_symbols = self.rank.tolist(), self.made.tolist(), self.unknown
+        agenda = [(rank[p], i, i + 1, i + 2, p) for i, p in enumerate(pairs) if p != NO_MERGE]
+        heapq.heapify(agenda)
+        while agenda:
+            _, i, j, end, p = heapq.heappop(agenda)
+            if syms[i] < 0 or after[i] != j or syms[j] < 0 or stop[j] != end:
+                continue  # one of both has been merged since
+            syms[i], syms[j], stop[i], after[i] = made[p], -1, end, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for a in (before[i], i):
+                b = after[a] if a >= 0 else n
+                if b >= n or n_symbols in (syms[a], syms[b]):
+                    continue
+                p = self.pair_of.get(syms[a] * n_symbols + syms[b])
+                if p is not None and not (dropout > 0 and drawn(
+                        seed, key, offset + a, offset + b, offset + stop[b]) < dropout):
+                    heapq.heappush(agenda, (rank[p], a, b, stop[b], p))
+        return syms
+
     def _with_bytes(self, ids, at, chars) -> tuple[np.ndarray, np.ndarray]:
         """Ids with the bytes of characters that have no piece."""
         lost = ids < 0

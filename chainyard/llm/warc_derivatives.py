@@ -46,16 +46,78 @@ READ = ("key long, type string, record_id string, refers_to string, target_uri s
         "payload_digest string, block_digest string, n_bytes long, sound boolean")
 MANIFEST = "file string, n_records long"
 
-HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)",
-                    re.S | re.I)
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-CHARSET = re.compile(r"<meta\b[^>]*?\bcharset\s*=\s*[\"']?([\w-]+)", re.I)
-BREAKS = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|"
-                    r"footer|form|h[1-6]|head|header|hr|li|main|nav|ol|p|pre|section|table|td|th|"
-                    r"title|tr|ul)\b[^>]*>", re.I)
-TAGS = re.compile(r"<[A-Za-z/!?][^>]*>")
+#: Elements whose content is not shown, and those that begin or end a line.
+HIDDEN = {"script", "style", "noscript", "template"}
+BREAKS = set("address article aside blockquote body br dd div dl dt fieldset figure footer form "
+             "h1 h2 h3 h4 h5 h6 head header hr li main nav ol p pre section table td th title tr "
+             "ul".split())
+NAME = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*(?:[-:.][A-Za-z0-9]+)*)|<[/!?]")
+#: A tag without quotes and such.
+PLAIN = re.compile(NAME.pattern.partition("|<[")[0] + "[^<>\"']*>")
+STOPS = re.compile("[\"'>]")
+HREF = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+LANGUAGE = re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
+CHARSET = re.compile(r"\bcharset\s*=\s*[\"']?([\w-]+)", re.I)
+
+
+def _tag_end(markup: str, at: int, quotes: bool) -> int:
+    """The place after a tag's '>', which may also stand in quotes; 0 if none."""
+    while True:
+        found = STOPS.search(markup, at) if quotes else None
+        at = found.start() if found else (-1 if quotes else markup.find(">", at))
+        if at < 0:
+            return 0
+        if markup[at] == ">":
+            return at + 1
+        at = markup.find(markup[at], at + 1) + 1
+        if not at:
+            return 0
+
+
+def scanned(markup: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name, source) of a page's parts in order: text, open, close, other
+    (a declaration) and hidden ones (comments, and elements that are not shown).
+
+    One pass forward: whatever is left open, no part is looked at again.  Once
+    a tag's quotes do not close, quotes count no more; without a '>' to come, the
+    rest is text."""
+    at, quotes, n = 0, True, len(markup)
+    while at < n:
+        start = markup.find("<", at)
+        if start < 0:
+            yield "text", "", markup[at:]
+            return
+        if start > at:
+            yield "text", "", markup[at:start]
+        if markup.startswith("<!--", start):
+            end = markup.find("-->", start + 4)
+            at = n if end < 0 else end + 3
+            yield "hidden", "", ""
+            continue
+        whole = PLAIN.match(markup, start)
+        if whole is not None and whole[2].lower() not in HIDDEN:
+            yield "close" if whole[1] else "open", whole[2].lower(), whole[0]
+            at = whole.end()
+            continue
+        name = NAME.match(markup, start)
+        if name is None:
+            yield "text", "", "<"
+            at = start + 1
+            continue
+        end = _tag_end(markup, name.end(), quotes)
+        if not end and quotes:
+            quotes, end = False, _tag_end(markup, name.end(), False)
+        kind = (name[2] or "").lower()
+        if kind in HIDDEN and not name[1]:
+            close = re.compile(rf"</{kind}\s*>", re.I).search(markup, end or n)
+            at = close.end() if close else n
+            yield "hidden", kind, ""
+            continue
+        if not end:
+            yield "text", "", markup[start:]
+            return
+        yield ("other" if not kind else "close" if name[1] else "open"), kind, markup[start:end]
+        at = end
 
 
 def digest(data: bytes) -> str:
@@ -66,29 +128,59 @@ def derived_id(kind: str, source: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(SPACE, f'{kind} {source}')}>"
 
 
-def plain_text(markup: str) -> str:
-    """Visible text, a line for each block."""
-    shown = TAGS.sub("", BREAKS.sub("\n", HIDDEN.sub(" ", markup)))
-    lines = (" ".join(line.split()) for line in html.unescape(shown).split("\n"))
+def plain_text(markup: str, parts: list | None = None) -> str:
+    """Visible text, a line for each block (of the page's ``parts``, if known)."""
+    shown = []
+    for kind, name, source in scanned(markup) if parts is None else parts:
+        if kind in ("text", "hidden"):
+            shown.append(source if kind == "text" else " ")
+        elif name in BREAKS:
+            shown.append("\n")
+    lines = (" ".join(line.split()) for line in html.unescape("".join(shown)).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
-def metadata(markup: str, headers: str, payload_digest: str) -> str:
+def _clean(text: str) -> str:
+    return " ".join(html.unescape(text).split())
+
+
+def metadata(markup: str, headers: str, payload_digest: str, parts: list | None = None) -> str:
     """Fields of a metadata record, with the source's headers."""
-    shown = HIDDEN.sub(" ", markup)
-    fields = []
-    for name, pattern in (("title", TITLE), ("language", LANGUAGE), ("charset", CHARSET)):
-        found = pattern.search(shown)
-        if found:
-            fields.append((name, " ".join(html.unescape(TAGS.sub("", found[1])).split())))
-    for groups in LINK.findall(shown):
-        link = " ".join(html.unescape("".join(groups)).split())
-        fields.append(("outlink", link))
+    found, links, title = {}, [], None
+    for kind, name, source in scanned(markup) if parts is None else parts:
+        if name == "title" and "title" not in found:
+            if kind == "close" and title is not None:
+                found["title"] = _clean("".join(title))
+            elif kind == "open" and title is None:
+                title = []
+        elif kind in ("text", "hidden") and title is not None and "title" not in found:
+            title.append(source or " ")
+        elif kind == "open" and name == "a":
+            link = HREF.search(source)
+            if link:
+                links.append(_clean(link[1] or link[2] or link[3] or ""))
+        elif kind == "open" and name in ("html", "meta"):
+            field, pattern = ("language", LANGUAGE) if name == "html" else ("charset", CHARSET)
+            value = pattern.search(source)
+            if value and field not in found:
+                found[field] = value[1]
+    fields = [(n, found[n]) for n in ("title", "language", "charset") if n in found]
+    fields += [("outlink", link) for link in links]
     fields += [("source-payload-digest", payload_digest)]
     fields += [("source-header", line) for line in headers.split("\r\n") if line]
     return "".join(f"{n}: {v}\r\n" for n, v in fields)
 
 
+def decoded(payload: bytes, headers: str) -> str:
+    """A payload's text by the character set that its headers name, else UTF-8;
+    what a page says of itself comes after its headers and is only reported."""
+    named = CHARSET.search(headers)
+    try:
+        return payload.decode(named[1] if named else "utf-8", "replace")
+    except (LookupError, ValueError):
+        return payload.decode("utf-8", "replace")
+
+
 def warc_header(fields: list[tuple[str, str]]) -> str:
     return "WARC/1.1\r\n" + "".join(f"{n}: {v}\r\n" for n, v in fields) + "\r\n"
 
@@ -113,9 +205,10 @@ def responses(pages: DataFrame, date: str, key: str = "page_id", url: str = "url
 def derive_row(row: dict) -> list[dict]:
     """The metadata and the conversion record of a response."""
     source, payload = row["record_id"], row["payload"] or b""
-    markup, own = payload.decode("utf-8", "replace"), digest(payload)
-    meta = metadata(markup, row["headers"] or "", own).encode()
-    text = plain_text(markup).encode()
+    markup, own = decoded(payload, row["headers"] or ""), digest(payload)
+    parts = list(scanned(markup))
+    meta = metadata(markup, row["headers"] or "", own, parts).encode()
+    text = plain_text(markup, parts).encode()
     ids = {k: derived_id(k, source) for k in ("metadata", "conversion")}
     out = []
     for kind, block, content in (("metadata", meta, "application/warc-fields"),

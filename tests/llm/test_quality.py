@@ -150,6 +150,17 @@ def labels(spark):
     return spark.createDataFrame(made, "doc_id long, quality int, toxic int")
 
 
+def test_classes_weigh_alike_whatever_the_sample(spark, monkeypatch):
+    from chainyard.llm import quality_knn as K
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('text ', id, if(id % 8 = 0, ' ###', ' yes')) as text")
+    made = spark.range(400).selectExpr("id as doc_id", "cast(id % 8 > 0 as int) as quality")
+    whole = K.fit(docs, made)
+    monkeypatch.setattr(K, "MAX_PER_CLASS", 20)
+    part = K.fit(docs, made)
+    assert len(part.labels) == 40 and abs(part.prior - whole.prior) < 1e-9
+    assert abs(part.shares[part.labels == 1].sum() / part.shares.sum() - whole.labels.mean()) < 1e-9
+
+
 def test_classifier_of_odd_rows(spark, docs, no_docs, clashing, labels):
     for df in (docs, clashing):
         got = classify(df, labels).collect()

@@ -146,3 +146,87 @@ def test_registered_derivatives(spark):
     got = Q.op6_warc_derivatives(spark, SMALL).collect()
     pages = spark.read.parquet(f"{SMALL}/pages.parquet").count()
     assert len(got) == 2 * pages and all(r.sound for r in got)
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<title>", "<a href=\"", "<html lang ", "<!--", "<script>",
+                                   "</script ", "<", "<b '\">", "<a href=' ", "&", "<meta charset="])
+def test_markup_left_open_takes_time_in_proportion(piece):
+    import time
+    spent = []
+    for n in (20_000, 200_000):
+        markup = (piece * n)[:n * 2]
+        start = time.process_time()
+        C.plain_text(markup)
+        C.metadata(markup, "", "")
+        spent.append(time.process_time() - start)
+    assert spent[1] < 40 * max(spent[0], 0.01)
+
+
+class Page:
+    """Title, language, charset, links and text lines by the standard parser."""
+
+    def __init__(self, markup):
+        from html.parser import HTMLParser
+        page, self.links, self.found, self.shown = self, [], {}, []
+        self.title, self.hidden = None, []
+
+        class Parser(HTMLParser):
+            CDATA_CONTENT_ELEMENTS = ("script", "style")
+
+            def handle_starttag(self, tag, attrs):
+                attrs = dict(attrs)
+                if page.hidden:
+                    page.hidden += [tag] * (tag == page.hidden[0])
+                elif tag in C.HIDDEN:
+                    page.hidden.append(tag)
+                    page.shown.append(" ")
+                elif tag == "a" and "href" in attrs:
+                    page.links.append(" ".join((attrs["href"] or "").split()))
+                elif tag == "title" and page.title is None:
+                    page.title = []
+                for name, at, of in (("language", "lang", "html"), ("charset", "charset", "meta")):
+                    if tag == of and attrs.get(at):
+                        page.found.setdefault(name, attrs[at])
+                page.shown += ["\n"] * (tag in C.BREAKS and not page.hidden)
+
+            def handle_endtag(self, tag):
+                if page.hidden:
+                    page.hidden = [] if tag == page.hidden[0] else page.hidden
+                    return
+                if tag == "title" and page.title is not None:
+                    page.found.setdefault("title", " ".join("".join(page.title).split()))
+                page.shown += ["\n"] * (tag in C.BREAKS)
+
+            def handle_data(self, data):
+                if not page.hidden:
+                    page.shown.append(data)
+                    if page.title is not None and "title" not in page.found:
+                        page.title.append(data)
+
+            def handle_comment(self, data):
+                page.shown.append(" ")
+
+        parser = Parser(convert_charrefs=True)
+        parser.feed(markup)
+        parser.close()
+        lines = (" ".join(x.split()) for x in "".join(self.shown).split("\n"))
+        self.text = "\n".join(x for x in lines if x)
+
+
+def test_pages_equal_the_standard_parser(spark):
+    from chainyard.llm.common import table
+    for r in table(spark, "/root/testdata/sf0.01", "pages").collect():
+        want = Page(r.html or "")
+        assert C.plain_text(r.html or "") == want.text, r.page_id
+        fields = [x.split(": ", 1) for x in C.metadata(r.html or "", "", "").split("\r\n")[:-2]]
+        assert [v for n, v in fields if n == "outlink"] == want.links
+        assert {n: v for n, v in fields if n != "outlink"} == want.found
+
+
+def test_quotes_open_tags_and_charsets():
+    page = "<a title='x > y' HREF=/z>in</a><p>a < b<br/>c &lt; d<i title=\"open>e</i><p>f<q"
+    assert C.plain_text(page) == "in\na < b\nc < de\nf<q"
+    assert "outlink: /z" in C.metadata(page, "", "")
+    assert C.decoded("é".encode("latin-1"), "Content-Type: text/html; charset=ISO-8859-1") == "é"
+    assert C.decoded("é".encode(), "Content-Type: text/html; charset=no-such") == "é"
+    assert C.decoded("é".encode(), "") == "é"

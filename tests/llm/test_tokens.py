@@ -276,6 +276,25 @@ def test_pieces_equal_the_library_and_the_agenda():
     assert max(map(len, model.encode([1], ["hello there"], 7, 1.0))) == 12
 
 
+def test_long_words_have_the_same_pieces():
+    import random
+    import time
+    rng, model = random.Random(3), PieceModel(PIECE)
+    texts = ["".join(rng.choice("abcdeinrst") for _ in range(n)) + " after " + "é漢" * 400 for n in (600, 3000)]
+    for dropout in (0.0, 0.1):
+        got = model.encode([5, 6], texts, 9, dropout)
+        assert [x.tolist() for x in got] == [slow_pieces(model, k, t, 9, dropout)
+                                             for k, t in zip((5, 6), texts)]
+        assert [model.decode(x) for x in got] == texts
+    spent = []
+    for n in (20_000, 200_000):
+        text = "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(n))
+        start = time.process_time()
+        assert model.decode(model.encode([1], [text], 9, 0.1)[0]) == text
+        spent.append((time.process_time() - start) / n)
+    assert spent[1] < 3 * spent[0] + 1e-5  # in proportion
+
+
 def test_sentencepiece_of_odd_rows(spark, docs, no_docs, clashing):
     model = PieceModel(PIECE)
     want = collections.Counter(
