@@ -100,7 +100,7 @@ class Places:
     """Documents' places on the line of centres, by their weighted terms."""
 
     def __init__(self, idf: np.ndarray, sample: list[np.ndarray], most: int):
-        self.idf = idf.astype(np.float32)
+        self.squared = np.square(idf.astype(np.float32))
         self._axes = None
         x = self.vectors(sample)
         rng = np.random.default_rng(1)
@@ -119,11 +119,12 @@ class Places:
     def vectors(self, docs: list[np.ndarray]) -> np.ndarray:
         if self._axes is None:  # drawn again in each worker: the same numbers
             rng = np.random.default_rng(0)
-            self._axes = rng.standard_normal((len(self.idf), WIDTH), np.float32)
+            self._axes = rng.standard_normal((len(self.squared), WIDTH), np.float32)
         out = np.zeros((len(docs), WIDTH), np.float32)
         for k, ids in enumerate(docs):
             t, tf = np.unique(ids, return_counts=True)
-            w = self.idf[t] ** 2 * (tf * (K1 + 1) / (tf + K1)).astype(np.float32)
+            tf = tf.astype(np.float32)
+            w = self.squared[t] * tf / (tf + np.float32(K1))
             if len(t) > HEAVIEST:
                 most = np.sort(np.argpartition(-w, HEAVIEST)[:HEAVIEST])
                 t, w = t[most], w[most]
@@ -202,7 +203,16 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2
                 "ids": pa.array(ids, pa.binary())})
 
     def arrays(column) -> list[np.ndarray]:
-        return [np.frombuffer(x, dtype) for x in column.to_pylist()]
+        """Views of a binary column's values; each document has an id at least."""
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        if not len(column):
+            return []
+        column = column.cast(pa.large_binary())
+        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset:][:len(column) + 1]
+        data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(dtype)
+        ends = ((ends - ends[0]) // data.itemsize).tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, sums = np.zeros(1 << 16, np.int64), (0, 0, 0)
