@@ -144,3 +144,40 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(prepared(spark), sf_dir, "embeddings").withColumn("label", label)
     return hard_negatives(rows, F.col("vec_id") % 100 == 0, scale=256)
+
+
+ORACLES["op12_hard_negatives"] = """
+    with part as (
+        select vec_id, if(vec_id % 7 = 0, (label + 1) % 10, label) as label,
+               [cast(floor(256 * cast(c as double)) as bigint) for c in embedding] as x
+        from embeddings
+        where vec_id is not null and label is not null and embedding is not null
+          and len([c for c in embedding if c is null or not isfinite(c)]) = 0),
+    scored as (
+        select a.vec_id as anchor_id, a.label = b.label as alike, b.vec_id as other,
+               cast(list_sum([p[1] * p[2] for p in list_zip(a.x, b.x)]) as bigint) as score
+        from part a join part b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+    positive as (
+        select anchor_id, other as positive_id, score as positive_score from scored where alike
+        qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+    select anchor_id, positive_id, other as negative_id, positive_score, score as negative_score,
+           cast(row_number() over (partition by anchor_id, positive_id order by score desc, other)
+                as integer) as rank
+    from positive join scored using (anchor_id)
+    where not alike and 80 * positive_score <= 100 * score and score <= positive_score
+    qualify rank <= 5"""
+
+ORACLES["op13_embedding_near_duplicates"] = """
+    with recursive part as (
+        select vec_id, [cast(c as double) for c in embedding] as v from embeddings
+        where len([c for c in embedding if c is null or not isfinite(c)]) = 0
+          and len([c for c in embedding if c <> 0]) > 0),
+    link as (
+        select a.vec_id as one, b.vec_id as other from part a join part b
+          on a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.95),
+    reach as (
+        select vec_id as start, vec_id as there from embeddings
+        union select start, other from reach join link on there = one)
+    select vec_id, coalesce(n, 0) as n_links, component_id, component_id = vec_id as kept
+    from (select start as vec_id, min(there) as component_id from reach group by start)
+    left join (select one as vec_id, count(*) as n from link group by one) using (vec_id)"""
