@@ -48,11 +48,43 @@ DENSE = 0.1
 #: and most centres.
 WIDTH, HEAVIEST, SAMPLE, SAMPLE_IDS, CENTRES = 128, 64, 4096, 4096, 1024
 ROUNDS = 8
+#: Ids whose terms are counted at once, at least one document's.
+COUNTED_IDS = 1 << 20
 
 PIECES = ("{key} {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids array<long>")
 
 
+def counted_terms(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms of each document in order, one after another, their numbers of
+    occurrences, and where each document's begin (and the last one's end)."""
+    lens = np.array([len(ids) for ids in docs], np.int64)
+    flat = np.concatenate(docs)
+    narrow = flat.dtype.itemsize <= 2 and len(docs) <= 1 << 16
+    kind, shift = (np.uint32, 16) if narrow else (np.uint64, 32)
+    # one sort by document and term
+    pairs = np.repeat(np.arange(len(docs), dtype=kind) << kind(shift), lens)
+    pairs |= flat.astype(kind)
+    pairs.sort()
+    first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+    pairs, times = pairs[first], np.diff(np.append(first, len(flat)))
+    begins = np.searchsorted(pairs, np.arange(len(docs), dtype=kind) << kind(shift))
+    return ((pairs & kind((1 << shift) - 1)).astype(np.int64), times,
+            np.append(begins, len(pairs)))
+
+
+def blocks_of(docs: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Runs of documents with some ``COUNTED_IDS`` ids, as their ends."""
+    at, ids = 0, 0
+    for k, d in enumerate(docs):
+        ids += len(d)
+        if ids >= COUNTED_IDS:
+            yield at, k + 1
+            at, ids = k + 1, 0
+    if at < len(docs):
+        yield at, len(docs)
+
+
 class Bm25Index:
     """Inverted index of a shard: postings by term, with their BM25 weights.
     Terms of more than ``DENSE`` of the documents are rows of a matrix instead."""
@@ -61,11 +93,9 @@ class Bm25Index:
                  mean: float | None = None):
         """``idf`` by term and ``mean`` length of the whole input, else of ``docs``."""
         n = len(docs)
-        parts = [np.unique(ids, return_counts=True) for ids in docs]
-        self.terms = [t for t, _ in parts]
-        doc = np.repeat(np.arange(n), [len(t) for t in self.terms])
-        term = np.concatenate([t for t, _ in parts]).astype(np.int64)
-        tf = np.concatenate([c for _, c in parts]).astype(np.float64)
+        term, tf, begins = counted_terms(docs)
+        self.terms = [term[a:b] for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())]
+        doc, tf = np.repeat(np.arange(n), np.diff(begins)), tf.astype(np.float64)
         length = np.array([len(ids) for ids in docs], np.float64)
         order = np.argsort(term, kind="stable")
         self.doc, term, tf = doc[order], term[order], tf[order]
@@ -85,7 +115,7 @@ class Bm25Index:
 
     def scores(self, seed: int) -> np.ndarray:
         """The BM25 score of every document for the seed's distinct terms."""
-        terms = self.terms[seed].astype(np.int64)
+        terms = self.terms[seed]
         row = self.row[terms]
         asked = np.zeros(len(self.common))
         asked[row[row >= 0]] = 1.0
@@ -121,14 +151,16 @@ class Places:
             rng = np.random.default_rng(0)
             self._axes = rng.standard_normal((len(self.squared), WIDTH), np.float32)
         out = np.zeros((len(docs), WIDTH), np.float32)
-        for k, ids in enumerate(docs):
-            t, tf = np.unique(ids, return_counts=True)
+        for first, end in blocks_of(docs):
+            term, tf, begins = counted_terms(docs[first:end])
             tf = tf.astype(np.float32)
-            w = self.squared[t] * tf / (tf + np.float32(K1))
-            if len(t) > HEAVIEST:
-                most = np.sort(np.argpartition(-w, HEAVIEST)[:HEAVIEST])
-                t, w = t[most], w[most]
-            out[k] = w @ self._axes[t]
+            weight = self.squared[term] * tf / (tf + np.float32(K1))
+            for k, (a, b) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist()), first):
+                t, w = term[a:b], weight[a:b]
+                if b - a > HEAVIEST:
+                    most = np.argpartition(w, b - a - HEAVIEST)[b - a - HEAVIEST:]
+                    t, w = t[most], w[most]
+                out[k] = w @ self._axes[t]
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
     def cells(self, docs: list[np.ndarray]) -> np.ndarray:
@@ -220,10 +252,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2
             docs = arrays(batch.column("ids"))
             if not docs:
                 continue
-            terms = np.concatenate([np.unique(x) for x in docs])
-            if int(terms.max()) >= len(df):
-                df = np.append(df, np.zeros(int(terms.max()) + 1 - len(df), np.int64))
-            df += np.bincount(terms, minlength=len(df))
+            for a, b in blocks_of(docs):
+                found = np.bincount(counted_terms(docs[a:b])[0], minlength=len(df))
+                found[:len(df)] += df
+                df = found
             chars = sum(batch.column("chars").to_pylist())
             own = (len(docs), sum(map(len, docs)), chars)
             sums = tuple(a + b for a, b in zip(sums, own))
