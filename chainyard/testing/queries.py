@@ -986,6 +986,60 @@ def _validate_damaged_copy(w):
         "checksum_passed", "col_stats_passed")
 
 
+_SALE_DATA = ("transaction_id, store_id, product_id, quantity_sold, unit_price, discount_pct, "
+              "sale_amount, transaction_timestamp")
+_DAMAGED_SALES = f"""
+    damaged as (
+        select * replace (case when store_id like '%13' then quantity_sold + 1
+                               else quantity_sold end as quantity_sold)
+        from (select {_SALE_DATA} from raw_sales)
+        where not (product_id like '%77' and quantity_sold > 45)
+        union all
+        select {_SALE_DATA} from raw_sales where store_id like '%31' and quantity_sold = 1),
+    sound as (select {_SALE_DATA} from raw_sales)"""
+
+
+def _damaged_sales(w):
+    """Sales and a copy of them with rows lost, changed and landed twice."""
+    from pyspark.sql import functions as F
+    from chainyard.testing import fixtures as fx
+    sales = fx.raw_sales(w.spark, w.sf_dir).select(*_SALE_DATA.split(", "))
+    kept = sales.filter("not (product_id like '%77' and quantity_sold > 45)")
+    changed = kept.withColumn("quantity_sold", F.expr(
+        "cast(if(store_id like '%13', quantity_sold + 1, quantity_sold) as int)"))
+    return sales, changed.unionByName(sales.filter("store_id like '%31' and quantity_sold = 1"))
+
+
+@register("validate_differing_rows", O.with_models(f"""
+    , {_DAMAGED_SALES.strip()},
+    found as (select 'missing' as finding, * from (select * from sound except all select * from damaged)
+              union all
+              select 'extra', * from (select * from damaged except all select * from sound))
+    select finding, count(*) as copies, {_SALE_DATA} from found group by all"""))
+def _validate_differing_rows(w):
+    """The very rows of a damaged copy that are lost, changed or landed twice."""
+    from chainyard.operators.differences import differing_rows
+    rows = differing_rows(*_damaged_sales(w), part="date_format(transaction_timestamp, 'yyyy-MM')")
+    return rows.select("finding", "copies", *_SALE_DATA.split(", "))
+
+
+@register("validate_differing_months", O.with_models(f"""
+    , {_DAMAGED_SALES.strip()},
+    found as ((select * from sound except all select * from damaged)
+              union all (select * from damaged except all select * from sound)),
+    months as (select distinct strftime(transaction_timestamp, '%Y-%m') as part from found)
+    select part, (select count(*) from sound where strftime(transaction_timestamp, '%Y-%m') = part)
+                     as rows_source,
+           (select count(*) from damaged where strftime(transaction_timestamp, '%Y-%m') = part)
+               as rows_copy
+    from months"""))
+def _validate_differing_months(w):
+    """The months in which a damaged copy differs from its source."""
+    from chainyard.operators.differences import differing_parts
+    return differing_parts(*_damaged_sales(w), part="date_format(transaction_timestamp, 'yyyy-MM')"
+                           ).drop("buckets_differing")
+
+
 # -- history with closed versions on every dimension -------------------------
 for _entity in ("suppliers", "stores", "warehouses"):
     register(f"snap_{_entity}_v2", O.with_models(
