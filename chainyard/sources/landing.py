@@ -6,7 +6,8 @@
   table, each file once: new files = listing ``left_anti`` the log of loads,
   and a load counts from its one log entry on.  Schemas of the files are
   merged by name (new columns appear as NULL on older rows); an unreadable
-  file is logged and leaves the others loaded.
+  file is logged and leaves the others loaded (``damaged_files`` finds them by
+  two scans, however many files there are).
 * ``latest_refresh``: of a static source only the newest full refresh counts.
 """
 
@@ -62,6 +63,66 @@ def load_log(spark: SparkSession, log_path: str) -> DataFrame:
     return spark.read.schema(LOAD_LOG).json(log_path)
 
 
+def damaged_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, error of those of the Parquet files that cannot be read whole.
+
+    A file is sound if a read of all of its columns yields as many rows as its
+    footer counts.  Both reads skip what is damaged: one of no column takes the
+    rows from the footers, one of all columns decodes every page and ends within
+    a file where it is broken, so a file that still yields some rows is found.
+    Files without a row in either are empty or have no readable footer; only
+    their footers are looked at one by one, on the executors.
+
+    A schema in which the files cannot be merged raises.
+    """
+    from pyspark.errors import AnalysisException
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    try:
+        rows = (spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true")
+                .parquet(*paths))
+    except AnalysisException as exc:
+        if exc.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return _without_rows(listed)  # no footer can be read
+    # the scan's paths are written as URIs, in which a plus sign stands for itself
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    counted = rows.select(path.alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n_rows"))
+    # a hash of all columns, so that none is pruned
+    whole = rows.select(path.alias("path"), F.xxhash64(*rows.columns).alias("h")).groupBy("path").agg(
+        F.count("h").alias("n_read"), F.bit_xor("h").alias("h")).select(
+        "path", F.when(F.col("h").isNotNull(), F.col("n_read")).alias("n_read"))
+    found = listed.join(counted, "path", "left").join(whole, "path", "left")
+    broken = [(r.path, r.n_rows, r.n_read or 0) for r in
+              found.filter(~F.col("n_rows").eqNullSafe(F.col("n_read")) | F.col("n_rows").isNull()).collect()]
+    partly = spark.createDataFrame([(p, f"{k} of {n} rows can be read") for p, n, k in broken if n],
+                                   "path string, error string")
+    none = [(p,) for p, n, _ in broken if not n]
+    if not none:
+        return partly
+    return partly.unionByName(_without_rows(spark.createDataFrame(none, "path string")))
+
+
+def _without_rows(files: DataFrame) -> DataFrame:
+    """Those of the files that are not an empty Parquet table, with the reason."""
+    def judged(batches):
+        import io
+        import pyarrow.parquet as pq
+        for batch in batches:
+            errors = []
+            for content in batch["content"]:
+                try:
+                    n = pq.read_metadata(io.BytesIO(content)).num_rows
+                    errors.append(f"0 of {n} rows can be read" if n else None)
+                except Exception as exc:  # noqa: BLE001 - logged, the others load
+                    errors.append(f"no readable footer: {exc}"[:500])
+            yield batch.assign(error=errors)[["path", "error"]]
+
+    spark = files.sparkSession
+    paths = [r.path for r in files.collect()]
+    contents = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return contents.mapInPandas(judged, "path string, error string").filter("error IS NOT NULL")
+
+
 def load_raw(spark: SparkSession, landing: str, raw: str, log_path: str) -> int:
     """Load landed Parquet files not loaded before into ``raw``; returns the
     number of files loaded.
@@ -86,11 +147,9 @@ def load_raw(spark: SparkSession, landing: str, raw: str, log_path: str) -> int:
     try:
         write(paths)
     except Exception:  # noqa: BLE001 - some file is damaged; find which
-        for p in paths:
-            try:
-                spark.read.parquet(p).write.format("noop").mode("overwrite").save()
-            except Exception as exc:  # noqa: BLE001 - logged, the others load
-                errors[p] = str(exc)[:500]
+        errors = {r.path: r.error for r in damaged_files(spark, paths).collect()}
+        if not errors:
+            raise
         good = [p for p in paths if p not in errors]
         if good:
             write(good)

@@ -665,6 +665,34 @@ def _raw_schema_merge_load(w):
     return read_raw(w.spark, f"{root}/raw/shipments", f"{root}/raw/_loaded")
 
 
+@register("raw_load_damaged", O.with_models("""
+    select shipment_id, warehouse_id, store_id, product_id, quantity_shipped, shipment_date,
+           expected_delivery_date, actual_delivery_date, carrier, _ingestion_timestamp, _run_id
+    from raw_shipments where quantity_shipped <= 45"""))
+def _raw_load_damaged(w):
+    """A landing some of whose files are no Parquet: the others load, once."""
+    from pyspark.sql import functions as F
+    from chainyard.sources.landing import land, load_log, load_raw, read_raw
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "raw-damaged")
+    ship = fx.raw_shipments(w.spark, w.sf_dir)
+    land(ship.filter("quantity_shipped <= 45"), f"{root}/landing/shipments")
+    lost = ship.filter("quantity_shipped > 45").select(F.to_json(F.struct("*")).alias("value"))
+    lost.write.option("compression", "none").text(f"{root}/text")
+    jvm, conf = w.spark.sparkContext._jvm, w.spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(conf)
+    parts = [f.getPath() for f in fs.globStatus(path(f"{root}/text/part-*"))]
+    for k, part in enumerate(parts):
+        fs.rename(part, path(f"{root}/landing/shipments/odd-{k}.parquet"))
+    for _ in range(2):
+        load_raw(w.spark, f"{root}/landing", f"{root}/raw", f"{root}/_loaded")
+    found = load_log(w.spark, f"{root}/_loaded").filter("error is not null").select("path").distinct()
+    if found.count() != len(parts):
+        raise AssertionError("not every damaged file was found")
+    return read_raw(w.spark, f"{root}/raw", f"{root}/_loaded")
+
+
 # -- profiles, checksums, read-back validation (A2, A4, Q8-Q13, K10, K11) ----
 _PROFILE_NUMERIC = ("quantity_sold", "unit_price", "discount_pct", "sale_amount")
 _PROFILE_OTHER = ("transaction_id", "store_id", "product_id", "transaction_timestamp",
