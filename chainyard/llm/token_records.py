@@ -17,6 +17,10 @@ lost executors and repeated attempts leave at most unnamed files.
 Defined results: a NULL text is empty and keeps its end id; repeated keys
 keep one record each, ordered by text; an empty table gives a manifest
 without files; other columns are ignored.  Texts are never cut.
+
+Reads are in order (``read_token_records``), by place (``fetch_token_records``)
+or in an order drawn from a seed (``read_shuffled``); the last two fetch single
+records by the index files.
 """
 
 from __future__ import annotations
@@ -42,6 +46,7 @@ HEAD = struct.Struct("<Bq")
 READ_BYTES = 8 << 20
 
 MANIFEST = "shard long, records string, offsets string, n_records long, n_ids long"
+FETCHED = "shard long, record long, {key} long, n_tokens long, ids binary"
 READ_BACK = ("shard long, record long, {key} long, start long, n_tokens long, ids_crc32 long, "
              "ids binary")
 
@@ -173,3 +178,73 @@ def read_token_records(spark: SparkSession, path: str, key: str = "doc_id",
     # a shard's row is tiny, its file is not: a partition for each of the files
     return (shards.repartitionByRange(max(1, shards.count()), "shard")
             .mapInArrow(read, READ_BACK.format(key=key)))
+
+
+def fetch_token_records(pairs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
+    """The records at the places (shard, record) of ``pairs``, verified: shard,
+    record, key, n_tokens and the ids as little-endian bytes.
+
+    A place that is asked for twice is returned twice; other columns are ignored.
+    A place that holds no record, or is NULL, raises.
+    """
+    files = manifest(pairs.sparkSession, path).select("shard", "records", "offsets", "n_records")
+    asked = pairs.select(F.col("shard").cast("bigint").alias("shard"),
+                         F.col("record").cast("bigint").alias("record"))
+    return asked.join(files, "shard", "left").mapInArrow(_fetcher(path, key),
+                                                         FETCHED.format(key=key))
+
+
+def read_shuffled(spark: SparkSession, path: str, seed: int, key: str = "doc_id") -> DataFrame:
+    """Every record once, as ``fetch_token_records``, in an order drawn from the
+    seed: partitions are ranges of a hash of seed and place, rows within follow it."""
+    places = manifest(spark, path).withColumn(
+        "record", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_records") - 1)))
+    draw = F.xxhash64(F.lit(seed).cast("bigint"), "shard", "record")
+    drawn = places.repartitionByRange(draw, "shard", "record").sortWithinPartitions(
+        draw, "shard", "record")
+    return drawn.select("shard", "record", "records", "offsets", "n_records").mapInArrow(
+        _fetcher(path, key), FETCHED.format(key=key))
+
+
+def _fetcher(path: str, key: str):
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, folder = _filesystem(path)
+
+        def read(names: list[str], at: np.ndarray, size: np.ndarray) -> list[bytes]:
+            """A stretch of each named file; a file is opened once."""
+            out: list[bytes] = [b""] * len(names)
+            by_name: dict[str, list[int]] = {}
+            for i, name in enumerate(names):
+                by_name.setdefault(name, []).append(i)
+            for name, own in by_name.items():
+                with files.open_input_file(f"{folder}/{name}") as f:
+                    for i in own:
+                        out[i] = f.read_at(int(size[i]), int(at[i]))
+            return out
+
+        for batch in batches:
+            rows = batch.to_pydict()
+            for shard, record, n in zip(rows["shard"], rows["record"], rows["n_records"]):
+                if n is None or record is None or not 0 <= record < n:
+                    raise ValueError(f"no record {record} in shard {shard}")
+            if not batch.num_rows:
+                continue
+            place = np.array(rows["record"], np.int64) * 8
+            ends = read(rows["offsets"], place, np.full(len(place), 16))
+            ends = np.frombuffer(b"".join(ends), "<u8").astype(np.int64).reshape(-1, 2)
+            size = ends[:, 1] - ends[:, 0]
+            first = 0
+            while first < len(size):
+                after = first + max(1, int(np.searchsorted(np.cumsum(size[first:]), READ_BYTES, "right")))
+                part = slice(first, after)
+                data = read(rows["records"][part], ends[part, 0], size[part])
+                got = [parse(p) for p in unframe(b"".join(data), np.append(0, np.cumsum(size[part])))]
+                yield pa.RecordBatch.from_pydict({
+                    "shard": pa.array(rows["shard"][part], pa.int64()),
+                    "record": pa.array(rows["record"][part], pa.int64()),
+                    key: pa.array([k for k, _ in got], pa.int64()),
+                    "n_tokens": pa.array([len(x) for _, x in got], pa.int64()),
+                    "ids": pa.array([x.tobytes() for _, x in got], pa.binary())})
+                first = after
+
+    return fetch

@@ -17,8 +17,8 @@ from chainyard.llm.packing_bm25 import Bm25Index, fill_windows, pack_documents
 from chainyard.llm.sentencepiece_dropout import (PieceModel, encode_digest, encode_with_dropout,
                                                  skipped)
 from chainyard.llm.token_counts import TokenCounter, token_counts
-from chainyard.llm.token_records import (_filesystem, read_token_records, unframe,
-                                         write_token_records)
+from chainyard.llm.token_records import (_filesystem, fetch_token_records, read_shuffled,
+                                         read_token_records, unframe, write_token_records)
 from chainyard.session import shared_dir
 
 from .conftest import SMALL, rows
@@ -111,6 +111,32 @@ def test_records_of_odd_rows(spark, docs, no_docs, clashing):
     assert read_token_records(spark, path).count() == 0
 
 
+@pytest.mark.parametrize("read_bytes", [1, 8 << 20])
+def test_records_by_place_and_in_drawn_order(spark, docs, no_docs, monkeypatch, read_bytes):
+    monkeypatch.setattr("chainyard.llm.token_records.READ_BYTES", read_bytes)
+    path = shared_dir(spark, "records")
+    write_token_records(docs, path, WORD, end_id=2)
+    fields = ("shard", "record", "doc_id", "n_tokens", "ids")
+    whole = [tuple(r[c] for c in fields) for r in read_token_records(spark, path).collect()]
+    orders = []
+    for seed in (1, 1, 2):
+        got = [tuple(r[c] for c in fields) for r in read_shuffled(spark, path, seed).collect()]
+        assert collections.Counter(got) == collections.Counter(whole)
+        orders.append(got)
+    assert orders[0] == orders[1] != orders[2]
+    places = [r[:2] for r in whole[::3]] * 2  # asked for twice, with another column
+    pairs = spark.createDataFrame([(*p, "x") for p in places], "shard int, record int, ids string")
+    got = [tuple(r[c] for c in fields) for r in fetch_token_records(pairs, path).collect()]
+    assert collections.Counter(got) == collections.Counter(whole[::3] * 2)
+    assert fetch_token_records(pairs.limit(0), path).count() == 0
+    for odd in ((whole[0][0], 10 ** 6), (10 ** 6, 0), (None, 0), (whole[0][0], None), (whole[0][0], -1)):
+        with pytest.raises(Exception, match="no record"):
+            fetch_token_records(spark.createDataFrame([odd], "shard long, record long"), path).collect()
+    none = shared_dir(spark, "records")
+    write_token_records(no_docs, none, WORD, end_id=2)
+    assert read_shuffled(spark, none, 1).count() == 0
+
+
 def test_damaged_record_is_found(spark, docs):
     path = shared_dir(spark, "records")
     shard = write_token_records(docs, path, WORD, end_id=2).first()
