@@ -10,11 +10,16 @@ The estimates cover all rows, as Spark aggregates: two deterministic starts
 (median and MAD; correlation of tanh scores) are each improved by
 concentration steps -- distances of all rows, their h-quantile, mean and
 covariance of the rows within it -- and the start whose covariance has the
-smaller determinant is taken.  Every covariance has a floor on its diagonal,
-since most clean texts have no symbols or repeated lines at all.  A language
+smaller determinant is taken.  Every variance is at least its floor, since most
+clean texts have no symbols or repeated lines at all; the floors are small, so
+that each component can reject a text alone.  The cutoff is the chi-square
+quantile of a stated level.  A language
 and source of fewer than ``MIN_ROWS`` passing rows takes its language's
 estimates, a language of so few rows those of all rows.  Sums by group
-combine before the shuffle, so a hot source is no hot task.
+combine before the shuffle, so a hot source is no hot task.  Quantiles are
+Spark's approximate ones and sums are of doubles: both depend on the order in
+which partial results meet, in their last digits, so a text whose distance is
+that near the cutoff may be judged differently by another run.
 
 Defined results: a NULL text has no words and fails the base rules; NULL
 language or source is a group of its own; repeated rows are judged alike; an
@@ -41,13 +46,14 @@ COVERAGE = 0.75
 STEPS = 5
 #: Rows a group needs for estimates of its own.
 MIN_ROWS = 60
-#: Squared Mahalanobis distance beyond which a vector is rejected: a normal
-#: vector of five components lies beyond it about once in 10^8.
-CUTOFF = 45.0
+#: Share of normal vectors that are rejected.
+LEVEL = 1e-6
 #: Groups up to which their estimates are broadcast (about 1 kB each).
 BROADCAST_GROUPS = 10_000
-#: Smallest standard deviation of each component, in its own unit.
-FLOORS = (0.1, 0.02, 0.7, 0.15, 0.3)
+#: Smallest standard deviation of each component, in its own unit: 5 % of a word's
+#: length, a symbol in 100 words, two repeated lines in three of these, 6 % of the
+#: words repeated, a quarter more or fewer words.
+FLOORS = (0.05, 0.01, 0.5, 0.06, 0.25)
 P = len(FLOORS)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 
@@ -82,14 +88,23 @@ def vector(s: str) -> list[Column]:
             F.log(words)]
 
 
+#: Places at which the chi-square distribution of P components is tabulated.
+_GRID = np.linspace(0, 100, 200_001)
+_DENSITY = _GRID ** (P / 2 - 1) * np.exp(-_GRID / 2) / (2 ** (P / 2) * math.gamma(P / 2))
+_STEP = float(_GRID[1] - _GRID[0])
+
+
+def chi_square_cutoff(level: float) -> float:
+    """The squared distance beyond which a share ``level`` of normal vectors lies."""
+    beyond = np.cumsum(_DENSITY[::-1])[::-1] * _STEP
+    return float(_GRID[np.argmax(beyond <= level)])
+
+
 def _consistency(share: float) -> float:
     """Factor by which the covariance of a normal vector's inner ``share``
     falls short, for P components."""
-    grid = np.linspace(0, 60, 60_001)
-    density = grid ** (P / 2 - 1) * np.exp(-grid / 2) / (2 ** (P / 2) * math.gamma(P / 2))
-    below = np.cumsum(density) * (grid[1] - grid[0])
-    inside = grid <= grid[np.searchsorted(below, share)]
-    return share * P / float((density * grid)[inside].sum() * (grid[1] - grid[0]))
+    inside = _GRID <= chi_square_cutoff(1 - share)
+    return share * P / float((_DENSITY * _GRID)[inside].sum() * _STEP)
 
 
 def _distance(mean: str, precision: str) -> Column:
@@ -118,7 +133,9 @@ def _estimates(frame: pd.DataFrame, scale: np.ndarray, start: np.ndarray | None,
     for i, j in PAIRS:
         cov[:, i, j] = cov[:, j, i] = (frame[f"q{i}{j}"].to_numpy(float) / n[:, 0]
                                        - mean[:, i] * mean[:, j])
-    cov = cov * factor * scale[:, :, None] * scale[:, None, :] + np.diag(np.square(FLOORS))
+    cov = cov * factor * scale[:, :, None] * scale[:, None, :]
+    diagonal = np.arange(P)
+    cov[:, diagonal, diagonal] = np.maximum(cov[:, diagonal, diagonal], np.square(FLOORS))
     inverse = np.linalg.inv(cov)
     return pd.DataFrame({
         "g": frame["g"], "start": frame["start"] if start is None else start,
@@ -134,7 +151,7 @@ def _start_estimates(rows: DataFrame, bounded) -> DataFrame:
                                      for i, c in enumerate(x)])
     off = rows.join(bounded(median), "g")
     mad = off.groupBy("g").agg(*[
-        (F.percentile_approx(F.abs(x[i] - F.col(f"m{i}")), 0.5) * 1.4826 + F.lit(FLOORS[i]))
+        F.greatest(F.percentile_approx(F.abs(x[i] - F.col(f"m{i}")), 0.5) * 1.4826, F.lit(FLOORS[i]))
         .alias(f"d{i}") for i in range(P)])
     score = [F.tanh((x[i] - F.col(f"m{i}")) / F.col(f"d{i}")) for i in range(P)]
     first = [F.first(f"{k}{i}").alias(f"{k}{i}") for k in "md" for i in range(P)]
@@ -221,7 +238,7 @@ def _judged(rows: DataFrame, estimates: DataFrame, s: str, kept: str, failed: st
     wide = rows.select(all_, group_key(lang, source).alias(own), base_failed(s).alias("failed__"),
                        *x)
     found = wide.join(estimates.withColumnRenamed("own", own), own, "left")
-    near = F.coalesce(_distance("mean", "precision") <= CUTOFF, F.lit(False))
+    near = F.coalesce(_distance("mean", "precision") <= chi_square_cutoff(LEVEL), F.lit(False))
     return found.select("row__.*", F.col("failed__").alias(failed),
                         (~F.col("failed__") & near).alias(kept))
 
@@ -241,8 +258,8 @@ def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang",
                    source: str = "source") -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns.
 
-    The statistics are computed for the estimates and again for the verdicts:
-    texts are read twice and never shuffled.
+    The statistics are computed for the estimates and again for the verdicts,
+    once a row each time: texts are read twice and never shuffled.
     """
     s = fresh(docs, "stats__")
     wide = with_statistics(docs, s, text)

@@ -62,21 +62,23 @@ def test_quality_rules_keep_clean_and_reject_junk(spark):
 
 def slow_mcd(x, factor):
     """Both starts and the concentration steps of one group, by numpy."""
-    floor = np.diag(np.square(M.FLOORS))
+    def floored(cov):
+        return cov + np.diag(np.maximum(np.square(M.FLOORS) - np.diag(cov), 0))
+
     rank = lambda v, q: np.sort(v)[max(int(np.ceil(q * len(v))) - 1, 0)]
     median = np.array([rank(c, 0.5) for c in x.T])
-    scale = np.array([rank(abs(c - m), 0.5) * 1.4826 + f
+    scale = np.array([max(rank(abs(c - m), 0.5) * 1.4826, f)
                       for c, m, f in zip(x.T, median, M.FLOORS)])
     score = np.tanh((x - median) / scale)
-    starts = [np.diag(scale ** 2) + floor,
-              np.cov(score.T, bias=True) * np.outer(scale, scale) + floor]
+    starts = [np.diag(scale ** 2),
+              floored(np.cov(score.T, bias=True) * np.outer(scale, scale))]
     found = []
     for cov in starts:
         mean = median
         for _ in range(M.STEPS):
             d = ((x - mean) @ np.linalg.inv(cov) * (x - mean)).sum(axis=1)
             inner = x[d <= rank(d, M.COVERAGE)]
-            mean, cov = inner.mean(axis=0), np.cov(inner.T, bias=True) * factor + floor
+            mean, cov = inner.mean(axis=0), floored(np.cov(inner.T, bias=True) * factor)
         found.append((np.linalg.det(cov), mean, np.linalg.inv(cov)))
     return min(found, key=lambda f: f[0])[1:]
 
@@ -100,6 +102,70 @@ def test_estimates_equal_a_plain_computation_by_group(spark):
                                    rtol=1e-5, atol=1e-6)
 
 
+def test_verdicts_equal_a_plain_computation_on_the_table(spark):
+    """kept of the registered query, from numpy's estimates of every group."""
+    frame = spark.read.parquet(f"{SMALL}/documents.parquet").toPandas()
+    stats = np.array([slow_statistics(t or "") for t in frame.text], float)
+    words = np.maximum(stats[:, 0], 1)
+    failed = (stats[:, 0] < 50) | (100 * stats[:, 4] > 50 * stats[:, 0])
+    x = np.c_[np.log(np.maximum(stats[:, 1], 1) / words), np.log1p(stats[:, 2] / words),
+              np.log1p(stats[:, 3]), stats[:, 4] / words, np.log(words)]
+    own = (frame.lang.fillna("none") + "/" + frame.source.fillna("none")).to_numpy()
+    lang = frame.lang.fillna("none").to_numpy()
+    want, far, factor = {}, {}, M._consistency(M.COVERAGE)
+    for g in set(own[~failed]):
+        mine = ~failed & (own == g)
+        base = mine
+        if base.sum() < M.MIN_ROWS:
+            base = ~failed & (lang == g.split("/")[0])
+        if base.sum() < M.MIN_ROWS:
+            base = ~failed
+        mean, precision = slow_mcd(x[base], factor)
+        d = ((x[mine] - mean) @ precision * (x[mine] - mean)).sum(axis=1)
+        far.update(zip(frame.doc_id[mine], d))
+    cutoff = M.chi_square_cutoff(M.LEVEL)
+    got = Q.op9_quality_rules(spark, SMALL).toPandas().set_index("doc_id")
+    assert (got.base_failed.loc[frame.doc_id].to_numpy() == failed).all()
+    clear = {k for k, d in far.items() if abs(d - cutoff) > 1e-3 * cutoff}
+    assert len(clear) >= len(far) - 2
+    assert all(got.kept.loc[k] == (far[k] <= cutoff) for k in clear)
+    assert not got.kept.loc[frame.doc_id[failed]].any()
+
+
+def test_each_component_rejects_alone(spark):
+    """Texts that stand out in one statistic only, within the base limits."""
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(4000)]
+
+    def plain(n):
+        return list(rng.choice(vocabulary, n, replace=False))
+
+    texts = {k: " ".join(plain(int(rng.integers(120, 320)))) for k in range(300)}
+    lines = [" ".join(plain(10)) for _ in range(10)]
+    planted = {
+        "lines": "\n".join(lines + [w for w in plain(40) for _ in range(2)]),
+        "repeats": " ".join(plain(110) + (part := plain(40)) + part),
+        "symbols": " ".join(plain(180) + ["#$#"] * 1 + [f"#{w}$" for w in plain(20)]),
+        "long words": " ".join(w + w for w in plain(190)),
+        "length": " ".join(vocabulary),
+    }
+    for k, t in enumerate(planted.values()):
+        texts[1000 + k] = t
+        s = slow_statistics(t)
+        assert s[0] >= 50 and 100 * s[4] <= 50 * s[0]
+    docs = spark.createDataFrame([(k, t, "en", "a") for k, t in texts.items()],
+                                 "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in M.quality_rules(docs).collect()}
+    assert all(kept[k] for k in range(300))
+    assert not any(kept[1000 + k] for k in range(len(planted)))
+
+
+def test_cutoff_is_the_quantile_of_five_components():
+    # 99.9 %, 99 % and 50 % points of the chi-square distribution, from its tables
+    for level, point in ((0.001, 20.515), (0.01, 15.086), (0.5, 4.351)):
+        assert abs(M.chi_square_cutoff(level) - point) < 0.002
+
+
 def test_consistency_factor():
     """The inner part's variance times the factor is the whole's."""
     rng = np.random.default_rng(2)
