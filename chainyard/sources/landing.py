@@ -5,21 +5,26 @@
 * ``load_raw``: every landed file not loaded before becomes part of the RAW
   table, each file once: new files = listing ``left_anti`` the log of loads,
   and a load counts from its one log entry on.  Schemas of the files are
-  merged by name (new columns appear as NULL on older rows); an unreadable
-  file is logged and leaves the others loaded (``damaged_files`` finds them by
-  two scans, however many files there are).
+  merged by name (new columns appear as NULL on older rows), columns that
+  differ in type by ``reconcile``; an unreadable file, or one whose types do not
+  go with the table's, is logged and leaves the others loaded
+  (``damaged_files`` finds them by two scans for each schema, however many
+  files there are).
 * ``latest_refresh``: of a static source only the newest full refresh counts.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chainyard.sources.files import Batch, list_files, read_batch
+from chainyard.sources.reconcile import Group, agreed, read_groups, schema_groups
 
 
 def land(df: DataFrame, dest: str, mode: str = "append",
@@ -51,12 +56,12 @@ def read_sheet_export(spark: SparkSession, folder: str, tab: str, schema=None) -
     return df.drop("_source_key")
 
 
-LOAD_LOG = "load string, path string, loaded_at string, error string"
+LOAD_LOG = "load string, path string, loaded_at string, error string, schema string"
 
 
 def load_log(spark: SparkSession, log_path: str) -> DataFrame:
     """The log of loads: a row for each landed file, with the error of those
-    that could not be read."""
+    that could not be read; one row of a load carries the schema it was written with."""
     from chainyard.session import path_exists
     if not path_exists(spark, log_path):  # first load: nothing loaded yet
         return spark.createDataFrame([], LOAD_LOG)
@@ -123,14 +128,32 @@ def _without_rows(files: DataFrame) -> DataFrame:
     return contents.mapInPandas(judged, "path string, error string").filter("error IS NOT NULL")
 
 
+def _loads(spark: SparkSession, log_path: str) -> list[tuple[str, T.StructType | None]]:
+    """(load, schema) of each logged load, oldest first; no schema for a load of an
+    earlier version of the log."""
+    found = (load_log(spark, log_path).filter("error IS NULL").groupBy("load")
+             .agg(F.min("loaded_at").alias("at"), F.max("schema").alias("schema")).collect())
+    return [(r.load, T.StructType.fromJson(json.loads(r.schema)) if r.schema else None)
+            for r in sorted(found, key=lambda r: (r["at"], r.load))]
+
+
+def _load_groups(spark: SparkSession, raw: str, log_path: str) -> list[Group]:
+    """The loads of the RAW table by schema: from the log, so no footer is read."""
+    loads = _loads(spark, log_path)
+    groups = [Group(schema, (f"{raw}/load={load}",)) for load, schema in loads if schema]
+    unknown = [f"{raw}/load={load}" for load, schema in loads if not schema]
+    return (schema_groups(spark, unknown) if unknown else []) + groups
+
+
 def load_raw(spark: SparkSession, landing: str, raw: str, log_path: str) -> int:
     """Load landed Parquet files not loaded before into ``raw``; returns the
     number of files loaded.
 
     A load writes a folder of its own and then one log entry naming it, which
     is its only commit: a crash in between leaves a folder that no reader
-    takes and the next load repeats.  Files that cannot be read are logged
-    with their error, and tried again by the next load.
+    takes and the next load repeats.  Files that cannot be read, or whose types
+    do not go with those of the table or of files before them, are logged with
+    their error, and tried again by the next load.
     """
     listing = list_files(spark, landing, glob="*.parquet")
     done = load_log(spark, log_path).filter("error IS NULL").select("path")
@@ -138,32 +161,49 @@ def load_raw(spark: SparkSession, landing: str, raw: str, log_path: str) -> int:
              if "/_quarantine/" not in r.path]
     if not paths:
         return 0
-    load, errors = uuid.uuid4().hex, {}
+    load = uuid.uuid4().hex
+    known = [g.schema for g in _load_groups(spark, raw, log_path)]
 
-    def write(files: list[str]) -> None:
-        (spark.read.option("mergeSchema", "true").parquet(*files)
+    def write(groups: list[Group], schema: T.StructType) -> None:
+        (read_groups(spark, groups, schema)
          .write.mode("overwrite").option("compression", "snappy").parquet(f"{raw}/load={load}"))
 
+    # unreadable files lend no schema to their group
+    groups = schema_groups(spark, paths)
+    _, held, errors = agreed(groups, known)
+    schema, held, _ = agreed(held)  # a load has its own types: older ones are cast when read
+    damaged: dict[str, str] = {}
     try:
-        write(paths)
+        if not all(len(g.schema) for g in held):
+            raise ValueError("files without a schema")
+        if held:
+            write(held, schema)
     except Exception:  # noqa: BLE001 - some file is damaged; find which
-        errors = {r.path: r.error for r in damaged_files(spark, paths).collect()}
-        if not errors:
+        damaged = {r.path: r.error for g in held
+                   for r in damaged_files(spark, list(g.paths)).collect()}
+        if not damaged:
             raise
-        good = [p for p in paths if p not in errors]
+        good = [Group(g.schema, tuple(p for p in g.paths if p not in damaged)) for g in held]
+        good = [g for g in good if g.paths]
         if good:
-            write(good)
+            write(good, schema)
+    errors |= damaged
+    loaded = [p for p in paths if p not in errors]
     stamp = dt.datetime.now(dt.timezone.utc).isoformat()
-    (spark.createDataFrame([(load, p, stamp, errors.get(p)) for p in paths], LOAD_LOG)
+    (spark.createDataFrame([(load, p, stamp, errors.get(p),
+                             schema.json() if loaded and p == loaded[0] else None)
+                            for p in paths], LOAD_LOG)
           .coalesce(1).write.mode("append").json(log_path))
-    return len(paths) - len(errors)
+    return len(loaded)
 
 
 def read_raw(spark: SparkSession, raw: str, log_path: str) -> DataFrame:
-    """The RAW table: all logged loads, their schemas merged by column name."""
-    loads = load_log(spark, log_path).filter("error IS NULL").select("load").distinct().collect()
-    folders = sorted(f"{raw}/load={r.load}" for r in loads)
-    return spark.read.option("mergeSchema", "true").parquet(*folders)
+    """The RAW table: all logged loads, their columns merged by name and type."""
+    groups = _load_groups(spark, raw, log_path)
+    schema, held, refused = agreed(groups)
+    if refused:  # only loads that were written beside each other at one time
+        raise ValueError(f"loads do not go together: {sorted(refused.items())[:3]}")
+    return read_groups(spark, held, schema)
 
 
 def latest_refresh(df: DataFrame, stamp: str = "_ingestion_timestamp") -> DataFrame:

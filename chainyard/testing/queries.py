@@ -693,6 +693,65 @@ def _raw_load_damaged(w):
     return read_raw(w.spark, f"{root}/raw", f"{root}/_loaded")
 
 
+@register("raw_types_reconciled", O.with_models(f"""
+    select shipment_id, warehouse_id, product_id, carrier, _run_id,
+           cast(quantity_shipped + case when _ingestion_timestamp > '{O.FIRST_RUN_UNTIL}'
+                and quantity_shipped > 25 then 0.25 else 0 end as decimal(21, 2)) as quantity_shipped,
+           cast(shipment_date as timestamp) as shipment_date
+    from raw_shipments"""))
+def _raw_types_reconciled(w):
+    """Landings in which a quantity comes as int, then as long and as decimal, and a
+    date as a timestamp: loaded by two runs, no load rewritten, no value lost."""
+    from pyspark.sql import functions as F
+    from chainyard.sources.landing import land, load_raw, read_raw
+    from chainyard.testing import fixtures as fx
+    from chainyard.testing.scenario import first_run
+    root = _scratch(w, "raw-types")
+    ship = fx.raw_shipments(w.spark, w.sf_dir).select(
+        "shipment_id", "warehouse_id", "product_id", "carrier", "_run_id", "quantity_shipped",
+        "shipment_date", "_ingestion_timestamp")
+    later = ship.filter(F.col("_ingestion_timestamp") > O.FIRST_RUN_UNTIL)
+    quantity = F.col("quantity_shipped")
+    drops = [first_run(ship),
+             later.filter(quantity <= 25).withColumn("quantity_shipped", quantity.cast("long")),
+             later.filter(quantity > 25)
+             .withColumn("quantity_shipped", (quantity + F.lit(0.25)).cast("decimal(12,2)"))
+             .withColumn("shipment_date", F.col("shipment_date").cast("timestamp_ntz"))]
+    for run in (drops[:1], drops[1:]):
+        for df in run:
+            land(df.drop("_ingestion_timestamp"), f"{root}/landing/shipments")
+        load_raw(w.spark, f"{root}/landing", f"{root}/raw", f"{root}/_loaded")
+    return read_raw(w.spark, f"{root}/raw", f"{root}/_loaded")
+
+
+@register("raw_types_refused", O.with_models("""
+    select 'loaded' as outcome, cast(null as varchar) as reason, count(*) as n_rows
+    from raw_shipments where quantity_shipped <= 45
+    union all
+    select 'refused', 'column shipment_date: int does not go with date', count(*)
+    from raw_shipments where quantity_shipped > 45"""))
+def _raw_types_refused(w):
+    """A landing whose day became a number: its files are refused by name, the others load."""
+    from pyspark.sql import functions as F
+    from chainyard.sources.landing import land, load_log, load_raw, read_raw
+    from chainyard.testing import fixtures as fx
+    root = _scratch(w, "raw-refused")
+    ship = fx.raw_shipments(w.spark, w.sf_dir)
+    day = F.date_format("shipment_date", "yyyyMMdd").cast("int")
+    land(ship.filter("quantity_shipped <= 45"), f"{root}/landing/a")
+    land(ship.filter("quantity_shipped > 45").withColumn("shipment_date", day), f"{root}/landing/b")
+    load_raw(w.spark, f"{root}/landing", f"{root}/raw", f"{root}/_loaded")
+    log = load_log(w.spark, f"{root}/_loaded").filter("error is not null")
+    files = w.spark.read.parquet(f"{root}/landing/b").groupBy(
+        F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")).count()
+    refused = log.select(F.element_at(F.split("path", "/"), -1).alias("file"), "error").join(
+        files, "file").groupBy("error").agg(F.sum("count").alias("n_rows"))
+    loaded = read_raw(w.spark, f"{root}/raw", f"{root}/_loaded").agg(F.count("*").alias("n_rows"))
+    return loaded.select(F.lit("loaded").alias("outcome"), F.lit(None).cast("string").alias("reason"),
+                         "n_rows").unionByName(
+        refused.select(F.lit("refused").alias("outcome"), F.col("error").alias("reason"), "n_rows"))
+
+
 # -- profiles, checksums, read-back validation (A2, A4, Q8-Q13, K10, K11) ----
 _PROFILE_NUMERIC = ("quantity_sold", "unit_price", "discount_pct", "sale_amount")
 _PROFILE_OTHER = ("transaction_id", "store_id", "product_id", "transaction_timestamp",

@@ -60,8 +60,12 @@ def test_nothing_but_damage(spark, localdir):
     assert [r.path for r in damaged_files(spark, [f"file:{localdir}/x.parquet"]).collect()]
 
 
-def test_files_that_differ_in_schema_alone_still_raise(spark, localdir, tmp):
+def test_files_that_differ_in_schema_alone_are_not_damaged(spark, localdir, tmp):
     spark.range(2).selectExpr("id as k").write.parquet(f"{localdir}/l/a")
     spark.range(2).selectExpr("cast(id as string) as k").write.parquet(f"{localdir}/l/b")
+    files = glob.glob(f"{localdir}/l/*/*.parquet")
     with pytest.raises(Exception, match="CANNOT_MERGE"):
-        load_raw(spark, f"{localdir}/l", f"{tmp}/raw", f"{tmp}/log")
+        damaged_files(spark, files).collect()
+    assert load_raw(spark, f"{localdir}/l", f"{tmp}/raw", f"{tmp}/log") == len(files)
+    got = read_raw(spark, f"{tmp}/raw", f"{tmp}/log")
+    assert sorted(r.k for r in got.collect()) == ["0", "0", "1", "1"]
