@@ -67,22 +67,28 @@ _GIVEN = "|".join(sorted(sum(FIRST_NAMES.values(), []), key=lambda n: (-len(n),
 KINDS = [
     ("EMAIL", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}+\.)++"
               r"\p{L}{2,24}+"),
-    ("SECRET", r"(?=[tspaTSPA])(?<![\p{L}\p{N}_])"
+    ("SECRET", r"(?=[tspaTSPA])(?<![\p{L}\p{N}])"
                r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)"
-               r"[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_./+=~-]{8,}+"),
+               r"[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_./+=~-]{8,}+"),
     ("KEY", r"(?=[0-9a-gsA])(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}+|gh[pousr]_[A-Za-z0-9]{36,}+"
             r"|sk-[A-Za-z0-9_-]{20,}+|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"
             r"|(?=[a-f]{0,63}[0-9])[0-9a-f]{32,64}+)(?![A-Za-z0-9_])"),
     ("IBAN", r"(?=[A-Z]{2}\d)(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?"
              r"(?![\p{L}\p{N}])"),
     ("IP", r"(?=\d)(?<![\p{L}\p{N}.])(?:%s\.){3}%s(?!\d|\.\d)" % (_OCTET, _OCTET)),
-    ("IPV6", r"(?=[0-9A-Fa-f]{1,4}+:)(?<![\p{L}\p{N}:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"),
+    ("IPV6", r"(?=[0-9A-Fa-f]{1,4}+:)(?<![\p{L}\p{N}:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"
+             # shortened: the first group whole and with a digit, so that no name::name is one
+             r"|(?=[0-9A-Fa-f]{4}:)(?=[A-Fa-f]{0,3}[0-9])(?<![\p{L}\p{N}:.])"
+             r"[0-9A-Fa-f]{4}(?::[0-9A-Fa-f]{1,4}){0,5}::"
+             r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}(?![\p{L}\p{N}:])"),
     ("SSN", r"(?=\d)(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"),
     ("CARD", r"(?=\d)(?<![\p{N}.])(?:\d{13,19}+|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5})"
              r"(?!\d)"),
     ("PHONE", r"(?=\+)(?<![\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
               r"|(?=\()(?<![\p{N}+])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
-              r"|(?=\d)(?<![\p{N}.+-])\d{3}([.-])\d{3}\2\d{4}(?![\p{N}.-])"),
+              r"|(?=\d)(?<![\p{N}.+-])\d{3}([.-])\d{3}\2\d{4}(?![.-]?\p{N})"
+              # with blanks: as numbers are dialled, and not within a row of numbers
+              r"|(?=[2-9])(?<![\p{N}.+-])(?<!\p{N} )[2-9]\d{2} [2-9]\d{2} \d{4}(?![ .-]?\p{N})"),
     ("NAME", r"(?=\p{Lu})(?<![\p{L}\p{N}])(?:(?:%s)\.? %s(?: %s)?|(?:%s) %s)"
              % ("|".join(sorted(TITLES, key=lambda t: -len(t))), _WORD, _WORD, _GIVEN, _WORD)),
 ]
@@ -146,7 +152,7 @@ def _canonical(p: Column) -> Column:
                    .otherwise(digits))
             .when(kind.isin("CARD", "SSN"), digits)
             .when(kind == "IBAN", F.regexp_replace(m, " ", ""))
-            .when(kind == "SECRET", F.regexp_replace(m, r"^\w+[-]?\w*[ \t]*[=:][ \t]*[\"']?", ""))
+            .when(kind == "SECRET", F.regexp_replace(m, r"^\w+[-]?\w*[\"']?[ \t]*[=:][ \t]*[\"']?", ""))
             .when(kind == "EMAIL", F.lower(F.regexp_replace(m, "^[._%+-]+(?=[^@])", "")))
             .when(kind.isin("SURNAME", "IPV6"), F.lower(m)).otherwise(m))
 
@@ -252,7 +258,7 @@ def _surrogate(key: str, p: Column) -> Column:
     """The surrogate of a part: kind, m, canonical, attempt."""
     kind, m, attempt = p["kind"], p["m"], p["attempt"]
     first = F.create_map(*[F.lit(x) for pair in _renamed(key).items() for x in pair])
-    keyword = F.regexp_extract(m, r"^\w+[-]?\w*[ \t]*[=:][ \t]*[\"']?", 0)
+    keyword = F.regexp_extract(m, r"^\w+[-]?\w*[\"']?[ \t]*[=:][ \t]*[\"']?", 0)
     issuer = F.regexp_extract(m, KEY_PREFIX, 0)
 
     def drawn(digest: Column) -> Column:
