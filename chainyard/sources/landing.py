@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainyard.sources.files import Batch, list_files, read_batch
+from chainyard.sources.files import Batch, empty_files, list_files, read_batch
 from chainyard.sources.reconcile import Group, agreed, read_groups, schema_groups
 
 
@@ -153,15 +153,21 @@ def load_raw(spark: SparkSession, landing: str, raw: str, log_path: str) -> int:
     is its only commit: a crash in between leaves a folder that no reader
     takes and the next load repeats.  Files that cannot be read, or whose types
     do not go with those of the table or of files before them, are logged with
-    their error, and tried again by the next load.
+    their error, and tried again by the next load; so are files of no byte, which
+    Spark's listing leaves out.
     """
     listing = list_files(spark, landing, glob="*.parquet")
     done = load_log(spark, log_path).filter("error IS NULL").select("path")
     paths = [r.path for r in listing.join(done, "path", "left_anti").select("path").collect()
              if "/_quarantine/" not in r.path]
-    if not paths:
+    hollow = {p: "file is empty" for p in empty_files(spark, landing)
+              if p.endswith(".parquet") and "/_quarantine/" not in p}
+    if not paths and not hollow:
         return 0
     load = uuid.uuid4().hex
+    if not paths:
+        _record(spark, log_path, load, list(hollow), hollow, None)
+        return 0
     known = [g.schema for g in _load_groups(spark, raw, log_path)]
 
     def write(groups: list[Group], schema: T.StructType) -> None:
@@ -189,12 +195,18 @@ def load_raw(spark: SparkSession, landing: str, raw: str, log_path: str) -> int:
             write(good, schema)
     errors |= damaged
     loaded = [p for p in paths if p not in errors]
+    _record(spark, log_path, load, paths + list(hollow), errors | hollow, schema)
+    return len(loaded)
+
+
+def _record(spark: SparkSession, log_path: str, load: str, paths: list[str],
+            errors: dict[str, str], schema: T.StructType | None) -> None:
+    """The one log entry of a load; its first loaded file carries the schema."""
     stamp = dt.datetime.now(dt.timezone.utc).isoformat()
+    first = next((p for p in paths if p not in errors), None)
     (spark.createDataFrame([(load, p, stamp, errors.get(p),
-                             schema.json() if loaded and p == loaded[0] else None)
-                            for p in paths], LOAD_LOG)
+                             schema.json() if p == first else None) for p in paths], LOAD_LOG)
           .coalesce(1).write.mode("append").json(log_path))
-    return len(loaded)
 
 
 def read_raw(spark: SparkSession, raw: str, log_path: str) -> DataFrame:
