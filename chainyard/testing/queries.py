@@ -18,6 +18,16 @@ def _scratch(w, name):
     return shared_dir(w.spark, name)
 
 
+def _drop(df, path: str, fmt: str = "csv", **options) -> None:
+    """``df`` dropped as files, none without rows: a writer of a plain folder
+    leaves a file for its first task even if that has no row (the first part of
+    a table whose row groups are larger than its parts), one that lays files out
+    by a column opens a file only for a row."""
+    from pyspark.sql import functions as F
+    writer = df.withColumn("_drop", F.lit(0)).write.partitionBy("_drop").mode("overwrite")
+    writer.options(**({"header": "true"} if fmt == "csv" else {}), **options).format(fmt).save(path)
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -678,11 +688,11 @@ def _raw_load_damaged(w):
     ship = fx.raw_shipments(w.spark, w.sf_dir)
     land(ship.filter("quantity_shipped <= 45"), f"{root}/landing/shipments")
     lost = ship.filter("quantity_shipped > 45").select(F.to_json(F.struct("*")).alias("value"))
-    lost.write.option("compression", "none").text(f"{root}/text")
+    _drop(lost, f"{root}/text", "text", compression="none")
     jvm, conf = w.spark.sparkContext._jvm, w.spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(conf)
-    parts = [f.getPath() for f in fs.globStatus(path(f"{root}/text/part-*"))]
+    parts = [f.getPath() for f in fs.globStatus(path(f"{root}/text/_drop=0/part-*"))]
     for k, part in enumerate(parts):
         fs.rename(part, path(f"{root}/landing/shipments/odd-{k}.parquet"))
     for _ in range(2):
@@ -885,9 +895,9 @@ def _csv_header_order(w):
         F.col("c_name").alias("customer_name"), F.col("c_nationkey").cast("int").alias("nation"),
         F.col("c_acctbal").cast("decimal(15,2)").alias("balance"))
     even = F.col("nation") % 2 == 0
-    c.filter(even).write.option("header", "true").csv(f"{root}/drop/a")
-    (c.filter(~even).select("balance", "nation", F.lit("x").alias("note"), "customer_name",
-                            "customer_id").write.option("header", "true").csv(f"{root}/drop/b"))
+    _drop(c.filter(even), f"{root}/drop/a")
+    _drop(c.filter(~even).select("balance", "nation", F.lit("x").alias("note"), "customer_name",
+                                 "customer_id"), f"{root}/drop/b")
     batch = read_batch(w.spark, f"{root}/drop", c.schema)
     if batch.rejected:
         raise AssertionError(batch.rejected)
@@ -994,8 +1004,8 @@ def _quarantine_counts(w):
     root = _scratch(w, "quarantine")
     quantity = F.col("l_quantity").cast("bigint").cast("string")
     damaged = F.when(F.col("l_linenumber") == 3, "oops").otherwise(quantity)
-    fx.table(w.spark, w.sf_dir, "lineitem").select("l_orderkey", damaged.alias("quantity")) \
-        .write.option("header", "true").csv(f"{root}/drop/lines")
+    _drop(fx.table(w.spark, w.sf_dir, "lineitem").select("l_orderkey", damaged.alias("quantity")),
+          f"{root}/drop/lines")
     schema = w.spark.createDataFrame([], "l_orderkey bigint, quantity bigint").schema
     run = ingest_files(w.spark, f"{root}/drop", f"{root}/landing", f"{root}/state",
                        {"lines": schema}, dynamic=["lines"])
@@ -1026,8 +1036,7 @@ def _ingest_isolation(w):
     c.limit(1).select("id").coalesce(1).write.orc(f"{root}/drop/good/odd")
     landed = None
     for k in range(3):
-        c.filter(F.col("c_nationkey") % 3 == k).select("id").write.option(
-            "header", "true").csv(f"{root}/drop/good/{k}")
+        _drop(c.filter(F.col("c_nationkey") % 3 == k).select("id"), f"{root}/drop/good/{k}")
         run = ingest_files(w.spark, f"{root}/drop", f"{root}/landing", f"{root}/state",
                            {"good": schema}, dynamic=["broken", "good"], raise_on_failure=False)
         part = w.spark.read.parquet(run.landed["good"]).select("id")
@@ -1168,9 +1177,7 @@ def _chain_two_runs(w):
     raw = {e: fx.RAW[e](spark, w.sf_dir) for e in fx.RAW}
 
     def drop(entity, df, tag, fmt="csv"):
-        out = df.select(*schemas.RAW[entity].names).write.mode("overwrite")
-        path = f"{root}/drops/{entity}/{tag}"
-        out.json(path) if fmt == "json" else out.option("header", "true").csv(path)
+        _drop(df.select(*schemas.RAW[entity].names), f"{root}/drops/{entity}/{tag}", fmt)
 
     for run, run_ts in enumerate(fx.PRODUCT_RUNS, start=1):
         new = first_run if run == 1 else (lambda df: df.filter(late))
@@ -1280,13 +1287,8 @@ def _ingest_run(w):
     spark = w.spark
 
     def drop(name, df, tag):
-        cols = [f.name for f in schemas.RAW[name].fields]
-        out = df.select(*cols).write
-        path = f"{root}/source/{name}/{tag}"
-        if _DYNAMIC.get(name, "csv") == "json":
-            out.json(path)
-        else:
-            out.option("header", "true").csv(path)
+        _drop(df.select(*schemas.RAW[name].names), f"{root}/source/{name}/{tag}",
+              _DYNAMIC.get(name, "csv"))
 
     for name in _DYNAMIC:
         drop(name, first_run(fx.RAW[name](spark, w.sf_dir)), "a")
