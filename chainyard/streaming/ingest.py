@@ -39,7 +39,7 @@ def merge_stream_into(stream: DataFrame, store: TableStore, table: str, key,
         if batch.isEmpty():
             return
         target = store.read(table, layer)
-        store.commit(table, merge_incremental(target, batch, key, order_by), layer)
+        store.commit(table, merge_incremental(target, batch, key, order_by, stored=True), layer)
         batches.append(epoch_id)
 
     q = (stream.writeStream.foreachBatch(upsert)
