@@ -12,6 +12,7 @@ ONE multi-file scan.
   position, so each distinct header gets a schema in its own order.  Columns
   that are not declared are kept as text; a file that lacks a declared column
   is refused.
+* A file may be compressed (``.json.gz``): Spark and ``heads`` go by its name.
 * JSON: a file is one value over several lines only if its first line opens an
   array or an object that the second line goes on with.
 """
@@ -86,7 +87,7 @@ def empty_files(spark: SparkSession, path: str) -> list[str]:
 
 
 def _ext(path: str) -> str:
-    name = path.rsplit("/", 1)[-1]
+    name = path.rsplit("/", 1)[-1].removesuffix(".gz")
     return ("." + name.rsplit(".", 1)[-1].lower()) if "." in name else ""
 
 

@@ -29,11 +29,15 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._memo: dict = {}
+        self.raw: dict[str, DataFrame] = {}  # sources that have been stored
+
+    def source(self, entity: str) -> DataFrame:
+        return self.raw[entity] if entity in self.raw else fx.RAW[entity](self.spark, self.sf_dir)
 
     def model(self, name: str) -> DataFrame:
         """Any model by name: raw_*, stg_*, snap_*, dim_*, fct_*."""
         if name.startswith("raw_"):
-            return fx.RAW[name[4:]](self.spark, self.sf_dir)
+            return self.source(name[4:])
         if name.startswith("stg_"):
             return self.stg(name[4:])
         if name in ("snap_suppliers", "snap_stores", "snap_warehouses"):
@@ -47,7 +51,7 @@ class Warehouse:
     # staging -----------------------------------------------------------
     @_memo
     def stg(self, entity: str) -> DataFrame:
-        return staging.STAGING[entity](fx.RAW[entity](self.spark, self.sf_dir))
+        return staging.STAGING[entity](self.source(entity))
 
     # snapshots ---------------------------------------------------------
     @_memo

@@ -29,3 +29,11 @@ def test_load_logs_files_of_no_byte(spark, tmp):
     errors = load_log(spark, f"{tmp}/log").filter("error is not null").select("path", "error").distinct().collect()
     assert [(os.path.basename(r.path), r.error) for r in errors] == [("cut-off.parquet", "file is empty")]
     assert read_raw(spark, f"{tmp}/raw", f"{tmp}/log").count() == 5
+
+
+def test_compressed_drops_are_read(spark, tmp):
+    rows = spark.range(20).select("id", F.lit("x").alias("v"))
+    for fmt in ("csv", "json"):
+        _drop(rows, f"{tmp}/{fmt}", fmt, compression="gzip")
+        batch = read_batch(spark, f"{tmp}/{fmt}", rows.schema)
+        assert batch.rejected == [] and batch.data.count() == 20
