@@ -25,3 +25,15 @@ def test_suite_inventory_counts():
     assert kinds.count("not_null") == 51
     assert kinds.count("unique") == 20
     assert kinds.count("relationships") == 4
+
+
+def test_unique_reads_a_frame_once_unless_hashes_repeat(spark, tmp):
+    spark.range(1000).selectExpr("concat('a long value of its own ', id) as k").write.parquet(f"{tmp}/c")
+    spark.range(1000).selectExpr("concat('v', id % 990) as k", "id").write.parquet(f"{tmp}/d")
+    c, d = spark.read.parquet(f"{tmp}/c"), spark.read.parquet(f"{tmp}/d")
+    once = run_suite(spark, {"c": c}, [DataTest("c", "k", "unique")])
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" not in plan.lower()  # its values are not shuffled
+    both = run_suite(spark, {"c": c, "d": d}, [DataTest("c", "k", "unique"), DataTest("d", "k", "unique"),
+                                               DataTest("d", "id", "unique")])
+    assert [r.failures for r in both.collect()] == [0, 10, 0]

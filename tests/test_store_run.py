@@ -100,3 +100,26 @@ def test_run_batch_with_month_partitioned_facts(spark, tmp):
         assert "__part" not in got.columns
     key_counts = store.read("fct_sales", "MARTS").groupBy("transaction_id").count()
     assert key_counts.filter("count > 1").count() == 0
+
+
+def test_a_merge_leaves_neither_its_batch_nor_its_shuffles(spark, tmp):
+    import os
+    import time
+    from chainyard.operators.merge import merge_into_partitions
+    from chainyard.session import SHUFFLE_CLEANUP
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in files.mkString("\n").split("\n") if "shuffle_" in f}
+
+    store = TableStore(spark, tmp)
+    before, conf = shuffles(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    for n in (50, 80):
+        batch = spark.range(n).selectExpr("id as k", "id % 3 as m", "'x' as v").repartition(3)
+        v = merge_into_partitions(store, "t", batch, "k", F.col("m"))
+        store.publish({("t", None): v})
+    assert os.listdir(f"{tmp.removeprefix('file:')}/_aside") == []
+    time.sleep(1)  # files are deleted beside the next query
+    assert not shuffles() - before
+    assert store.read("t").count() == 80
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == conf
