@@ -22,6 +22,7 @@ kept.  Labels, language, source and key are no inputs of a score.
 
 from __future__ import annotations
 
+import pickle
 from operator import eq
 
 import numpy as np
@@ -109,20 +110,20 @@ class Model:
         weighted = matrix * self.weight
         values, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
         self.projection = np.ascontiguousarray(vectors[:, ::-1][:, :DIMENSIONS], np.float32)
-        self.vectors, known = self._latent(matrix)
+        self.vectors, known = self._latent(weighted)
         self.vectors, self.labels = self.vectors[known], labels[known].astype(np.float64)
         self.shares = shares[known]
         self.empty = not known.any()
 
-    def _latent(self, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        latent = (matrix * self.weight) @ self.projection
+    def _latent(self, weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        latent = weighted @ self.projection
         norm = np.linalg.norm(latent, axis=1, keepdims=True)
         return latent / np.maximum(norm, 1e-12), norm[:, 0] > 1e-12
 
     def score(self, matrix: np.ndarray) -> np.ndarray:
         if self.empty or not len(matrix):
             return np.full(len(matrix), self.prior)
-        latent, known = self._latent(matrix)
+        latent, known = self._latent(matrix * self.weight)
         cosine = latent @ self.vectors.T
         k = min(NEIGHBOURS, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
@@ -155,6 +156,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
     return texts.join(both, "k").groupBy("k", "y").agg(F.min("t").alias("t")), classes
 
 
+def _trained(batches: list[pa.RecordBatch], classes: dict[int, int]) -> Model:
+    """The model of batches of key, label and terms, in the order of the keys."""
+    order, found = [], []
+    for b in batches:
+        k, y, x = b.columns
+        order += zip(k.to_pylist(), y.to_pylist(), range(len(found), len(found) + len(b)))
+        found += x
+    order.sort()
+    matrix = np.empty((len(order), WIDTH), np.float32)
+    for i, (_, _, at) in enumerate(order):
+        matrix[i] = np.frombuffer(found[at].as_buffer(), np.float32)
+    y = np.array([c for _, c, _ in order], np.float64)
+    # each sampled text stands for as many as its class has for each of the sample,
+    # so that the classes weigh alike at every size of the input
+    shares = np.array([classes[int(c)] / (y == c).sum() for c in y])
+    return Model(matrix, y, shares)
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
         label: str = "quality") -> Model:
     """The model of the labelled documents."""
@@ -164,13 +183,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return pa.array([terms(t).tobytes() for t in batch.to_pylist()], pa.binary())
 
     sample, classes = labelled_sample(docs, labels, key, text, label)
-    rows = sorted(sample.select("k", "y", term_bytes("t").alias("x")).collect())
-    matrix = np.frombuffer(b"".join(r.x for r in rows), np.float32).reshape(-1, WIDTH)
-    y = np.array([r.y for r in rows], np.float64)
-    # each sampled text stands for as many as its class has for each of the sample,
-    # so that the classes weigh alike at every size of the input
-    shares = np.array([classes[int(c)] / (y == c).sum() for c in y])
-    return Model(matrix, y, shares)
+
+    def trained(batches):
+        model = _trained([b for b in batches if b.num_rows], classes)
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
+
+    # one task takes the bounded sample: its terms and the algebra on them (some
+    # 200 MB) stay out of the driver, which gets the finished model
+    rows = sample.select("k", "y", term_bytes("t").alias("x"))
+    made = rows.repartition(1).mapInArrow(trained, "model binary").collect()
+    return pickle.loads(made[0].model) if made else _trained([], classes)
 
 
 def scores(model: Model, docs: DataFrame, text: str = "text") -> Column:

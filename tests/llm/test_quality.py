@@ -248,3 +248,11 @@ def test_scores_use_neither_key_nor_source(spark, docs, labels):
     a = docs.select("text", scores(model, docs).alias("s")).collect()
     b = moved.select("text", scores(model, moved).alias("s")).collect()
     assert collections.Counter(map(tuple, a)) == collections.Counter(map(tuple, b))
+
+
+def test_the_model_is_made_outside_the_driver(spark, docs, labels, monkeypatch):
+    def refused(*args):
+        raise AssertionError("the sample's matrix in the driver")
+    monkeypatch.setattr(np.linalg, "eigh", refused)
+    model = fit(docs, labels)
+    assert not model.empty and len(model.labels) > 2
