@@ -10,7 +10,9 @@ and instant lie where the two histories differ are linked wrongly:
   moved, the time between both ends.
 * ``relink_partitions`` looks up (columns of key and instant alone) which
   months hold such facts, reads those months, links their facts in question
-  again and writes a version of the table with those months only.
+  again and writes a version of the table with those months only.  Hashes of the
+  changed keys are broadcast, if they are not too many, so that facts of other keys
+  are not shuffled: they are written from where they lie.
 
 The fact's key is compared as the point-in-time join compares it.
 """
@@ -22,8 +24,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainyard.operators.joins import broadcast_if_small
+from chainyard.operators.joins import broadcast_if_small, distinct_hashes
 from chainyard.operators.temporal import pit_join
+from chainyard.session import shuffles_dropped
+
+#: Hashes of changed keys up to which they are broadcast: one number each.
+MAX_HASHES = 2_000_000
 
 
 def interval_changes(old: DataFrame, new: DataFrame, key: str, payload, valid_from: str = "valid_from",
@@ -76,17 +82,32 @@ def relink_partitions(store, name: str, changes: DataFrame, versions: DataFrame,
     if held is None:
         return None
     changes = store.set_aside(f"{name}-changes", changes)
-    found = _within(held.select(key, ts, F.substring("__part", 2, 100).alias("part")), changes,
-                    key, ts, as_date)
-    # as many values as there are months
-    touched = sorted(r.part for r in found.select("part").distinct().collect())
+    # equal keys have equal hashes only where their types agree
+    alike = held.schema[key].dataType == changes.schema[key].dataType
+    asked = distinct_hashes(changes, [key], MAX_HASHES) if alike else None
+
+    def of_changed_keys(df: DataFrame, how: str = "left_semi") -> DataFrame:
+        return df.join(F.broadcast(asked), F.xxhash64(key) == asked["__h"], how)
+
+    places = held.select(key, ts, F.substring("__part", 2, 100).alias("part"))
+    found = _within(places if asked is None else of_changed_keys(places), changes, key, ts, as_date)
+    with shuffles_dropped(store.spark):
+        # as many values as there are months
+        touched = sorted(r.part for r in found.select("part").distinct().collect())
     if not touched:
+        store.release(f"{name}-changes")
         return None
     rows = store.read(name, layer, partitions=touched)
+    mine, others = rows, None
+    if asked is not None:
+        mine, others = of_changed_keys(rows), of_changed_keys(rows, "left_anti")
     linked = [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
-    wrong = _within(rows, changes, key, ts, as_date)
+    wrong = _within(mine, changes, key, ts, as_date)
     again = join(wrong.drop(*linked), versions, key, ts, as_date=as_date, **options)
     again = store.set_aside(f"{name}-relinked", again.select(*rows.columns))
-    kept = rows.join(broadcast_if_small(again.select(row_key)), row_key, "left_anti")
-    return store.stage(name, kept.unionByName(again), layer, part_expr=part_expr,
-                       partitions=touched)
+    kept = mine.join(broadcast_if_small(again.select(row_key)), row_key, "left_anti")
+    v = store.stage(name, kept.unionByName(again), layer, part_expr=part_expr,
+                    partitions=touched, laid=others)
+    for aside in ("changes", "relinked"):
+        store.release(f"{name}-{aside}")
+    return v

@@ -80,3 +80,24 @@ def test_months_without_a_change_are_not_written(spark, tmp):
     assert store.history("f").collect()[-1].partitions == ["202402", "202403"]
     assert relink_partitions(store, "f", changes.limit(0), new, "product_id", "ts", "id", MONTH()) is None
     assert relink_partitions(store, "none", changes, new, "product_id", "ts", "id", MONTH()) is None
+
+
+def test_facts_of_unchanged_keys_are_written_from_where_they_lie(spark, tmp, monkeypatch):
+    from chainyard.operators import joins
+    old = history(spark, {"p": [("a", 0, None)], "q": [("a", 0, None)]})
+    new = history(spark, {"p": [("a", 0, 40), ("b", 40, None)], "q": [("a", 0, None)]})
+    facts = spark.createDataFrame(
+        [(i, "pq"[i % 2], T0 + dt.timedelta(days=d)) for i, d in enumerate(range(0, 120, 10))],
+        "id long, product_id string, ts timestamp_ntz")
+    monkeypatch.setattr(joins.checked_broadcast, "__defaults__", (0,))
+    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (0,))
+    store, laid = TableStore(spark, tmp), []
+    store.commit("f", pit_join(facts, old, "product_id", "ts"), part_expr=MONTH())
+    stage = store.stage
+    monkeypatch.setattr(store, "stage", lambda *a, **kw: (laid.append(kw.get("laid")), stage(*a, **kw))[1])
+    store.publish({("f", None): relink_partitions(
+        store, "f", interval_changes(old, new, "product_id", "sk"), new, "product_id", "ts", "id", MONTH())})
+    assert {r.product_id for r in laid[0].collect()} == {"q"}
+    assert "hashpartitioning" not in laid[0]._jdf.queryExecution().executedPlan().toString()
+    rows = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+    assert rows(store.read("f")) == rows(pit_join(facts, new, "product_id", "ts"))
