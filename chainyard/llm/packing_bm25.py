@@ -17,6 +17,9 @@ that overflows is cut, and the rest of it stays unused.  So only the last
 window of a shard has padding.  Neighbours that lie in different shards are
 not packed together.
 
+The tokenizer is loaded and the centres are learned in tasks: the driver has the
+document frequencies by term and the finished centres alone.
+
 Defined results: a NULL text is empty (its
 end id alone is packed), repeated rows are packed each, an empty table gives
 an empty result, other columns are ignored.  Texts are never cut short: each
@@ -25,6 +28,7 @@ id lies in exactly one piece.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -222,7 +226,13 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2
     ids_crc32, doc_tokens, sequence_id, offset within the sequence, and ids."""
     kind = docs.schema[key].dataType.simpleString()
     context = docs.sparkSession.sparkContext
-    dtype = encoder(tokenizer).dtype.str
+
+    def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"dtype": [encoder(tokenizer).dtype.str]})
+
+    # a tokenizer takes some 40 MB: it is loaded in workers, not in the driver
+    one = docs.sparkSession.range(1, numPartitions=1)
+    dtype = one.mapInArrow(kinds, "dtype string").first()["dtype"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,21 +279,32 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2
     coded = stored(numbered.mapInArrow(encode, f"k {kind}, row long, chars long, ids binary"),
                    "packing-ids")
     # as many rows as the vocabulary has terms
-    counts = {r["term"]: r["n"] for r in coded.select("chars", "ids").mapInArrow(
-        count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    n, total, chars = (counts.pop(t, 0) or 0 for t in (-1, -2, -3))
-    df = np.zeros(max(counts, default=0) + 1)
-    df[list(counts)] = list(counts.values())
+    counts = coded.select("chars", "ids").mapInArrow(count, "term long, n long").groupBy(
+        "term").agg(F.sum("n").alias("n")).toArrow()
+    term, times = (counts.column(c).to_numpy() for c in ("term", "n"))
+    n, total, chars = (int(times[term == t].sum()) for t in (-1, -2, -3))
+    term, times = term[term >= 0], times[term >= 0]
+    df = np.zeros(int(term.max(initial=0)) + 1)
+    df[term] = times
     idf, mean = np.log1p((n - df + 0.5) / (df + 0.5)), total / max(n, 1)
     shards = max(1, -(-chars // shard_chars))
     first = np.zeros(2)
     places = None
     if shards > 1:
         width = np.dtype(dtype).itemsize
-        sample = (coded.orderBy(F.xxhash64("row"), "row").limit(SAMPLE)
-                  .select(F.substring("ids", 1, SAMPLE_IDS * width).alias("ids")).toArrow())
-        places = context.broadcast(Places(idf, arrays(sample.column("ids")),
-                                          min(CENTRES, 4 * shards)))
+        order = F.xxhash64("row").alias("h"), F.col("row")
+        sample = (coded.orderBy(*order).limit(SAMPLE)
+                  .select(*order, F.substring("ids", 1, SAMPLE_IDS * width).alias("ids")))
+
+        def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(list(batches)).sort_by(
+                [("h", "ascending"), ("row", "ascending")])
+            made = Places(idf, arrays(rows.column("ids")), min(CENTRES, 4 * shards))
+            yield pa.RecordBatch.from_pydict({"places": [pickle.dumps(made)]})
+
+        # one task takes the bounded sample; the driver gets the centres (under 1 MB)
+        found = sample.coalesce(1).mapInArrow(learned, "places binary").first()
+        places = context.broadcast(pickle.loads(found["places"]))
 
         def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -2,6 +2,7 @@
 
 import collections
 import heapq
+import os
 import random
 import zlib
 
@@ -10,6 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from chainyard.llm import packing_bm25
 from chainyard.llm import queries as Q
 from chainyard.llm.chunk_tokens import ChunkEncoder
 from chainyard.llm.crc32c import crc32c, masked
@@ -215,6 +217,29 @@ def test_packing_of_odd_rows(spark, docs, no_docs, clashing):
     assert pack_documents(no_docs, WORD, end_id=1).count() == 0
 
 
+def test_packing_loads_and_learns_in_tasks(spark, monkeypatch):
+    """pipeline: neither the tokenizer nor the sample of its packing is in the driver."""
+    driver, real = os.getpid(), packing_bm25.encoder
+
+    def in_tasks(path):
+        assert os.getpid() != driver, "the driver loads the tokenizer"
+        return real(path)
+
+    def learn(*_):
+        raise AssertionError("the driver learns the centres")
+
+    monkeypatch.setattr(packing_bm25, "encoder", in_tasks)
+    monkeypatch.setattr(packing_bm25.Places, "__init__", learn)
+    df = spark.createDataFrame([(i, f"word{i % 7} " * 40) for i in range(200)],
+                               "doc_id long, text string")
+    pieces = pack_documents(df, WORD, end_id=1, window=64, shard_chars=5000).collect()
+    assert len({p.sequence_id >> 32 for p in pieces}) > 1
+    whole = collections.Counter()
+    for p in pieces:
+        whole[p.doc_id] += p.length
+    assert {(p.doc_id, p.doc_tokens) for p in pieces} == set(whole.items())
+
+
 def test_documents_that_share_terms_are_packed_across_the_whole_input(spark):
     rng = random.Random(5)
     words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(2400)]
