@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chainyard.session import configure
+from chainyard.session import configure, shuffles_dropped
 from chainyard.testing import oracle as O
 from chainyard.testing.scenario import Warehouse
 
@@ -25,13 +25,16 @@ def _drop(df, path: str, fmt: str = "csv", **options) -> None:
     by a column opens a file only for a row."""
     from pyspark.sql import functions as F
     writer = df.withColumn("_drop", F.lit(0)).write.partitionBy("_drop").mode("overwrite")
-    writer.options(**({"header": "true"} if fmt == "csv" else {}), **options).format(fmt).save(path)
+    writer.options(**({"header": "true"} if fmt == "csv" else {}), **options).format(fmt)
+    with shuffles_dropped(df.sparkSession):
+        writer.save(path)
 
 
 def _stored(w, name: str, df):
     """``df`` written once and read back, for a query that reads it several times."""
     path = _scratch(w, name)
-    df.write.parquet(path)
+    with shuffles_dropped(w.spark):
+        df.write.option("compression", "zstd").parquet(path)
     return w.spark.read.schema(df.schema).parquet(path)
 
 
@@ -821,18 +824,24 @@ def _column_profile(w):
     select 'stg_inventory', count(*), true from stg_inventory"""))
 def _table_checksum_match(w):
     """Checksum of each staged table equals that of its Parquet round trip
-    read back with a different partitioning."""
+    read back with a different partitioning.  One table at a time is on disk: its
+    checksums are noted, then its copy and the shuffles are deleted."""
     from pyspark.sql import functions as F
     from chainyard.operators.validate import checksum
+    from chainyard.session import remove_path
     root = _scratch(w, "checksum")
     out = None
     for name in ("sales", "shipments", "inventory"):
         df = w.stg(name)
-        df.write.parquet(f"{root}/{name}")
+        with shuffles_dropped(w.spark):
+            df.write.option("compression", "zstd").parquet(f"{root}/{name}")
         # by the first two columns, of which one at least has many values
         back = w.spark.read.parquet(f"{root}/{name}").repartition(*df.columns[:2])
-        a = checksum(df).select(F.col("row_count"), F.col("checksum").alias("a"))
-        b = checksum(back).select(F.col("checksum").alias("b"), F.col("row_count").alias("n"))
+        a = _stored(w, "checksum-source", checksum(df).select(
+            F.col("row_count"), F.col("checksum").alias("a")))
+        b = _stored(w, "checksum-copy", checksum(back).select(
+            F.col("checksum").alias("b"), F.col("row_count").alias("n")))
+        remove_path(w.spark, f"{root}/{name}")
         row = a.join(b, F.col("row_count") == F.col("n"), "full_outer").select(
             F.lit(f"stg_{name}").alias("table_name"), F.col("row_count"),
             (F.col("a") == F.col("b")).alias("checksum_match"))
