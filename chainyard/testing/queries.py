@@ -126,10 +126,22 @@ def _fct_sales_asof(w):
 
 @register("fct_shipments_asof", O.model("fct_shipments"))
 def _fct_shipments_asof(w):
-    """Shipments meet two dimensions' versions by one sort for each, by day."""
+    """Shipments meet two dimensions' versions by one sort for each, by day.  What
+    the first sort gave is written down, so that the second does not hold its
+    shuffle and the stored shipments besides its own."""
     from chainyard.operators.temporal import asof_join
-    w.raw["shipments"] = _stored(w, "raw-shipments", w.model("raw_shipments"))
-    return w.fct_shipments(join=asof_join, hot_share=0.002, pieces=8)
+    from chainyard.store import TableStore
+    store = TableStore(w.spark, _scratch(w, "shipments-asof"))
+    w.raw["shipments"] = store.set_aside("raw", w.model("raw_shipments"))
+
+    def join(fact, versions, key, *args, **kw):
+        out = asof_join(fact, versions, key, *args, **kw)
+        if key == "product_id":
+            out = store.set_aside("linked", out)
+            store.release("raw")
+        return out
+
+    return w.fct_shipments(join=join, hot_share=0.002, pieces=8)
 
 
 @register("fct_sales_sort_merge", O.model("fct_sales"))

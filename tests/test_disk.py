@@ -78,3 +78,10 @@ def test_checksummed_copies_are_deleted(spark, tables, scratch):
     found = sorted(map(tuple, out.collect()))
     assert [(n, ok) for n, _, ok in found] == [(f"stg_{n}", True) for n in ("inventory", "sales", "shipments")]
     assert found[1][1] == found[2][1] == 40
+
+
+def test_second_asof_join_does_not_hold_the_stored_shipments(spark, tables, scratch):
+    out = Q.QUERIES["fct_shipments_asof"](spark, tables)
+    assert not glob.glob(f"{scratch}/*raw*/*.parquet") + glob.glob(f"{scratch}/*/_aside/raw-*/*")
+    assert glob.glob(f"{scratch}/*/_aside/linked-*/*.parquet")
+    same(out, Warehouse(spark, tables).fct_shipments())
