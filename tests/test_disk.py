@@ -85,3 +85,22 @@ def test_second_asof_join_does_not_hold_the_stored_shipments(spark, tables, scra
     assert not glob.glob(f"{scratch}/*raw*/*.parquet") + glob.glob(f"{scratch}/*/_aside/raw-*/*")
     assert glob.glob(f"{scratch}/*/_aside/linked-*/*.parquet")
     same(out, Warehouse(spark, tables).fct_shipments())
+
+
+def test_late_change_links_and_lays_out_apart(spark, tables, scratch, monkeypatch):
+    from chainyard.store import TableStore
+    aside, put = [], TableStore.set_aside
+    monkeypatch.setattr(TableStore, "set_aside", lambda self, name, df: (aside.append(name), put(self, name, df))[1])
+    out = Q.QUERIES["fct_sales_late_change"](spark, tables)
+    assert "linked" in aside and not glob.glob(f"{scratch}/*/_aside/linked-*/*")
+    same(out, Warehouse(spark, tables).fct_sales())
+
+
+def test_versions_are_zstd(spark, tmp_path):
+    from chainyard.store import TableStore
+    store = TableStore(spark, str(tmp_path))
+    store.commit("t", spark.range(10))
+    store.set_aside("a", spark.range(10))
+    files = glob.glob(f"{tmp_path}/PUBLIC.t/*/*.parquet") + glob.glob(f"{tmp_path}/_aside/*/*.parquet")
+    with_rows = [m for m in map(pq.read_metadata, files) if m.num_rows]
+    assert {m.row_group(0).column(0).compression for m in with_rows} == {"ZSTD"}
