@@ -1335,7 +1335,7 @@ def _ingest_run(w):
 
     def drop(name, df, tag):
         _drop(df.select(*schemas.RAW[name].names), f"{root}/source/{name}/{tag}",
-              _DYNAMIC.get(name, "csv"))
+              _DYNAMIC.get(name, "csv"), compression="gzip")
 
     for name in _DYNAMIC:
         drop(name, first_run(fx.RAW[name](spark, w.sf_dir)), "a")

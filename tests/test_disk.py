@@ -104,3 +104,11 @@ def test_versions_are_zstd(spark, tmp_path):
     files = glob.glob(f"{tmp_path}/PUBLIC.t/*/*.parquet") + glob.glob(f"{tmp_path}/_aside/*/*.parquet")
     with_rows = [m for m in map(pq.read_metadata, files) if m.num_rows]
     assert {m.row_group(0).column(0).compression for m in with_rows} == {"ZSTD"}
+
+
+def test_drops_of_the_ingestion_run_are_compressed(spark, tables, scratch):
+    out = Q.QUERIES["ingest_run"](spark, tables)
+    drops = glob.glob(f"{scratch}/ingest-run-*/source/*/*/*/part-*")
+    assert drops and all(p.endswith(".gz") for p in drops)
+    assert {r.status for r in out.collect()} == {"PASSED"}
+    assert sum(r.rows_dest for r in out.collect() if r.source_name == "shipments") == 40
