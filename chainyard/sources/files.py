@@ -41,6 +41,7 @@ class Batch:
     rejected: list[tuple[str, str]] = field(default_factory=list)
     corrupt: DataFrame | None = None
     keys: DataFrame | None = None  # the file of every row, sound or not
+    marked: DataFrame | None = None  # all rows, with the corrupt-record column
 
 
 def list_files(spark: SparkSession, path: str, modified_after: str | None = None,
@@ -174,7 +175,7 @@ def read_paths(spark: SparkSession, files: list[str], schema: T.StructType | Non
     keys = df.select("_source_key")
     if corrupt_col:
         bad = F.col(corrupt_col).isNotNull()
-        return Batch(df.filter(~bad).drop(corrupt_col), accepted, rejected, df.filter(bad), keys)
+        return Batch(df.filter(~bad).drop(corrupt_col), accepted, rejected, df.filter(bad), keys, df)
     return Batch(df, accepted, rejected, None, keys)
 
 

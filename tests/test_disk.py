@@ -112,3 +112,28 @@ def test_drops_of_the_ingestion_run_are_compressed(spark, tables, scratch):
     assert drops and all(p.endswith(".gz") for p in drops)
     assert {r.status for r in out.collect()} == {"PASSED"}
     assert sum(r.rows_dest for r in out.collect() if r.source_name == "shipments") == 40
+
+
+@pytest.mark.parametrize("bad", [0, 1])
+def test_files_are_parsed_for_the_quarantine_only_if_a_row_is_malformed(spark, tmp_path, monkeypatch, bad):
+    from pyspark.sql import types as T
+    (tmp_path / "in" / "s").mkdir(parents=True)
+    lines = [json.dumps({"a": str(i)}) for i in range(3)] + ['{"a": '] * bad
+    (tmp_path / "in" / "s" / "x.json").write_text("\n".join(lines) + "\n")
+    read = ingest.read_paths
+
+    def watched(*args):
+        batch = read(*args)
+        batch.corrupt = batch.corrupt.withColumn("a", F.raise_error(F.lit("parsed")).cast("string")) \
+            if not bad else batch.corrupt
+        batch.corrupt = batch.corrupt if bad else batch.corrupt.unionByName(
+            spark.range(1).select(*[F.raise_error(F.lit("parsed")).cast(f.dataType).alias(f.name)
+                                    for f in batch.corrupt.schema]))
+        return batch
+
+    monkeypatch.setattr(ingest, "read_paths", watched)
+    res = ingest.ingest_files(spark, str(tmp_path / "in"), str(tmp_path / "land"), str(tmp_path / "state"),
+                              {"s": T.StructType([T.StructField("a", T.StringType())])}, dynamic=["s"])
+    assert res.quarantined == {"s": bad} and res.reports[0]["rows_dest"] == 3
+    aside = spark.read.parquet(str(tmp_path / "land" / "_quarantine" / "s"))
+    assert aside.count() == bad and ingest.CORRUPT in aside.columns
